@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from storefront_analytics.functions.columns import normal_cdf
 
 # Fixed values.
-EPOCH = date(2000, 1, 1)
+EPOCH = date(2020, 1, 1)  # day 0 of the trend
 SPREAD_FLOOR = 1e-9  # a smaller spread is rounding noise of a constant series
 SKIP_REASON = "Skipped during anomaly scoring due to a series-specific ML error"
 

@@ -287,40 +287,61 @@ def mart_customer_cohort_retention(customer_orders: DataFrame) -> DataFrame:
 def product_metrics(staged_items: DataFrame, staged_products: DataFrame) -> DataFrame:
     """Units, demand and money per product, over items of existing orders.
 
-    The items are not joined to anything before they are combined; products
-    meet one row per product.
+    Orders per product are counted as rows of a first aggregation per product
+    and order, customers in a second one per product and customer. Two distinct
+    counts in one aggregation would multiply every item by three before it is
+    combined. Products meet one row per product.
     """
     kind, price = F.lower("order_item_status"), F.col("sale_price")
     sold = kind == "complete"
-    per_product = staged_items.groupBy("product_id").agg(
-        count_rows().alias("ordered_units"),
-        F.countDistinct("order_id").alias("unique_orders"),
-        F.countDistinct("user_id").alias("unique_customers"),
-        F.count_if(sold).alias("completed_units"),
-        F.count_if(kind == "returned").alias("returned_units"),
-        F.count_if(kind == "cancelled").alias("cancelled_units"),
-        sum_when(sold, price).alias("completed_revenue"),
-        exact_mean(F.when(sold, price)).alias("average_selling_price"),
+    per_order = staged_items.groupBy("product_id", "order_id").agg(
+        count_rows().alias("units"),
+        F.count_if(sold).alias("completed"),
+        F.count_if(kind == "returned").alias("returned"),
+        F.count_if(kind == "cancelled").alias("cancelled"),
+        F.sum(F.when(sold, price)).alias("revenue"),
+        F.count(F.when(sold, price)).alias("priced"),
     )
-    return staged_products.join(per_product, "product_id").select(
-        "product_id",
-        "product_name",
-        "product_brand",
-        "product_category",
-        "product_department",
-        "retail_price",
-        "product_cost",
-        "ordered_units",
-        "unique_orders",
-        "unique_customers",
-        "completed_units",
-        "returned_units",
-        "cancelled_units",
-        "completed_revenue",
-        (F.col("completed_units") * F.coalesce("product_cost", F.lit(0)))
-        .cast("decimal(32,2)")
-        .alias("completed_product_cost"),
-        "average_selling_price",
+    per_product = per_order.groupBy("product_id").agg(
+        F.sum("units").alias("ordered_units"),
+        F.count("order_id").alias("unique_orders"),
+        F.sum("completed").alias("completed_units"),
+        F.sum("returned").alias("returned_units"),
+        F.sum("cancelled").alias("cancelled_units"),
+        F.coalesce(F.sum("revenue"), F.lit(0).cast("decimal(12,2)")).alias("completed_revenue"),
+        F.sum("priced").alias("_priced"),
+    )
+    buyers = (
+        staged_items.filter(F.col("user_id").isNotNull())
+        .select("product_id", "user_id")
+        .distinct()
+        .groupBy("product_id")
+        .agg(count_rows().alias("unique_customers"))
+    )
+    completed = F.col("completed_units")
+    return (
+        staged_products.join(per_product, "product_id")
+        .join(buyers, "product_id", "left")
+        .select(
+            "product_id",
+            "product_name",
+            "product_brand",
+            "product_category",
+            "product_department",
+            "retail_price",
+            "product_cost",
+            "ordered_units",
+            "unique_orders",
+            F.coalesce("unique_customers", F.lit(0)).alias("unique_customers"),
+            "completed_units",
+            "returned_units",
+            "cancelled_units",
+            "completed_revenue",
+            (completed * F.coalesce("product_cost", F.lit(0)))
+            .cast("decimal(32,2)")
+            .alias("completed_product_cost"),
+            ratio(F.col("completed_revenue"), F.col("_priced")).alias("average_selling_price"),
+        )
     )
 
 

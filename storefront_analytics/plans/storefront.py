@@ -47,13 +47,21 @@ class Storefront:
         self,
         raw: Mapping[str, DataFrame],
         settings: RunSettings = RunSettings(),
-        history: DataFrame | None = None,
-        decisions: DataFrame | None = None,
+        reviews: Mapping[str, DataFrame] | None = None,
     ):
         self.raw = raw
         self.settings = settings
-        self.history = history
-        self.decisions = decisions
+        self.reviews = {} if reviews is None else reviews
+
+    @cached_property
+    def history(self) -> DataFrame:
+        """Stored summaries."""
+        return self.reviews["history"]
+
+    @cached_property
+    def decisions(self) -> DataFrame:
+        """Submitted review decisions."""
+        return self.reviews["decisions"]
 
     # -- staging ---------------------------------------------------------------
 

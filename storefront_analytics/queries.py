@@ -24,25 +24,29 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def open_storefront(spark: SparkSession, folder: str, settings: RunSettings = SETTINGS) -> Storefront:
     star = StarSchema(spark, folder)
-    raw = _RawTables(star)
-    return Storefront(raw, settings, star.summary_history(), star.review_decisions())
+    reviews = _WhenRead({"history": star.summary_history, "decisions": star.review_decisions})
+    return Storefront(_raw(star), settings, reviews)
 
 
-class _RawTables(dict):
-    """Raw tables by name, each opened when first read."""
+class _WhenRead(dict):
+    """Frames by name, each opened when it is first read."""
 
-    def __init__(self, star: StarSchema):
+    def __init__(self, openers: dict[str, Callable[[], DataFrame]]):
         super().__init__()
-        self.star = star
+        self.openers = openers
 
     def __missing__(self, name: str) -> DataFrame:
-        self[name] = raw_tables.conform(getattr(self.star, name)(), name)
+        self[name] = self.openers[name]()
         return self[name]
 
 
+def _raw(star: StarSchema) -> _WhenRead:
+    return _WhenRead({t: lambda t=t: raw_tables.conform(getattr(star, t)(), t) for t in raw_tables.RAW_SCHEMAS})
+
+
 def comparable(frame: DataFrame) -> DataFrame:
-    """Plain types for comparing engines: whole numbers as BIGINT, money and
-    ratios as DOUBLE, the latter rounded to six places."""
+    """Plain types for comparing engines: whole numbers as BIGINT, money as
+    DOUBLE, other reals rounded to six places."""
     columns = []
     for f in frame.schema:
         value = F.col(f.name)
@@ -51,8 +55,7 @@ def comparable(frame: DataFrame) -> DataFrame:
         elif isinstance(f.dataType, T.DecimalType):
             value = value.cast("double")
         elif isinstance(f.dataType, T.DoubleType):
-            # Adding zero turns a negative zero into zero.
-            value = F.round(value, 6) + F.lit(0.0)
+            value = F.round(value, 6) + F.lit(0.0)  # no negative zero
         elif isinstance(f.dataType, (T.ArrayType, T.StructType)):
             value = F.to_json(value, {"ignoreNullFields": "false"})
         columns.append(value.alias(f.name))
@@ -85,7 +88,6 @@ RELATIONS = (
     "int_kpi_anomaly_input",
     "kpi_train",
     "kpi_score",
-    "kpi_detector_params",
     "kpi_anomaly_results",
     "summary_prompt",
 )
@@ -101,14 +103,14 @@ def _over(build: Callable[[Storefront], DataFrame]) -> Query:
 
 def _snapshot_extract(spark: SparkSession, folder: str) -> DataFrame:
     """Rows per table before the cut-off."""
-    raw = _RawTables(StarSchema(spark, folder))
+    raw = _raw(StarSchema(spark, folder))
     frames = {t: raw_tables.before_cutoff(raw[t], t, CUTOFF) for t in raw_tables.RAW_SCHEMAS}
     manifest = raw_tables.manifest_rows(frames, SOURCE, CUTOFF)
     return comparable(manifest.select("table", "rows", F.size("columns").alias("column_count")))
 
 
 def _extraction_manifest(spark: SparkSession, folder: str) -> DataFrame:
-    raw = _RawTables(StarSchema(spark, folder))
+    raw = _raw(StarSchema(spark, folder))
     frames = {t: raw[t] for t in raw_tables.RAW_SCHEMAS}
     manifest = raw_tables.manifest_rows(frames, SOURCE, CUTOFF, RUN_AT)
     return comparable(
@@ -166,6 +168,12 @@ def _summary_text(store: Storefront) -> DataFrame:
     )
 
 
+def _detector_params(store: Storefront) -> DataFrame:
+    # The value at day 0 lies far outside the data, and its last digits depend
+    # on the order in which doubles are added.
+    return store.kpi_detector_params.withColumn("intercept", F.round("intercept", 3))
+
+
 def _standard(store: Storefront) -> DataFrame:
     return evidence.anomaly_standardized(store.kpi_anomaly_results)
 
@@ -178,6 +186,7 @@ def _all_queries() -> dict[str, Query]:
         "load_reconciliation": _load_reconciliation,
         "preview_users": _over(lambda s: raw_tables.preview_users(s.raw["users"])),
         "canonical_channel": _canonical_channel,
+        "kpi_detector_params": _over(_detector_params),
         "kpi_anomaly_exclusions": _over(lambda s: s.kpi_anomaly_exclusions.drop("recorded_at")),
         "anomaly_standardized": _over(_standard),
         "reporting_period": _over(lambda s: evidence.reporting_period(_standard(s))),

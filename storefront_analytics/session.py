@@ -23,6 +23,9 @@ def local_session(cpus: int | str = "*", app: str = "storefront", **extra: str)
         "spark.sql.shuffle.partitions": "8",
         "spark.driver.memory": "8g",
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
+        # Recording the Python call site of every column costs more than the column.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         **extra,
     }
     for key, value in settings.items():

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from datetime import date, datetime, timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Order dates end in 2001, web events are from January 2024: shift the orders
@@ -17,27 +17,64 @@ from pyspark.sql import functions as F
 SHIFT_DAYS = 8217
 CUTOFF = date(2024, 1, 25)
 
+# Columns read from the given tables, with their types.
+GIVEN_SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int",
+    "supplier": "s_suppkey bigint, s_name string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_orderdate timestamp_ntz",
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_extendedprice double, "
+        "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
+    ),
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string",
+    "documents": "doc_id bigint, text string, lang string, source string",
+}
 
-def _at(moment: datetime) -> Column:
-    return F.lit(moment.isoformat(sep=" ")).cast("timestamp_ntz")
 
+def _nth(key: str, values: list[str | None]) -> str:
+    """``values[key]`` for key = 0, 1, ...; None stands for a missing value."""
+    arms = " ".join(f"WHEN {i} THEN '{v}'" for i, v in enumerate(values) if v is not None)
+    return f"CASE {key} {arms} END"
 
-def _days(n) -> Column:
-    n = n if isinstance(n, Column) else F.lit(n)
-    return F.make_dt_interval(n.cast("int"))
 
+def _days(n: object) -> str:
+    return f"make_dt_interval(cast({n} AS int))"
 
-def _clock(key: Column) -> Column:
-    """A time of day that depends on the key only."""
-    return F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), ((key * 7919) % 86400).cast("decimal(18,6)"))
 
+def _seconds(n: object) -> str:
+    return f"make_dt_interval(0, 0, 0, cast({n} AS decimal(18,6)))"
+
+
+def _moment(at: datetime) -> str:
+    return f"TIMESTAMP_NTZ '{at.isoformat(sep=' ')}'"
+
+
+def _shifted(day: str, key: str) -> str:
+    """The day moved to the events' time, at a time of day that depends on the key."""
+    return f"{day} + {_days(SHIFT_DAYS)} + {_seconds(f'({key} * 7919) % 86400')}"
 
-def _pick(key: Column, values: list) -> Column:
-    """``values[key]`` for key = 0, 1, ...; None stands for a missing value."""
-    out = None
-    for i, v in enumerate(values):
-        out = F.when(key == i, F.lit(v)) if out is None else out.when(key == i, F.lit(v))
-    return out
+
+def _with_deliveries(frame: DataFrame, delivery_days: str) -> DataFrame:
+    """Add the later timestamps that the status implies."""
+    plain = "upper(trim(status))"
+    return frame.selectExpr(
+        "*",
+        f"CASE WHEN {plain} IN ('SHIPPED', 'COMPLETE', 'RETURNED') THEN created_at + {_days(1)} END AS shipped_at",
+        f"CASE WHEN {plain} IN ('COMPLETE', 'RETURNED') THEN created_at + {_days(delivery_days)} END AS delivered_at",
+        f"CASE WHEN {plain} = 'RETURNED' THEN created_at + {_days(12)} END AS returned_at",
+    )
+
+
+_SUMMARY_ID = "concat('summary-', doc_id - if(doc_id % 50 = 49, 1, 0))"
+_REVIEW_STATE = _nth(
+    "doc_id % 7",
+    ["PENDING_REVIEW", "PENDING_REVIEW", "PENDING_REVIEW", "APPROVED", "APPROVED", "REJECTED", "NEEDS_REVISION"],
+)
+_REVIEWED = "doc_id % 7 IN (3, 4, 5)"
+_REVIEWED_AT = f"{_moment(datetime(2024, 3, 1))} + {_seconds('doc_id')}"
 
 
 class StarSchema:
@@ -48,244 +85,172 @@ class StarSchema:
         self.folder = folder
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self.spark.read.schema(GIVEN_SCHEMAS[name]).parquet(f"{self.folder}/{name}.parquet")
 
     # -- raw tables ---------------------------------------------------------
 
     def users(self) -> DataFrame:
-        c = F.col("c_custkey")
+        sources = ["Search", " adwords ", "Display", "YouTube", "Facebook", "Email", "Organic", "referral-site", None]
         return (
             self.table("customer")
             .join(self.table("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
             .join(self.table("region"), F.col("n_regionkey") == F.col("r_regionkey"))
-            .select(
-                c.alias("id"),
-                F.col("c_name").alias("first_name"),
-                F.concat(F.lit(" Family "), (c % 100).cast("string")).alias("last_name"),
-                F.concat(F.lower("c_name"), F.lit("@Example.com ")).alias("email"),
-                F.when(c % 50 != 49, 15 + c % 60).alias("age"),
-                F.when(c % 2 == 0, F.lit(" f")).otherwise(F.lit("M")).alias("gender"),
-                F.when(c % 40 != 39, F.col("n_name")).alias("state"),
-                F.concat(c.cast("string"), F.lit(" Main Street ")).alias("street_address"),
-                (10000 + c % 90000).cast("string").alias("postal_code"),
-                F.concat(F.lit("City "), (c % 70).cast("string")).alias("city"),
-                F.col("r_name").alias("country"),
-                (c % 181 - 90).cast("double").alias("latitude"),
-                (c % 361 - 180).cast("double").alias("longitude"),
-                _pick(
-                    c % 9,
-                    ["Search", " adwords ", "Display", "YouTube", "Facebook", "Email", "Organic", "referral-site", None],
-                ).alias("traffic_source"),
-                (_at(datetime(2016, 1, 1)) + _days(c % 365)).alias("created_at"),
+            .selectExpr(
+                "c_custkey AS id",
+                "c_name AS first_name",
+                "concat(' Family ', c_custkey % 100) AS last_name",
+                "concat(lower(c_name), '@Example.com ') AS email",
+                "if(c_custkey % 50 = 49, NULL, 15 + c_custkey % 60) AS age",
+                "if(c_custkey % 2 = 0, ' f', 'M') AS gender",
+                "if(c_custkey % 40 = 39, NULL, n_name) AS state",
+                "concat(c_custkey, ' Main Street ') AS street_address",
+                "string(10000 + c_custkey % 90000) AS postal_code",
+                "concat('City ', c_custkey % 70) AS city",
+                "r_name AS country",
+                "double(c_custkey % 181 - 90) AS latitude",
+                "double(c_custkey % 361 - 180) AS longitude",
+                f"{_nth('c_custkey % 9', sources)} AS traffic_source",
+                f"{_moment(datetime(2016, 1, 1))} + {_days('c_custkey % 365')} AS created_at",
             )
         )
 
     def orders(self) -> DataFrame:
-        k, u = F.col("o_orderkey"), F.col("o_custkey")
-        last_source_day = datetime.combine(CUTOFF - timedelta(days=SHIFT_DAYS), datetime.min.time())
-        status = (
-            F.when(F.col("o_orderstatus") == "F", F.lit(" Complete"))
-            .when((F.col("o_orderstatus") == "O") & (k % 2 == 0), F.lit("Shipped"))
-            .when(F.col("o_orderstatus") == "O", F.lit("complete"))
-            .otherwise(_pick(k % 3, ["Cancelled", "Returned", "Processing"]))
-        )
-        plain = F.upper(F.trim(F.col("status")))
-        created = F.col("created_at")
-        return (
+        # The shifted clock keeps the date, so the cut-off is a comparison of
+        # the source column and reaches the Parquet scan.
+        end = datetime.combine(CUTOFF - timedelta(days=SHIFT_DAYS), datetime.min.time())
+        open_status = _nth("o_orderkey % 3", ["Cancelled", "Returned", "Processing"])
+        orders = (
             self.table("orders")
-            # The shifted clock keeps the date, so the cut-off on the order date
-            # is a cut-off on the source column and reaches the Parquet scan.
-            .filter(F.col("o_orderdate") < _at(last_source_day))
-            .select(
-                k.alias("order_id"),
-                F.when(u % 20 == 19, u - 1).otherwise(u).alias("user_id"),
-                status.alias("status"),
-                F.when(u % 2 == 0, F.lit("f ")).otherwise(F.lit("m")).alias("gender"),
-                (F.col("o_orderdate") + _days(SHIFT_DAYS) + _clock(k)).alias("created_at"),
-                (1 + k % 4).alias("num_of_item"),
-            )
-            .select(
-                "*",
-                F.when(plain.isin("SHIPPED", "COMPLETE", "RETURNED"), created + _days(1)).alias("shipped_at"),
-                F.when(
-                    plain.isin("COMPLETE", "RETURNED"), created + _days(2 + F.col("order_id") % 7)
-                ).alias("delivered_at"),
-                F.when(plain == "RETURNED", created + _days(12)).alias("returned_at"),
+            .filter(f"o_orderdate < {_moment(end)}")
+            .selectExpr(
+                "o_orderkey AS order_id",
+                "o_custkey - if(o_custkey % 20 = 19, 1, 0) AS user_id",
+                "CASE o_orderstatus WHEN 'F' THEN ' Complete' "
+                f"WHEN 'O' THEN if(o_orderkey % 2 = 0, 'Shipped', 'complete') ELSE {open_status} END AS status",
+                "if(o_custkey % 2 = 0, 'f ', 'm') AS gender",
+                f"{_shifted('o_orderdate', 'o_orderkey')} AS created_at",
+                "1 + o_orderkey % 4 AS num_of_item",
             )
         )
+        return _with_deliveries(orders, "2 + order_id % 7")
 
     def order_items(self) -> DataFrame:
         # Line numbers repeat within an order, so the id is taken from a digest
         # of the whole key: no window over an order of any size.
-        key = F.concat_ws(
-            "-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.col("l_shipdate").cast("date")
-        )
-        item_id = F.conv(F.substring(F.md5(key), 1, 15), 16, 10).cast("bigint")
-        flag = F.concat("l_returnflag", "l_linestatus")
-        status = (
-            F.when(flag == "RF", F.lit("Returned"))
-            .when(flag == "RO", F.lit("Cancelled"))
-            .when(flag == "AO", F.lit(" shipped "))
-            .when(flag == "NO", F.lit("Processing"))
-            .otherwise(F.lit("Complete"))
-        )
-        plain = F.upper(F.trim(F.col("status")))
-        created = F.col("created_at")
-        return (
-            self.table("lineitem")
-            .select(
-                item_id.alias("id"),
-                F.col("l_orderkey").alias("order_id"),
-                F.col("l_suppkey").alias("user_id"),
-                F.col("l_partkey").alias("product_id"),
-                item_id.alias("inventory_item_id"),
-                status.alias("status"),
-                (F.col("l_shipdate") + _days(SHIFT_DAYS) + _clock(F.col("l_orderkey"))).alias("created_at"),
-                F.col("l_extendedprice").alias("sale_price"),
-            )
-            .select(
-                "*",
-                F.when(plain.isin("SHIPPED", "COMPLETE", "RETURNED"), created + _days(1)).alias("shipped_at"),
-                F.when(plain.isin("COMPLETE", "RETURNED"), created + _days(3)).alias("delivered_at"),
-                F.when(plain == "RETURNED", created + _days(12)).alias("returned_at"),
-            )
+        key = "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, date(l_shipdate))"
+        item_id = f"bigint(conv(left(md5({key}), 15), 16, 10))"
+        items = self.table("lineitem").selectExpr(
+            f"{item_id} AS id",
+            "l_orderkey AS order_id",
+            "l_suppkey AS user_id",
+            "l_partkey AS product_id",
+            f"{item_id} AS inventory_item_id",
+            "CASE concat(l_returnflag, l_linestatus) WHEN 'RF' THEN 'Returned' WHEN 'RO' THEN 'Cancelled' "
+            "WHEN 'AO' THEN ' shipped ' WHEN 'NO' THEN 'Processing' ELSE 'Complete' END AS status",
+            f"{_shifted('l_shipdate', 'l_orderkey')} AS created_at",
+            "l_extendedprice AS sale_price",
         )
+        return _with_deliveries(items, "3")
 
     def products(self) -> DataFrame:
-        p = F.col("p_partkey")
-        retail = F.col("p_retailprice") * 30
         suppliers = self.table("supplier").agg(F.count(F.lit(1)).alias("suppliers"))
         return (
             self.table("part")
             .crossJoin(F.broadcast(suppliers))  # one row
-            .select(
-                p.alias("id"),
-                (F.col("p_retailprice") * 18).alias("cost"),
-                F.col("p_type").alias("category"),
-                F.when(p % 100 == 99, F.lit("  ")).when(p % 100 != 98, F.col("p_name")).alias("name"),
-                F.col("p_brand").alias("brand"),
-                retail.alias("retail_price"),
-                F.when(p % 2 == 0, F.lit("Men")).otherwise(F.lit("women ")).alias("department"),
-                F.concat(F.lit("SKU-"), p.cast("string")).alias("sku"),
-                (p % F.col("suppliers")).alias("distribution_center_id"),
+            .selectExpr(
+                "p_partkey AS id",
+                "p_retailprice * 18 AS cost",
+                "p_type AS category",
+                "CASE p_partkey % 100 WHEN 99 THEN '  ' WHEN 98 THEN NULL ELSE p_name END AS name",
+                "p_brand AS brand",
+                "p_retailprice * 30 AS retail_price",
+                "if(p_partkey % 2 = 0, 'Men', 'women ') AS department",
+                "concat('SKU-', p_partkey) AS sku",
+                "p_partkey % suppliers AS distribution_center_id",
             )
         )
 
     def inventory_items(self) -> DataFrame:
         items = self.order_items().select("inventory_item_id", "product_id", "status", "created_at")
         products = self.products().withColumnRenamed("id", "product_id")
-        return items.join(products, "product_id").select(
-            F.col("inventory_item_id").alias("id"),
+        return items.join(products, "product_id").selectExpr(
+            "inventory_item_id AS id",
             "product_id",
-            (F.col("created_at") - _days(30)).alias("created_at"),
-            F.when(F.col("status") != "Cancelled", F.col("created_at")).alias("sold_at"),
+            f"created_at - {_days(30)} AS created_at",
+            "if(status = 'Cancelled', NULL, created_at) AS sold_at",
             "cost",
-            F.col("category").alias("product_category"),
-            F.col("name").alias("product_name"),
-            F.col("brand").alias("product_brand"),
-            F.col("retail_price").alias("product_retail_price"),
-            F.col("department").alias("product_department"),
-            F.col("sku").alias("product_sku"),
-            F.col("distribution_center_id").alias("product_distribution_center_id"),
+            "category AS product_category",
+            "name AS product_name",
+            "brand AS product_brand",
+            "retail_price AS product_retail_price",
+            "department AS product_department",
+            "sku AS product_sku",
+            "distribution_center_id AS product_distribution_center_id",
         )
 
     def distribution_centers(self) -> DataFrame:
-        s = F.col("s_suppkey")
-        return self.table("supplier").select(
-            s.alias("id"),
-            F.concat(F.lit(" "), F.col("s_name")).alias("name"),
-            (s % 181 - 90).cast("double").alias("latitude"),
-            (s % 361 - 180).cast("double").alias("longitude"),
+        return self.table("supplier").selectExpr(
+            "s_suppkey AS id",
+            "concat(' ', s_name) AS name",
+            "double(s_suppkey % 181 - 90) AS latitude",
+            "double(s_suppkey % 361 - 180) AS longitude",
         )
 
     def events(self) -> DataFrame:
-        e, u, ts = F.col("event_id"), F.col("user_id"), F.col("ts")
-        even = e % 2 == 0
-        kind = F.col("event_type")
-        event_type = (
-            F.when(kind == "signup", F.lit(" Home "))
-            .when(kind == "view", F.when(even, F.lit("product")).otherwise(F.lit("department")))
-            .when(kind == "click", F.when(even, F.lit("product")).otherwise(F.lit("cart")))
-            .when(kind == "purchase", F.lit("Purchase"))
-            .when(e % 4 == 0, F.lit("cancel"))
-            .otherwise(F.lit("cart"))
-        )
-        half_day = F.floor(F.hour(ts) / 12).cast("string")
-        return self.table("events").select(
-            e.alias("id"),
-            F.when(u % 10 != 9, u).alias("user_id"),
-            (e + 1).alias("sequence_number"),
-            F.concat_ws("-", u.cast("string"), ts.cast("date").cast("string"), half_day).alias("session_id"),
-            (ts - _days(30 * (F.floor(u / 6) % 12))).alias("created_at"),
-            F.concat(
-                F.lit("10.0."), F.floor(u / 256).cast("string"), F.lit("."), (u % 256).cast("string")
-            ).alias("ip_address"),
-            F.concat(F.lit("City "), (u % 70).cast("string"), F.lit(" ")).alias("city"),
-            F.concat(F.lit("State "), (u % 25).cast("string")).alias("state"),
-            (10000 + u % 90000).cast("string").alias("postal_code"),
-            _pick(u % 5, ["Chrome", "Firefox", "Safari", " Edge", None]).alias("browser"),
-            _pick(u % 6, ["Adwords", "YouTube", "Facebook", "Email", "Organic", None]).alias("traffic_source"),
-            F.concat(F.lit("/"), kind, F.lit("/"), (e % 1000).cast("string")).alias("uri"),
-            event_type.alias("event_type"),
+        browsers = ["Chrome", "Firefox", "Safari", " Edge", None]
+        sources = ["Adwords", "YouTube", "Facebook", "Email", "Organic", None]
+        return self.table("events").selectExpr(
+            "event_id AS id",
+            "if(user_id % 10 = 9, NULL, user_id) AS user_id",
+            "event_id + 1 AS sequence_number",
+            "concat_ws('-', user_id, date(ts), hour(ts) div 12) AS session_id",
+            f"ts - {_days('30 * ((user_id div 6) % 12)')} AS created_at",
+            "concat('10.0.', user_id div 256, '.', user_id % 256) AS ip_address",
+            "concat('City ', user_id % 70, ' ') AS city",
+            "concat('State ', user_id % 25) AS state",
+            "string(10000 + user_id % 90000) AS postal_code",
+            f"{_nth('user_id % 5', browsers)} AS browser",
+            f"{_nth('user_id % 6', sources)} AS traffic_source",
+            "concat('/', event_type, '/', event_id % 1000) AS uri",
+            "CASE event_type WHEN 'signup' THEN ' Home ' "
+            "WHEN 'view' THEN if(event_id % 2 = 0, 'product', 'department') "
+            "WHEN 'click' THEN if(event_id % 2 = 0, 'product', 'cart') "
+            "WHEN 'purchase' THEN 'Purchase' "
+            "ELSE if(event_id % 4 = 0, 'cancel', 'cart') END AS event_type",
         )
 
     # -- summary history and review decisions -------------------------------
 
     def summary_history(self) -> DataFrame:
         """One stored summary per document, in every review state."""
-        d, text = F.col("doc_id"), F.col("text")
-        status = _pick(
-            d % 7,
-            ["PENDING_REVIEW", "PENDING_REVIEW", "PENDING_REVIEW", "APPROVED", "APPROVED", "REJECTED", "NEEDS_REVISION"],
-        )
-        reviewed = (d % 7).isin(3, 4, 5)
-        first = F.lit(date(2023, 12, 31))
-        last = F.lit(date(2024, 1, 30))
-        return self.table("documents").select(
-            self._summary_id().alias("summary_id"),
-            F.when(d % 59 != 58, F.date_add(first, (d % 3).cast("int"))).alias("period_start_date"),
-            F.date_sub(last, F.when(d % 40 == 39, F.lit(60)).otherwise(F.lit(0))).alias("period_end_date"),
-            F.when(d % 61 != 60, F.lit("evidence-template-1")).alias("model_name"),
-            F.when(d % 2 == 0, F.lit("v2.0")).otherwise(F.lit("v1.0")).alias("prompt_version"),
-            F.when(d % 71 != 70, F.lit("v2.0")).alias("input_version"),
-            F.sha2(text, 256).alias("input_hash"),
-            F.when(d % 53 != 52, F.concat(F.lit("Evidence: "), text)).alias("prompt_text"),
-            F.when(d % 47 == 45, F.lit("   ")).when(d % 47 != 46, text).alias("generated_summary"),
-            (_at(datetime(2024, 2, 1)) + self._seconds(d)).alias("generated_at"),
-            F.when(d % 14 != 13, status).alias("review_status"),
-            F.when(reviewed, F.concat(F.lit("Reviewer "), (d % 5).cast("string"))).alias("reviewed_by"),
-            F.when(reviewed, self._reviewed_at()).alias("reviewed_at"),
-            F.when(reviewed, F.lit("checked against the evidence")).alias("review_notes"),
+        return self.table("documents").selectExpr(
+            f"{_SUMMARY_ID} AS summary_id",
+            "if(doc_id % 59 = 58, NULL, date_add(DATE '2023-12-31', int(doc_id % 3))) AS period_start_date",
+            "date_sub(DATE '2024-01-30', if(doc_id % 40 = 39, 60, 0)) AS period_end_date",
+            "if(doc_id % 61 = 60, NULL, 'evidence-template-1') AS model_name",
+            "if(doc_id % 2 = 0, 'v2.0', 'v1.0') AS prompt_version",
+            "if(doc_id % 71 = 70, NULL, 'v2.0') AS input_version",
+            "sha2(text, 256) AS input_hash",
+            "if(doc_id % 53 = 52, NULL, concat('Evidence: ', text)) AS prompt_text",
+            "CASE doc_id % 47 WHEN 45 THEN '   ' WHEN 46 THEN NULL ELSE text END AS generated_summary",
+            f"{_moment(datetime(2024, 2, 1))} + {_seconds('doc_id')} AS generated_at",
+            f"if(doc_id % 14 = 13, NULL, {_REVIEW_STATE}) AS review_status",
+            f"if({_REVIEWED}, concat('Reviewer ', doc_id % 5), NULL) AS reviewed_by",
+            f"if({_REVIEWED}, {_REVIEWED_AT}, NULL) AS reviewed_at",
+            f"if({_REVIEWED}, 'checked against the evidence', NULL) AS review_notes",
         )
 
     def review_decisions(self) -> DataFrame:
         """One submitted decision per document: some stale, invalid or repeated."""
-        d = F.col("doc_id")
-        status = _pick(
-            d % 7,
-            ["PENDING_REVIEW", "PENDING_REVIEW", "PENDING_REVIEW", "APPROVED", "APPROVED", "REJECTED", "NEEDS_REVISION"],
-        )
-        reviewed = (d % 7).isin(3, 4, 5)
-        return self.table("documents").select(
-            d.alias("decision_id"),
-            self._summary_id().alias("summary_id"),
-            _pick(d % 5, ["APPROVED", "APPROVED", "REJECTED", "REJECTED", "MAYBE"]).alias("decision"),
-            F.when(d % 17 == 16, F.lit("  ")).otherwise(F.concat(F.lit(" Reviewer "), F.col("lang"))).alias("reviewer"),
-            F.when(d % 19 != 18, F.concat(F.lit("batch note "), F.col("source"))).alias("notes"),
-            (d % 23 != 22).alias("evidence_checked"),
-            F.when(d % 11 == 10, F.lit("PENDING_REVIEW")).otherwise(status).alias("seen_status"),
-            F.when(reviewed & (d % 13 != 12), self._reviewed_at()).alias("seen_reviewed_at"),
-            (_at(datetime(2024, 4, 1)) + self._seconds(d)).alias("submitted_at"),
+        decisions = ["APPROVED", "APPROVED", "REJECTED", "REJECTED", "MAYBE"]
+        return self.table("documents").selectExpr(
+            "doc_id AS decision_id",
+            f"{_SUMMARY_ID} AS summary_id",
+            f"{_nth('doc_id % 5', decisions)} AS decision",
+            "if(doc_id % 17 = 16, '  ', concat(' Reviewer ', lang)) AS reviewer",
+            "if(doc_id % 19 = 18, NULL, concat('batch note ', source)) AS notes",
+            "doc_id % 23 <> 22 AS evidence_checked",
+            f"if(doc_id % 11 = 10, 'PENDING_REVIEW', {_REVIEW_STATE}) AS seen_status",
+            f"if({_REVIEWED} AND doc_id % 13 <> 12, {_REVIEWED_AT}, NULL) AS seen_reviewed_at",
+            f"{_moment(datetime(2024, 4, 1))} + {_seconds('doc_id')} AS submitted_at",
         )
-
-    @staticmethod
-    def _summary_id() -> Column:
-        d = F.col("doc_id")
-        return F.concat(F.lit("summary-"), F.when(d % 50 == 49, d - 1).otherwise(d).cast("string"))
-
-    @staticmethod
-    def _seconds(d: Column) -> Column:
-        return F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), d.cast("decimal(18,6)"))
-
-    def _reviewed_at(self) -> Column:
-        return _at(datetime(2024, 3, 1)) + self._seconds(F.col("doc_id"))

@@ -29,9 +29,17 @@ def with_fragments(select: str) -> str:
     return ("WITH " + ",\n".join(parts) + "\n" if parts else "") + select.strip()
 
 
-def rounded(expression: str, digits: int = 6) -> str:
+# Columns fitted by the detector are compared at fewer places than the usual six.
+DIGITS = {
+    "intercept": 3,
+    **{c: 4 for c in ("spread", "forecast", "expected_value", "average_forecast_value", "lower_bound", "upper_bound")},
+    **{f"effect_{d}": 4 for d in range(1, 8)},
+}
+
+
+def rounded(expression: str, name: str | None = None) -> str:
     """Adding zero removes a negative zero."""
-    return f"(round(CAST({expression} AS DOUBLE), {digits}) + 0)"
+    return f"(round(CAST({expression} AS DOUBLE), {DIGITS.get(name or expression, 6)}) + 0)"
 
 
 def over(part: str, whole: str) -> str:
@@ -746,8 +754,8 @@ def places(expression: str, n: int) -> str:
 add(
     "kpi_rollup",
     f"""
-SELECT series_key, channel, metric_name, {places("avg(actual_value)", 2)} AS average_actual_value,
-       {places("avg(expected_value)", 2)} AS average_expected_value,
+SELECT series_key, channel, metric_name, {places(mean("CAST(actual_value AS DECIMAL(28, 10))"), 2)} AS average_actual_value,
+       {places(mean("CAST(expected_value AS DECIMAL(28, 10))"), 2)} AS average_expected_value,
        {places("100 * (avg(actual_value) - avg(expected_value)) / nullif(abs(avg(expected_value)), 0)", 2)}
          AS variance_from_expected_pct,
        {places("arg_max(actual_value, metric_timestamp)", 2)} AS latest_actual_value,

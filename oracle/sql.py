@@ -105,8 +105,7 @@ relation(
 relation("int_kpi_anomaly_input", "metric_value")
 relation("kpi_train", "metric_value")
 relation("kpi_score", "metric_value")
-_EFFECTS = "slope spread " + " ".join(f"effect_{d}" for d in range(1, 8))
-relation("kpi_detector_params", _EFFECTS, source=f"(SELECT * REPLACE ({rounded('intercept', 3)} AS intercept) FROM kpi_detector_params)")
+relation("kpi_detector_params", "slope intercept spread " + " ".join(f"effect_{d}" for d in range(1, 8)))
 relation("kpi_anomaly_results", "y forecast lower_bound upper_bound percentile distance")
 query(
     "kpi_anomaly_exclusions",
@@ -298,7 +297,7 @@ query("val_scoring_summary", f"SELECT {_SCORED}, count(DISTINCT series) AS score
 query(
     "val_by_series",
     f"SELECT series AS series_key, {_SCORED}, {rounded('avg(y)')} AS average_actual_value, "
-    f"{rounded('avg(forecast)')} AS average_forecast_value FROM kpi_anomaly_results GROUP BY series",
+    f"{rounded('avg(forecast)', 'average_forecast_value')} AS average_forecast_value FROM kpi_anomaly_results GROUP BY series",
 )
 query(
     "val_anomalies",

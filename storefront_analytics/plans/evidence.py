@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from storefront_analytics.functions.columns import count_rows
+from storefront_analytics.functions.columns import count_rows, exact_mean
 from storefront_analytics.operators.ranking import with_row_numbers
 from storefront_analytics.sources.scratch import Stored, store
 
@@ -90,8 +90,12 @@ def desired_direction(metric: Column) -> Column:
 
 
 def kpi_rollup(standardized: DataFrame) -> DataFrame:
-    """One row per series: averages, variance from expected, latest values."""
-    actual, expected = F.avg("actual_value"), F.avg("expected_value")
+    """One row per series: averages, variance from expected, latest values.
+
+    The averages are sums of decimals: the same whatever the order of adding, as
+    the digest of the evidence must not change between runs.
+    """
+    actual, expected = (exact_mean(F.col(c).cast("decimal(28,10)")) for c in ("actual_value", "expected_value"))
     return standardized.groupBy("series_key", "channel", "metric_name").agg(
         _rounded(actual, 2).alias("average_actual_value"),
         _rounded(expected, 2).alias("average_expected_value"),

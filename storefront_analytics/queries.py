@@ -44,9 +44,20 @@ def _raw(star: StarSchema) -> _WhenRead:
     return _WhenRead({t: lambda t=t: raw_tables.conform(getattr(star, t)(), t) for t in raw_tables.RAW_SCHEMAS})
 
 
+# Decimal places at which results are compared. What the detector fits comes from
+# sums of doubles, whose last digits depend on the order of adding; on values of
+# 100000 and more that is the tenth place.
+PLACES = 6
+FITTED_PLACES = {
+    "intercept": 3,  # at day 0, far outside the data
+    **dict.fromkeys(["spread", *[f"effect_{d}" for d in range(1, 8)]], 4),
+    **dict.fromkeys(["forecast", "expected_value", "average_forecast_value", "lower_bound", "upper_bound"], 4),
+}
+
+
 def comparable(frame: DataFrame) -> DataFrame:
     """Plain types for comparing engines: whole numbers as BIGINT, money as
-    DOUBLE, other reals rounded to six places."""
+    DOUBLE, other reals rounded."""
     columns = []
     for f in frame.schema:
         value = F.col(f.name)
@@ -55,7 +66,7 @@ def comparable(frame: DataFrame) -> DataFrame:
         elif isinstance(f.dataType, T.DecimalType):
             value = value.cast("double")
         elif isinstance(f.dataType, T.DoubleType):
-            value = F.round(value, 6) + F.lit(0.0)  # no negative zero
+            value = F.round(value, FITTED_PLACES.get(f.name, PLACES)) + F.lit(0.0)  # no negative zero
         elif isinstance(f.dataType, (T.ArrayType, T.StructType)):
             value = F.to_json(value, {"ignoreNullFields": "false"})
         columns.append(value.alias(f.name))
@@ -88,6 +99,7 @@ RELATIONS = (
     "int_kpi_anomaly_input",
     "kpi_train",
     "kpi_score",
+    "kpi_detector_params",
     "kpi_anomaly_results",
     "summary_prompt",
 )
@@ -168,12 +180,6 @@ def _summary_text(store: Storefront) -> DataFrame:
     )
 
 
-def _detector_params(store: Storefront) -> DataFrame:
-    # The value at day 0 lies far outside the data, and its last digits depend
-    # on the order in which doubles are added.
-    return store.kpi_detector_params.withColumn("intercept", F.round("intercept", 3))
-
-
 def _standard(store: Storefront) -> DataFrame:
     return evidence.anomaly_standardized(store.kpi_anomaly_results)
 
@@ -186,7 +192,6 @@ def _all_queries() -> dict[str, Query]:
         "load_reconciliation": _load_reconciliation,
         "preview_users": _over(lambda s: raw_tables.preview_users(s.raw["users"])),
         "canonical_channel": _canonical_channel,
-        "kpi_detector_params": _over(_detector_params),
         "kpi_anomaly_exclusions": _over(lambda s: s.kpi_anomaly_exclusions.drop("recorded_at")),
         "anomaly_standardized": _over(_standard),
         "reporting_period": _over(lambda s: evidence.reporting_period(_standard(s))),

@@ -32,7 +32,7 @@ class Stored:
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by the session; only a local session may go without."""
-    folder = spark.conf.get(SHARED_DIR_KEY, None) or spark.sparkContext.getConf().get(SHARED_DIR_KEY)
+    folder = spark.conf.get(SHARED_DIR_KEY, None)
     if folder:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):

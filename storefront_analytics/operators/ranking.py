@@ -123,6 +123,35 @@ def with_dense_ranks(stored: Stored, measures: Mapping[str, Column], one_task_ro
     return reduce(add, measures.items(), frame)
 
 
+def with_ranks(
+    stored: Stored, key: str, measures: Mapping[str, Column], one_task_rows: int = ONE_TASK_ROWS
+) -> DataFrame:
+    """Add ``rank`` over each measure descending, missing values first.
+
+    Beyond ``one_task_rows`` the rank of a value is the first position any row
+    with it has; ``key`` identifies a row and makes the order total.
+    """
+    frame = stored.frame
+    if stored.rows <= one_task_rows:
+        return frame.select(
+            "*",
+            *[
+                F.rank().over(Window.orderBy(value.desc_nulls_first())).cast("bigint").alias(name)
+                for name, value in measures.items()
+            ],
+        )
+
+    def add(out: DataFrame, item: tuple[str, Column]) -> DataFrame:
+        name, value = item
+        placed = with_positions(
+            frame.select(key, value.alias("_value")), [F.col("_value").desc_nulls_first(), F.col(key)]
+        )
+        ranks = placed.groupBy("_value").agg(F.min("position").alias(name))
+        return out.join(ranks, value.eqNullSafe(F.col("_value")), "left").drop("_value")
+
+    return reduce(add, measures.items(), frame)
+
+
 def with_row_numbers(stored: Stored, order: Sequence[Column], name: str, one_task_rows: int = ONE_TASK_ROWS) -> DataFrame:
     """Add the 1-based place of each row in ``order``, which must be total."""
     if stored.rows <= one_task_rows:

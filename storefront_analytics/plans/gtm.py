@@ -13,7 +13,7 @@ from storefront_analytics.functions.columns import (
     ratio,
     sum_when,
 )
-from storefront_analytics.operators.ranking import with_dense_ranks
+from storefront_analytics.operators.ranking import with_dense_ranks, with_ranks
 from storefront_analytics.sources.scratch import Stored
 
 # -- customers by a grouping -------------------------------------------------
@@ -49,25 +49,23 @@ def channel_metrics(customer_360: DataFrame) -> DataFrame:
 
 
 def mart_acquisition_channel_performance(channels: Stored) -> DataFrame:
-    """Rates, revenue share and ranks per channel, from :func:`channel_metrics`.
-
-    The windows see one row per channel.
-    """
+    """Rates, revenue share and ranks per channel, from :func:`channel_metrics`."""
     acquired, buying = F.col("acquired_customer_count"), F.col("purchasing_customer_count")
     conversion = ratio(buying, acquired)
     total = channels.frame.agg(F.sum("total_revenue").alias("_revenue"))
-
-    def place(value: Column) -> Column:
-        return F.rank().over(Window.orderBy(value.desc_nulls_first())).cast("bigint")
-
-    return channels.frame.crossJoin(F.broadcast(total)).select(  # one row
+    ranked = with_ranks(
+        channels,
+        "acquisition_channel",
+        {"revenue_rank": F.col("total_revenue"), "conversion_rank": conversion},
+    )
+    return ranked.crossJoin(F.broadcast(total)).select(  # one row
         *channels.frame.columns,
         conversion.alias("customer_conversion_rate"),
         ratio(F.col("repeat_customer_count"), buying).alias("repeat_purchaser_rate"),
         ratio(F.col("active_customer_count"), buying).alias("active_purchaser_rate"),
         ratio(F.col("total_revenue"), F.col("_revenue")).alias("revenue_share"),
-        place(F.col("total_revenue")).alias("revenue_rank"),
-        place(conversion).alias("conversion_rank"),
+        "revenue_rank",
+        "conversion_rank",
     )
 
 

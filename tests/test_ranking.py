@@ -7,7 +7,13 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from storefront_analytics.operators.ranking import with_dense_ranks, with_positions, with_row_numbers, with_tiles
+from storefront_analytics.operators.ranking import (
+    with_dense_ranks,
+    with_positions,
+    with_ranks,
+    with_row_numbers,
+    with_tiles,
+)
 from storefront_analytics.sources.scratch import Stored, store
 
 
@@ -60,6 +66,14 @@ def test_dense_ranks_both_ways(values):
     assert large.filter("b is null").select("rb").distinct().collect()[0][0] == 1  # missing first
 
 
+def test_ranks_both_ways(values):
+    stored = values(300)
+    measures = {"ra": F.col("a"), "rb": F.col("b")}
+    small = with_ranks(stored, "id", measures)
+    large = with_ranks(stored, "id", measures, one_task_rows=0)
+    assert sorted(small.collect(), key=lambda r: r.id) == sorted(large.collect(), key=lambda r: r.id)
+
+
 def test_row_numbers_both_ways(values):
     stored = values(200)
     order = [F.col("a").desc(), F.col("id").asc()]

@@ -254,8 +254,14 @@ class Storefront:
         """Violations per declared check, of one kind or of all."""
         checks = quality_rules.checks_of(kind) if kind else quality_rules.all_checks()
         names = {c.relation for c in checks} | {c.parent[0] for c in checks if c.parent}
+        self.keep(*[source for source, readers in READ_BY.items() if len(names & readers) > 1])
         return check_counts({name: getattr(self, name) for name in names}, checks)
 
+    def keep(self, *names: str) -> None:
+        """Store relations now; what is built on them afterwards reads the stored rows."""
+        for name in names:
+            self.__dict__[name] = store(getattr(self, name), name).frame
+
     def build(self, target: str, relations: tuple[str, ...] | None = None) -> dict[str, DataFrame]:
         """Write relations in order under a new folder; later ones read what was written."""
         out = {}
@@ -269,6 +275,19 @@ class Storefront:
         return out
 
 
+# Costly relations and who reads them.
+READ_BY = {
+    "int_customer_orders": {
+        "int_customer_orders",
+        "dim_customer",
+        "mart_customer_360",
+        "mart_customer_cohort_retention",
+        "kpi_anomaly_results",
+    },
+    "mart_customer_rfm": {"mart_customer_rfm", "mart_customer_360"},
+    "mart_customer_360": {"mart_customer_360", "mart_customer_segment_summary", "mart_geographic_performance"},
+}
+
 # Relations that later steps read in stored form.
 STORED_AS = {"mart_daily_business_kpis": "_stored_daily_kpis", "kpi_anomaly_results": "_stored_results"}
 

@@ -6,7 +6,7 @@ from oracle.fragments import _ANOMALY_JSON, n_if, rounded, with_fragments
 from storefront_analytics.operators.quality import Check
 from storefront_analytics.plans.quality_rules import all_checks
 from storefront_analytics.plans.summaries import PROMPT_RULES
-from storefront_analytics.sources.raw_tables import RAW_SCHEMAS, raw_schema
+from storefront_analytics.sources.raw_tables import RAW_SCHEMAS, raw_columns
 
 ORACLE_SQL: dict[str, str] = {}
 
@@ -107,11 +107,16 @@ relation("kpi_train", "metric_value")
 relation("kpi_score", "metric_value")
 relation("kpi_detector_params", "slope intercept spread " + " ".join(f"effect_{d}" for d in range(1, 8)))
 relation("kpi_anomaly_results", "y forecast lower_bound upper_bound percentile distance")
+# Left out for want of a year of training rows, or of any spread.
+_LEFT_OUT = """
+FROM (SELECT DISTINCT series_key FROM kpi_score) LEFT JOIN kpi_detector_params USING (series_key)
+WHERE coalesce(train_rows, 0) < 365 OR coalesce(spread, 0) <= 1e-9
+"""
 query(
     "kpi_anomaly_exclusions",
-    """
-SELECT DISTINCT series_key, 'Skipped during anomaly scoring due to a series-specific ML error' AS exclusion_reason
-FROM kpi_score WHERE series_key NOT IN (SELECT series FROM kpi_anomaly_results)
+    f"""
+SELECT series_key, 'Skipped during anomaly scoring due to a series-specific ML error' AS exclusion_reason
+{_LEFT_OUT}
 """,
 )
 
@@ -121,7 +126,7 @@ _DATED = ("users", "orders", "order_items", "events")
 query(
     "snapshot_extract",
     " UNION ALL ".join(
-        f"SELECT '{t}' AS \"table\", count(*) AS rows, CAST({len(raw_schema(t))} AS BIGINT) AS column_count "
+        f"SELECT '{t}' AS \"table\", count(*) AS rows, CAST({len(raw_columns(t))} AS BIGINT) AS column_count "
         f"FROM raw_{t}" + (" WHERE CAST(created_at AS DATE) < DATE '2024-01-25'" if t in _DATED else "")
         for t in RAW_SCHEMAS
     ),
@@ -129,7 +134,7 @@ query(
 query(
     "extraction_manifest",
     " UNION ALL ".join(
-        f"SELECT '{t}' AS \"table\", count(*) AS rows, '{','.join(raw_schema(t).names)}' AS columns, "
+        f"SELECT '{t}' AS \"table\", count(*) AS rows, '{','.join(raw_columns(t))}' AS columns, "
         "'star-schema' AS source, DATE '2024-01-25' AS cutoff_date, '2024-06-01T00:00:00' AS extracted_at_utc "
         f"FROM raw_{t}"
         for t in RAW_SCHEMAS
@@ -327,9 +332,9 @@ JOIN (SELECT series AS series_key, min(ts) AS first_scoring_timestamp FROM kpi_a
 )
 query(
     "val_excluded",
-    """
+    f"""
 SELECT series_key AS excluded_series_key, 'Series was skipped during ML scoring' AS exclusion_reason
-FROM (SELECT series_key FROM kpi_score EXCEPT SELECT series FROM kpi_anomaly_results)
+{_LEFT_OUT}
 """,
 )
 query(

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from storefront_analytics.functions.channels import canonical_channel
-from storefront_analytics.plans import detector, evidence, reviews, summaries, validation
+from storefront_analytics.plans import evidence, reviews, summaries, validation
+from storefront_analytics.plans.detector import DetectorSettings
 from storefront_analytics.plans.storefront import RunSettings, Storefront
 from storefront_analytics.sources import raw_tables, supporting_csv
 from storefront_analytics.sources.star_schema import CUTOFF, StarSchema
@@ -19,6 +20,10 @@ RUN_AT = datetime(2024, 6, 1)
 SETTINGS = RunSettings(as_of=CUTOFF, run_at=RUN_AT)
 SOURCE = "star-schema"
 
+# For the questions about left-out series: ask for a year of history, so that the
+# shorter series of session ratios are left out.
+YEAR_SETTINGS = RunSettings(as_of=CUTOFF, run_at=RUN_AT, detector=DetectorSettings(min_rows=365))
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -109,8 +114,8 @@ def _relation(name: str) -> Query:
     return lambda spark, folder: comparable(getattr(open_storefront(spark, folder), name))
 
 
-def _over(build: Callable[[Storefront], DataFrame]) -> Query:
-    return lambda spark, folder: comparable(build(open_storefront(spark, folder)))
+def _over(build: Callable[[Storefront], DataFrame], settings: RunSettings = SETTINGS) -> Query:
+    return lambda spark, folder: comparable(build(open_storefront(spark, folder, settings)))
 
 
 def _snapshot_extract(spark: SparkSession, folder: str) -> DataFrame:
@@ -192,7 +197,7 @@ def _all_queries() -> dict[str, Query]:
         "load_reconciliation": _load_reconciliation,
         "preview_users": _over(lambda s: raw_tables.preview_users(s.raw["users"])),
         "canonical_channel": _canonical_channel,
-        "kpi_anomaly_exclusions": _over(lambda s: s.kpi_anomaly_exclusions.drop("recorded_at")),
+        "kpi_anomaly_exclusions": _over(lambda s: s.kpi_anomaly_exclusions.drop("recorded_at"), YEAR_SETTINGS),
         "anomaly_standardized": _over(_standard),
         "reporting_period": _over(lambda s: evidence.reporting_period(_standard(s))),
         "kpi_rollup": _over(lambda s: evidence.kpi_rollup(_standard(s))),
@@ -221,7 +226,9 @@ def _all_queries() -> dict[str, Query]:
         "val_anomalies": _over(lambda s: validation.anomalies(s.kpi_anomaly_results)),
         "val_boundary": _over(lambda s: validation.boundary(s.kpi_train, s.kpi_anomaly_results)),
         "val_boundary_by_series": _over(lambda s: validation.boundary_by_series(s.kpi_train, s.kpi_anomaly_results)),
-        "val_excluded": _over(lambda s: validation.excluded_series(s.kpi_score, s.kpi_anomaly_results)),
+        "val_excluded": _over(
+            lambda s: validation.excluded_series(s.kpi_score, s.kpi_anomaly_results), YEAR_SETTINGS
+        ),
         "val_duplicates": _over(lambda s: validation.duplicate_results(s.kpi_anomaly_results)),
         "val_invalid_results": _over(lambda s: validation.invalid_results(s.kpi_anomaly_results)),
         "val_latest_summary": _over(lambda s: validation.latest_summary(s.history)),

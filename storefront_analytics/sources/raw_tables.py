@@ -49,6 +49,10 @@ DEFAULT_CUTOFF = date(2026, 1, 1)
 MANIFEST_FILE = "extraction_manifest"
 
 
+def raw_columns(table: str) -> list[str]:
+    return [part.split()[0] for part in RAW_SCHEMAS[table].split(", ")]
+
+
 def raw_schema(table: str) -> T.StructType:
     return T.StructType.fromDDL(RAW_SCHEMAS[table])
 

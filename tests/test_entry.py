@@ -48,3 +48,20 @@ def test_same_as_sql(spark, db, name):
 def test_flagship(spark):
     frame = entry.entry(spark)
     assert frame.count() > 0 and "customer_segment" in frame.columns
+
+
+def test_build_writes_relations_that_read_each_other(spark, tmp_path):
+    from storefront_analytics.plans.storefront import BUILD_ORDER
+    from storefront_analytics.queries import open_storefront
+
+    store = open_storefront(spark, FOLDER)
+    written = store.build(f"file://{tmp_path}/marts")
+    assert list(written) == list(BUILD_ORDER)
+    assert f"{tmp_path}/marts/mart_customer_360" in store.mart_customer_360.inputFiles()[0]
+    assert written["kpi_anomaly_results"].count() == 573
+    assert written["kpi_anomaly_exclusions"].count() == 2
+    assert written["mart_daily_business_kpis"].count() == 1785
+    assert written["executive_summary_input"].first()["total_anomalies"] == 17
+    wrong = {(r["relation"], r["subject"], r["check"]) for r in store.quality().filter("violations > 0").collect()}
+    # Only the history is broken on purpose.
+    assert {r[0] for r in wrong} == {"executive_summaries", "approved_executive_summaries"}

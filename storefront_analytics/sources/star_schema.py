@@ -144,13 +144,12 @@ class StarSchema:
             "l_orderkey AS order_id",
             "l_suppkey AS user_id",
             "l_partkey AS product_id",
-            f"{item_id} AS inventory_item_id",
             "CASE concat(l_returnflag, l_linestatus) WHEN 'RF' THEN 'Returned' WHEN 'RO' THEN 'Cancelled' "
             "WHEN 'AO' THEN ' shipped ' WHEN 'NO' THEN 'Processing' ELSE 'Complete' END AS status",
             f"{_shifted('l_shipdate', 'l_orderkey')} AS created_at",
             "l_extendedprice AS sale_price",
         )
-        return _with_deliveries(items, "3")
+        return _with_deliveries(items.withColumn("inventory_item_id", F.col("id")), "3")
 
     def products(self) -> DataFrame:
         suppliers = self.table("supplier").agg(F.count(F.lit(1)).alias("suppliers"))

@@ -144,3 +144,24 @@ def test_queue_and_history_questions(spark):
     assert {r["review_status"] for r in rows(validation.unexpected_statuses(history))} == {"ODD", None}
     assert rows(validation.period_dates(history))[0]["invalid_reporting_periods"] == 0
     assert [r["summary_character_count"] for r in validation.summary_lengths(history).collect()] == [4, 1, 4, None]
+
+
+def test_stream_appends_only_new_packages(spark, package, tmp_path):
+    from storefront_analytics.streaming.summary_append import append_new_packages, read_packages
+
+    folder, history, checkpoint = (f"file://{tmp_path}/{n}" for n in ("packages", "history", "checkpoint"))
+
+    def run():
+        stream = read_packages(spark, folder, package.schema)
+        append_new_packages(stream, history, checkpoint, generated_at=RUN_AT).awaitTermination()
+        return spark.read.parquet(history).count()
+
+    package.write.mode("append").parquet(folder)
+    package.write.mode("append").parquet(folder)  # the same evidence in a second file
+    assert run() == 1
+    assert run() == 1  # nothing arrived
+    package.write.mode("append").parquet(folder)
+    assert run() == 1  # arrived again, known by its digest
+    other = evidence.executive_summary_input(_results(spark, [_row("Email|TOTAL_ORDERS", 9)]), RUN_AT)
+    other.write.mode("append").parquet(folder)
+    assert run() == 2

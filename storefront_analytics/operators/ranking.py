@@ -24,27 +24,42 @@ ONE_TASK_ROWS = 100_000
 _ROW_BITS = 33
 
 
-def with_positions(frame: DataFrame, order: Sequence[Column], position: str = "position") -> DataFrame:
-    """Number the rows 1, 2, ... in ``order``, which must be a total order."""
-    numbered = store(
-        frame.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-        .withColumn("_at", F.monotonically_increasing_id()),
-        "positions",
-    ).frame
-    part = F.shiftright("_at", _ROW_BITS).alias("_part")
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+def with_positions(
+    frame: DataFrame, order: Sequence[Column], position: str = "position", group: str | None = None
+) -> DataFrame:
+    """Number the rows 1, 2, ... in ``order``, which must be a total order.
+
+    With ``group``, which then must be the first column of the order, the
+    numbers start again in each group and ``_total`` holds its number of rows.
+    """
+    numbered = (
+        store(
+            frame.repartitionByRange(*order)
+            .sortWithinPartitions(*order)
+            .withColumn("_at", F.monotonically_increasing_id()),
+            "positions",
+        )
+        .frame.withColumn("_part", F.shiftright("_at", _ROW_BITS))
+    )
+    groups = [group] if group else []
+    whole = Window.partitionBy(*groups)
+    earlier = whole.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per range partition and group in it: groups are contiguous, so
+    # there are at most as many rows as partitions and groups together.
     starts = (
-        numbered.groupBy(part)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
+        numbered.groupBy("_part", *groups)
+        .agg(F.count(F.lit(1)).alias("_rows"), F.min("_at").alias("_first"))
+        .select(
+            "_part",
+            *groups,
+            (F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) - F.col("_first") + 1).alias("_shift"),
+            *([F.sum("_rows").over(whole).alias("_total")] if group else []),
+        )
     )
-    local = F.col("_at").bitwiseAND((1 << _ROW_BITS) - 1)
     return (
-        numbered.withColumn("_part", part)
-        .join(F.broadcast(starts), "_part")  # one row per range partition
-        .withColumn(position, F.col("_start") + local + 1)
-        .drop("_at", "_part", "_start")
+        numbered.join(F.broadcast(starts), ["_part", *groups])
+        .withColumn(position, F.col("_at") + F.col("_shift"))
+        .drop("_at", "_part", "_shift")
     )
 
 
@@ -79,16 +94,9 @@ def with_tiles(frame: DataFrame, key: str, measures: Mapping[str, Column], tiles
     a stored one, since it is read twice.
     """
     placed = with_positions(
-        _long(frame, [key], measures), [F.col("_measure"), F.col("_value"), F.col(key)]
-    )
-    bounds = placed.groupBy("_measure").agg(
-        F.min("position").alias("_first"), F.count(F.lit(1)).alias("_rows")
-    )
-    scored = placed.join(F.broadcast(bounds), "_measure").select(  # one row per measure
-        key,
-        "_measure",
-        tile_of(F.col("position") - F.col("_first") + 1, F.col("_rows"), tiles).alias("_tile"),
+        _long(frame, [key], measures), [F.col("_measure"), F.col("_value"), F.col(key)], group="_measure"
     )
+    scored = placed.select(key, "_measure", tile_of(F.col("position"), F.col("_total"), tiles).alias("_tile"))
     per_key = scored.groupBy(key).agg(
         *[F.max(F.when(F.col("_measure") == name, F.col("_tile"))).alias(name) for name in measures]
     )

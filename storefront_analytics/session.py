@@ -21,6 +21,8 @@ def local_session(cpus: int | str = "*", app: str = "storefront", **extra: str)
     settings = {
         **EXPECTED,
         "spark.sql.shuffle.partitions": "8",
+        # Small data on few cores: keep some parallelism when merging partitions.
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "128k",
         "spark.driver.memory": "8g",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",

@@ -6,14 +6,20 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import read_table
 from .exact_dedup import exact_groups
+from .secret_scan import secret_spans
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(read_table(spark, sf_dir, "documents"))
 
 
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_spans(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op4_secret_scan": op4_secret_scan,
 }
 
 ORACLE_SQL = {

@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from .bpe import encode_documents
 from .common import read_table
 from .exact_dedup import exact_groups
 from .secret_scan import secret_spans
+from .token_counts import token_counts
+
+#: The tokenizer of the registered queries; the operators take any path.
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,9 +23,19 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_spans(read_table(spark, sf_dir, "documents"))
 
 
+def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_documents(read_table(spark, sf_dir, "documents"), TOKENIZER)
+
+
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(read_table(spark, sf_dir, "documents"), TOKENIZER)
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op4_secret_scan": op4_secret_scan,
+    "op6_bpe": op6_bpe,
+    "op9_token_counts": op9_token_counts,
 }
 
 ORACLE_SQL = {

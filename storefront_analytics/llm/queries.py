@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .bpe import encode_documents
 from .common import read_table
 from .exact_dedup import exact_groups
+from .quality import quality_scores
 from .secret_scan import secret_spans
 from .token_counts import token_counts
 
@@ -31,11 +32,16 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(read_table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op4_secret_scan": op4_secret_scan,
     "op6_bpe": op6_bpe,
     "op9_token_counts": op9_token_counts,
+    "op10_quality": op10_quality,
 }
 
 ORACLE_SQL = {

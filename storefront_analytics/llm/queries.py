@@ -5,6 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from .bottom_k import near_duplicates
 from .bpe import encode_documents
 from .common import read_table
 from .exact_dedup import exact_groups
@@ -36,10 +37,15 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op4_secret_scan": op4_secret_scan,
     "op6_bpe": op6_bpe,
+    "op7_near_dedup": op7_near_dedup,
     "op9_token_counts": op9_token_counts,
     "op10_quality": op10_quality,
 }

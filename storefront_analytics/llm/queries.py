@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from .ann_forest import nearest
 from .bottom_k import near_duplicates
 from .bpe import encode_documents
 from .common import read_table
@@ -41,8 +43,13 @@ def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op2_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_ann": op2_ann,
     "op4_secret_scan": op4_secret_scan,
     "op6_bpe": op6_bpe,
     "op7_near_dedup": op7_near_dedup,

@@ -11,6 +11,7 @@ from .bottom_k import near_duplicates
 from .bpe import encode_documents
 from .common import read_table
 from .exact_dedup import exact_groups
+from .mixing import Mix, mixed
 from .quality import quality_scores
 from .secret_scan import secret_spans
 from .token_counts import token_counts
@@ -47,9 +48,14 @@ def op2_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixed(read_table(spark, sf_dir, "documents"), Mix())
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_ann": op2_ann,
+    "op3_mixing": op3_mixing,
     "op4_secret_scan": op4_secret_scan,
     "op6_bpe": op6_bpe,
     "op7_near_dedup": op7_near_dedup,

@@ -11,6 +11,7 @@ from .bottom_k import near_duplicates
 from .bpe import encode_documents
 from .common import read_table
 from .exact_dedup import exact_groups
+from .license_scan import license_notices
 from .mixing import Mix, mixed
 from .quality import quality_scores
 from .secret_scan import secret_spans
@@ -52,6 +53,12 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed(read_table(spark, sf_dir, "documents"), Mix())
 
 
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_notices(read_table(spark, sf_dir, "documents"))
+    named = F.transform("found", lambda x: F.concat_ws(":", x["paragraph"], x["family"], x["confirmed"].cast("string")))
+    return found.withColumn("found", F.array_join(named, ","))
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_ann": op2_ann,
@@ -59,6 +66,7 @@ QUERIES = {
     "op4_secret_scan": op4_secret_scan,
     "op6_bpe": op6_bpe,
     "op7_near_dedup": op7_near_dedup,
+    "op8_license_scan": op8_license_scan,
     "op9_token_counts": op9_token_counts,
     "op10_quality": op10_quality,
 }

@@ -21,20 +21,22 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
+import unicodedata
 from functools import lru_cache
+from itertools import accumulate
 
 import ahocorasick
-import numpy as np
-import regex
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
 from .common import map_rows
 
-#: Words whose tokens a worker remembers; the memory is emptied when full.
-REMEMBERED_WORDS = 100_000
+#: Words whose tokens a worker remembers, in each of two generations.
+REMEMBERED_WORDS = 150_000
 #: Letters and signs whose normal form, kind and lower case all Unicode versions agree on are the others.
-UNUSUAL = regex.compile("[^\x00-\u024f\u2010-\u2027\u2030-\u205e\u20ac]")
+USUAL = (range(0x250), range(0x2010, 0x2028), range(0x2030, 0x205F), range(0x20AC, 0x20AD))
+UNUSUAL = re.compile("[^\x00-\u024f\u2010-\u2027\u2030-\u205e\u20ac]")
 #: Stands for the end of a word; no byte-level symbol.
 END = "\ue000"
 
@@ -46,6 +48,18 @@ def byte_symbols() -> list[str]:
     return [chr(b) if b in plain else chr(next(others)) for b in range(256)]
 
 
+def usual_words(pattern: str):
+    """The file's splitting pattern for usual characters, with their kinds spelled out."""
+    kinds = {"L": "", "N": ""}
+    usual = {chr(c) for part in USUAL for c in part}
+    for sign in sorted(usual | set("".join(usual).lower())):
+        kind = unicodedata.category(sign)[0]
+        if kind in kinds:
+            kinds[kind] += f"\\u{ord(sign):04x}"
+    pattern = pattern.replace(r"\p{L}", kinds["L"]).replace(r"\p{N}", kinds["N"])
+    return re.compile(pattern.replace(r"\s", r"\t-\r \x85\xa0")).findall
+
+
 class Vocabulary:
     """Tokens in the order of their merges, with spines of merged parts."""
 
@@ -78,15 +92,14 @@ class Encoder:
         self.vocabulary, self.library = vocabulary, library
         self.symbols = byte_symbols()
         self.bytes_of = {s: b for b, s in enumerate(self.symbols)}
-        self.length = {i: len(t) for t, i in vocabulary.ids.items()}
         self.automaton = ahocorasick.Automaton()
         for token, number in vocabulary.ids.items():
-            self.automaton.add_word(token, number)
+            self.automaton.add_word(token, (number, len(token)))
         self.automaton.make_automaton()
         self._compatible: dict[tuple[int, int], bool] = {}
-        added = "|".join(regex.escape(t) for t in sorted(vocabulary.added, key=len, reverse=True))
-        self.cut_added = regex.compile(f"({added})").split if added else lambda text: [text]
-        self.words = regex.compile(vocabulary.split_pattern.replace(r"\s", r"\p{White_Space}")).findall
+        added = "|".join(re.escape(t) for t in sorted(vocabulary.added, key=len, reverse=True))
+        self.cut_added = re.compile(f"({added})").split if added else lambda text: [text]
+        self.words = usual_words(vocabulary.split_pattern)
 
     def _spine(self, token: int, side: int) -> list[tuple[int, int]]:
         """(rank, token) of the parts at one border of a token, from one symbol to the whole."""
@@ -130,30 +143,36 @@ class Encoder:
     def encode_word(self, word: str) -> list[int]:
         """Tokens of one word, its bytes given as symbols."""
         text = word + END
-        tokens_at: list[list[int]] = [[] for _ in text]
-        for end, token in self.automaton.iter(text):
-            tokens_at[end + 1 - self.length[token]].append(token)
-        chain: list[int] = []
-        places = [0]
-        left = [tokens_at[0]]  # candidates not tried yet at each place, the longest last
+        size = len(text)
+        # Tokens not tried yet at each place, the longest last. A place is on
+        # the chain at most once: when it is left, all its tokens were tried.
+        waiting: list[list] = [[] for _ in range(size)]
+        for end, found in self.automaton.iter(text):
+            waiting[end + 1 - found[1]].append(found)
+        known, compatible = self._compatible, self.compatible
         closed = set()
-        while places[-1] < len(text):
-            here, candidates = places[-1], left[-1]
+        chain: list[int] = []
+        places: list[int] = []
+        here, last = 0, -1
+        while here < size:
+            candidates = waiting[here]
             while candidates:
-                token = candidates.pop()
-                to = here + self.length[token]
-                if to not in closed and (not chain or self.compatible(chain[-1], token)):
-                    chain.append(token)
-                    places.append(to)
-                    left.append(list(tokens_at[to]) if to < len(text) else [])
-                    break
+                token, length = candidates.pop()
+                if here + length not in closed:
+                    fits = last < 0 or known.get((last, token))
+                    if fits or fits is None and compatible(last, token):
+                        chain.append(token)
+                        places.append(here)
+                        here += length
+                        last = token
+                        break
             else:
                 if not chain:
                     raise ValueError(f"no tokens for {word!r}")
                 closed.add(here)
                 chain.pop()
-                places.pop()
-                left.pop()
+                here = places.pop()
+                last = chain[-1] if chain else -1
         return chain
 
     def pieces(self, text: str):
@@ -182,35 +201,35 @@ class Encoder:
 
 
 class Decoder:
-    """All token strings in one run of bytes; a token is a stretch of it."""
+    """All token strings in one long string; a token is a stretch of it."""
 
     def __init__(self, vocabulary: Vocabulary):
-        strings = [vocabulary.strings.get(i, "").encode() + b" " for i in range(max(vocabulary.strings) + 1)]
-        self.bytes = np.frombuffer(b"".join(strings), dtype=np.uint8)
-        self.offsets = np.concatenate(([0], np.cumsum([len(s) for s in strings])))
+        strings = [vocabulary.strings.get(i, "") + " " for i in range(max(vocabulary.strings) + 1)]
+        self.strings = "".join(strings)
+        self.offsets = [0, *accumulate(map(len, strings))]
 
     def decode(self, ids: list[int]) -> str:
         """Token strings joined by spaces: the file names no decoder."""
-        if not len(ids):
-            return ""
-        ids = np.asarray(ids)
-        sizes = self.offsets[ids + 1] - self.offsets[ids]
-        ends = np.cumsum(sizes)
-        places = np.arange(ends[-1]) + np.repeat(self.offsets[ids] - (ends - sizes), sizes)
-        return self.bytes[places].tobytes()[:-1].decode()
+        strings, offsets = self.strings, self.offsets
+        return "".join([strings[offsets[i] : offsets[i + 1]] for i in ids])[:-1]
 
 
-class _Remembered(dict):
-    """Result of ``make`` per word; emptied when full."""
+class Remembered(dict):
+    """Result of ``make`` per word. When full, it becomes the older generation, from which words come back."""
 
     def __init__(self, make):
         super().__init__()
         self.make = make
+        self.older: dict = {}
 
     def __missing__(self, word):
         if len(self) >= REMEMBERED_WORDS:
+            self.older = dict(self)
             self.clear()
-        value = self[word] = self.make(word)
+        value = self.older.get(word)
+        if value is None:
+            value = self.make(word)
+        self[word] = value
         return value
 
 
@@ -235,7 +254,7 @@ def encode_documents(docs: DataFrame, path: str, with_ids: bool = False) -> Data
             ids = encoder.encode_piece(piece)
             return len(ids), " ".join(map(str, ids)), decoder.decode(ids)
 
-        known = _Remembered(make)
+        known = Remembered(make)
         for row in rows:
             found = [known[p] for p in encoder.pieces(row["text"].decode())]
             counts, ids, strings = zip(*found, strict=True) if found else ((), (), ())

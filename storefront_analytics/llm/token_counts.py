@@ -36,7 +36,7 @@ class _WordCounter:
 
     def __init__(self, path: str):
         self.encoder, _ = bpe.load(path)
-        self.known = bpe._Remembered(lambda piece: len(self.encoder.encode_piece(piece)))
+        self.known = bpe.Remembered(lambda piece: len(self.encoder.encode_piece(piece)))
 
     def __call__(self, text: str) -> int:
         return sum(map(self.known.__getitem__, self.encoder.pieces(text)))

@@ -15,6 +15,7 @@ from .license_scan import license_notices
 from .mixing import Mix, mixed
 from .quality import quality_scores
 from .secret_scan import secret_spans
+from .suffix_dedup import remove_repeats
 from .token_counts import token_counts
 
 #: The tokenizer of the registered queries; the operators take any path.
@@ -59,11 +60,16 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("found", F.array_join(named, ","))
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(read_table(spark, sf_dir, "documents")).drop("spans")
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_ann": op2_ann,
     "op3_mixing": op3_mixing,
     "op4_secret_scan": op4_secret_scan,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_bpe": op6_bpe,
     "op7_near_dedup": op7_near_dedup,
     "op8_license_scan": op8_license_scan,

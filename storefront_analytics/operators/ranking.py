@@ -15,10 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from storefront_analytics.sources.scratch import Stored, store
-
-# Up to this many stored rows a plain window in one task is the cheaper way.
-ONE_TASK_ROWS = 100_000
+from storefront_analytics.sources.scratch import store
 
 # monotonically_increasing_id(): partition number above, row number below.
 _ROW_BITS = 33
@@ -104,23 +101,13 @@ def with_tiles(frame: DataFrame, key: str, measures: Mapping[str, Column], tiles
     return frame.join(per_key, same_key, "left").drop(per_key[key])
 
 
-def with_dense_ranks(stored: Stored, measures: Mapping[str, Column], one_task_rows: int = ONE_TASK_ROWS) -> DataFrame:
+def with_dense_ranks(frame: DataFrame, measures: Mapping[str, Column]) -> DataFrame:
     """Add ``dense_rank`` over each measure descending, missing values first.
 
-    The stored row count decides: few rows take a plain window, more take
-    positions over the distinct values. The values are combined before they
-    are sorted, and joined back to the rows, where a value that many rows share
-    is a join partition that adaptive execution splits.
+    The values are combined before they are sorted, and joined back to the rows,
+    where a value that many rows share is a join partition that adaptive
+    execution splits. ``frame`` should be a stored one, since it is read twice.
     """
-    frame = stored.frame
-    if stored.rows <= one_task_rows:
-        return frame.select(
-            "*",
-            *[
-                F.dense_rank().over(Window.orderBy(value.desc_nulls_first())).cast("bigint").alias(name)
-                for name, value in measures.items()
-            ],
-        )
 
     def add(out: DataFrame, item: tuple[str, Column]) -> DataFrame:
         name, value = item
@@ -131,23 +118,12 @@ def with_dense_ranks(stored: Stored, measures: Mapping[str, Column], one_task_ro
     return reduce(add, measures.items(), frame)
 
 
-def with_ranks(
-    stored: Stored, key: str, measures: Mapping[str, Column], one_task_rows: int = ONE_TASK_ROWS
-) -> DataFrame:
+def with_ranks(frame: DataFrame, key: str, measures: Mapping[str, Column]) -> DataFrame:
     """Add ``rank`` over each measure descending, missing values first.
 
-    Beyond ``one_task_rows`` the rank of a value is the first position any row
-    with it has; ``key`` identifies a row and makes the order total.
+    The rank of a value is the first position any row with it has; ``key``
+    identifies a row and makes the order total.
     """
-    frame = stored.frame
-    if stored.rows <= one_task_rows:
-        return frame.select(
-            "*",
-            *[
-                F.rank().over(Window.orderBy(value.desc_nulls_first())).cast("bigint").alias(name)
-                for name, value in measures.items()
-            ],
-        )
 
     def add(out: DataFrame, item: tuple[str, Column]) -> DataFrame:
         name, value = item
@@ -160,9 +136,3 @@ def with_ranks(
     return reduce(add, measures.items(), frame)
 
 
-def with_row_numbers(stored: Stored, order: Sequence[Column], name: str, one_task_rows: int = ONE_TASK_ROWS) -> DataFrame:
-    """Add the 1-based place of each row in ``order``, which must be total."""
-    if stored.rows <= one_task_rows:
-        place = F.row_number().over(Window.orderBy(*order)).cast("bigint")
-        return stored.frame.withColumn(name, place)
-    return with_positions(stored.frame, order, name)

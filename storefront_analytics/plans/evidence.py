@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from storefront_analytics.functions.columns import count_rows, exact_mean
-from storefront_analytics.operators.ranking import with_row_numbers
-from storefront_analytics.sources.scratch import Stored, store
+from storefront_analytics.operators.ranking import with_positions
+from storefront_analytics.sources.scratch import Stored
 
 # Fixed values.
 INPUT_VERSION = "v2.0"
@@ -150,8 +150,8 @@ def _described(ranked: DataFrame) -> DataFrame:
 
 def ranked_anomalies(standardized: DataFrame) -> DataFrame:
     """Every anomaly with its severity rank and evidence id."""
-    found = store(standardized.filter("is_anomaly"), "anomalies")
-    return _described(with_row_numbers(found, _severity(), "severity_rank"))
+    found = standardized.filter("is_anomaly")
+    return _described(with_positions(found, _severity(), "severity_rank"))
 
 
 def top_anomaly_facts(standardized: DataFrame, top: int = TOP_ANOMALIES) -> DataFrame:

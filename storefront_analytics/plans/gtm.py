@@ -54,7 +54,7 @@ def mart_acquisition_channel_performance(channels: Stored) -> DataFrame:
     conversion = ratio(buying, acquired)
     total = channels.frame.agg(F.sum("total_revenue").alias("_revenue"))
     ranked = with_ranks(
-        channels,
+        channels.frame,
         "acquisition_channel",
         {"revenue_rank": F.col("total_revenue"), "conversion_rank": conversion},
     )
@@ -103,7 +103,7 @@ def mart_geographic_performance(regions: Stored) -> DataFrame:
         F.avg("average_customer_return_rate").alias("_returns"),
         F.sum("total_revenue").alias("_revenue"),
     )
-    ranked = with_dense_ranks(regions, {"global_revenue_rank": F.col("total_revenue")})
+    ranked = with_dense_ranks(regions.frame, {"global_revenue_rank": F.col("total_revenue")})
     in_country = Window.partitionBy("country").orderBy(F.col("total_revenue").desc_nulls_first())
     conversion, repeat_rate = ratio(buying, acquired), ratio(repeat, buying)
     action = (
@@ -217,7 +217,7 @@ def mart_gtm_channel_summary(combined: Stored) -> DataFrame:
         ratio(F.sum("repeat_customer_count"), F.sum("purchasing_customer_count")).alias("_repeat"),
     )
     ranked = with_dense_ranks(
-        combined,
+        combined.frame,
         {"revenue_rank": F.col("total_revenue"), "session_conversion_rank": F.col("session_conversion_rate")},
     )
     repeat = F.col("repeat_purchaser_rate")
@@ -347,7 +347,7 @@ def mart_product_performance(products: Stored) -> DataFrame:
     """Margins, rates and ranks per ordered product, from :func:`product_metrics`."""
     revenue, completed = F.col("completed_revenue"), F.col("completed_units")
     profit = revenue - F.col("completed_product_cost")
-    ranked = with_dense_ranks(products, {"revenue_rank": revenue, "gross_profit_rank": profit})
+    ranked = with_dense_ranks(products.frame, {"revenue_rank": revenue, "gross_profit_rank": profit})
     return ranked.select(
         *products.frame.columns,
         profit.alias("estimated_gross_profit"),

@@ -52,34 +52,26 @@ def _flag(condition: Column) -> Column:
 def int_session_funnel(staged_events: DataFrame) -> DataFrame:
     """One row per web session with the stages it reached.
 
-    Largest text needs a sorting aggregation in Spark, so the events are first
-    combined by hash per session, source and browser, which is about one row per
-    session, and only those rows are sorted. The known event types are counted
-    from the stage flags; an unexpected type is kept as a key and counted exactly.
+    One grouping by session. Largest text alone would need a sorting
+    aggregation, so the few sources and browsers of a session are gathered as
+    sets, by hash, like its unexpected event types.
     """
     kind = F.lower("event_type")
     unexpected = F.when(~F.col("event_type").isin(*EVENT_TYPES), F.col("event_type"))
-    visits = (
+    sessions = (
         staged_events.filter(F.col("session_id").isNotNull())
-        .groupBy("session_id", "traffic_source", "browser", unexpected.alias("other_type"))
+        .groupBy("session_id")
         .agg(
             F.max("user_id").alias("user_id"),
-            F.min("event_created_at").alias("started_at"),
-            F.max("event_created_at").alias("ended_at"),
-            count_rows().alias("events"),
+            F.array_max(F.collect_set("traffic_source")).alias("traffic_source"),
+            F.array_max(F.collect_set("browser")).alias("browser"),
+            F.min("event_created_at").alias("session_started_at"),
+            F.max("event_created_at").alias("session_ended_at"),
+            count_rows().alias("event_count"),
+            F.size(F.collect_set(unexpected)).cast("bigint").alias("other_types"),
             *[F.max(_flag(kind == t)).alias(f"reached_{t}") for t in EVENT_TYPES],
         )
     )
-    sessions = visits.groupBy("session_id").agg(
-        F.max("user_id").alias("user_id"),
-        F.max("traffic_source").alias("traffic_source"),
-        F.max("browser").alias("browser"),
-        F.min("started_at").alias("session_started_at"),
-        F.max("ended_at").alias("session_ended_at"),
-        F.sum("events").alias("event_count"),
-        F.countDistinct("other_type").alias("other_types"),
-        *[F.max(f"reached_{t}").alias(f"reached_{t}") for t in EVENT_TYPES],
-    )
     reached = {t: F.col(f"reached_{t}") for t in EVENT_TYPES}
     stage = None
     for t in FUNNEL_STAGES:

@@ -8,15 +8,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from storefront_analytics.functions.columns import MONEY
-from storefront_analytics.sources.scratch import Stored
 
 # Fixed values.
 MISSING_PRODUCT_NAME = "Unknown Product"
 ORPHAN_REASON = "ORDER_ID_NOT_FOUND"
 
-# Up to this many ids (8 bytes each) the orphan list is sent to every executor.
-BROADCAST_IDS = 1_000_000
-
 
 def _text(name: str, alias: str | None = None) -> Column:
     return F.trim(F.col(name)).alias(alias or name)
@@ -91,31 +87,27 @@ def orphan_order_ids(order_items: DataFrame, staged_orders: DataFrame) -> DataFr
     return ids.join(staged_orders.select("order_id"), "order_id", "left_anti")
 
 
-def _as_join_side(orphans: Stored) -> DataFrame:
-    """Broadcast the orphan ids while they are few; shuffle beyond that."""
-    return F.broadcast(orphans.frame) if orphans.rows <= BROADCAST_IDS else orphans.frame
-
-
-def stg_order_items(order_items: DataFrame, orphans: Stored) -> DataFrame:
+def stg_order_items(order_items: DataFrame, orphans: DataFrame) -> DataFrame:
     """Items whose order exists.
 
-    Dropping the few orphans keeps the same rows as joining all orders, without
-    moving the items.
+    Dropping the orphans keeps the same rows as joining all orders. They are
+    few as a rule, and Spark then sends them to the items by their stored size.
     """
     return (
         clean_order_items(order_items)
         .filter(F.col("order_id").isNotNull())
-        .join(_as_join_side(orphans), "order_id", "left_anti")
+        .join(orphans, "order_id", "left_anti")
     )
 
 
 def stg_order_items_rejected(
-    order_items: DataFrame, orphans: Stored, rejected_at: datetime | None = None
+    order_items: DataFrame, orphans: DataFrame, rejected_at: datetime | None = None
 ) -> DataFrame:
     """Items without an order, null order ids included, status left as it came."""
     at = F.lit(rejected_at.isoformat(sep=" ")) if rejected_at else F.current_timestamp()
-    marked = order_items.join(_as_join_side(orphans).withColumn("_orphan", F.lit(True)), "order_id", "left")
-    return marked.filter(F.col("order_id").isNull() | F.col("_orphan")).select(
+    # Items without an id need no join, in which they would all meet in one task.
+    without = order_items.filter(F.col("order_id").isNull())
+    return order_items.join(orphans, "order_id", "left_semi").unionByName(without).select(
         F.col("id").alias("order_item_id"),
         "order_id",
         "user_id",

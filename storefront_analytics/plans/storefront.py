@@ -90,17 +90,17 @@ class Storefront:
         return staging.stg_events(self.raw["events"])
 
     @cached_property
-    def _stored_orphans(self) -> Stored:
-        return store(staging.orphan_order_ids(self.raw["order_items"], self.stg_orders), "orphan-order-ids")
+    def _orphans(self) -> DataFrame:
+        return staging.orphan_order_ids(self.raw["order_items"], self.stg_orders)
 
     @cached_property
     def stg_order_items(self) -> DataFrame:
-        return staging.stg_order_items(self.raw["order_items"], self._stored_orphans)
+        return staging.stg_order_items(self.raw["order_items"], self._orphans)
 
     @cached_property
     def stg_order_items_rejected(self) -> DataFrame:
         return staging.stg_order_items_rejected(
-            self.raw["order_items"], self._stored_orphans, self.settings.run_at
+            self.raw["order_items"], self._orphans, self.settings.run_at
         )
 
     # -- intermediate ----------------------------------------------------------

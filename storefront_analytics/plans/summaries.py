@@ -20,9 +20,6 @@ APPROVED = "APPROVED"
 # pass its name along.
 TEMPLATE_MODEL = "evidence-template-1"
 
-# Up to this many new rows their keys are sent to every executor.
-BROADCAST_BATCH = 100_000
-
 HISTORY_SCHEMA = (
     "summary_id string, period_start_date date, period_end_date date, model_name string, "
     "prompt_version string, input_version string, input_hash string, prompt_text string, "
@@ -162,13 +159,11 @@ def summary_candidates(
 def new_summaries(candidates: Stored, history: DataFrame) -> DataFrame:
     """Candidates whose input, model and prompt version are not in the history.
 
-    The few candidate keys go to the history, not the history to the keys: one
-    scan of three columns, no shuffle of the history.
+    The history is scanned for three columns. Spark sends the candidate keys to
+    it when their stored size allows.
     """
     keys = ["input_hash", "model_name", "prompt_version"]
     wanted = candidates.frame.select(*keys).distinct()
-    if candidates.rows <= BROADCAST_BATCH:
-        wanted = F.broadcast(wanted)
     known = history.select(*keys).join(wanted, keys, "left_semi").distinct()
     return candidates.frame.join(known, keys, "left_anti").select(*HISTORY_COLUMNS)
 

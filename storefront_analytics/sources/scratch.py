@@ -45,9 +45,14 @@ def shared_folder(spark: SparkSession) -> str:
     return "file://" + _local_dirs[app]
 
 
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A path in the shared folder that nothing else uses."""
+    return f"{shared_folder(spark)}/storefront/{name}-{uuid.uuid4().hex}"
+
+
 def store(frame: DataFrame, name: str) -> Stored:
     """Write ``frame`` to the shared folder and return what was written."""
     spark = frame.sparkSession
-    path = f"{shared_folder(spark)}/storefront/{name}-{uuid.uuid4().hex}"
+    path = new_folder(spark, name)
     frame.write.parquet(path)
     return Stored(spark.read.schema(frame.schema).parquet(path))

@@ -7,7 +7,7 @@ shuffle of its own. ``FIXTURES.md`` lists the same rules in prose.
 
 from __future__ import annotations
 
-from datetime import date, datetime, timedelta
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -99,8 +99,9 @@ class StarSchema:
                 "c_custkey AS id",
                 "c_name AS first_name",
                 "concat(' Family ', c_custkey % 100) AS last_name",
-                "concat(lower(c_name), '@Example.com ') AS email",
-                "if(c_custkey % 50 = 49, NULL, 15 + c_custkey % 60) AS age",
+                "if(c_custkey % 103 = 102, NULL, concat(lower(c_name), '@Example.com ')) AS email",
+                "CASE WHEN c_custkey % 50 = 49 THEN NULL WHEN c_custkey % 101 = 100 THEN 130 "
+                "ELSE 15 + c_custkey % 60 END AS age",
                 "if(c_custkey % 2 = 0, ' f', 'M') AS gender",
                 "if(c_custkey % 40 = 39, NULL, n_name) AS state",
                 "concat(c_custkey, ' Main Street ') AS street_address",
@@ -115,33 +116,30 @@ class StarSchema:
         )
 
     def orders(self) -> DataFrame:
-        # The shifted clock keeps the date, so the cut-off is a comparison of
-        # the source column and reaches the Parquet scan.
-        end = datetime.combine(CUTOFF - timedelta(days=SHIFT_DAYS), datetime.min.time())
         open_status = _nth("o_orderkey % 3", ["Cancelled", "Returned", "Processing"])
-        orders = (
-            self.table("orders")
-            .filter(f"o_orderdate < {_moment(end)}")
-            .selectExpr(
-                "o_orderkey AS order_id",
-                "o_custkey - if(o_custkey % 20 = 19, 1, 0) AS user_id",
-                "CASE o_orderstatus WHEN 'F' THEN ' Complete' "
-                f"WHEN 'O' THEN if(o_orderkey % 2 = 0, 'Shipped', 'complete') ELSE {open_status} END AS status",
-                "if(o_custkey % 2 = 0, 'f ', 'm') AS gender",
-                f"{_shifted('o_orderdate', 'o_orderkey')} AS created_at",
-                "1 + o_orderkey % 4 AS num_of_item",
-            )
+        orders = self.table("orders").selectExpr(
+            "o_orderkey AS order_id",
+            # Some orders belong to no user.
+            "if(o_orderkey % 199 = 198, -o_custkey - 1, o_custkey - if(o_custkey % 20 = 19, 1, 0)) AS user_id",
+            "CASE if(o_orderkey % 307 = 306, 'H', o_orderstatus) WHEN 'H' THEN 'On hold ' WHEN 'F' THEN ' Complete' "
+            f"WHEN 'O' THEN if(o_orderkey % 2 = 0, 'Shipped', 'complete') ELSE {open_status} END AS status",
+            "if(o_custkey % 2 = 0, 'f ', 'm') AS gender",
+            f"{_shifted('o_orderdate', 'o_orderkey')} AS created_at",
+            "1 + o_orderkey % 4 AS num_of_item",
         )
         return _with_deliveries(orders, "2 + order_id % 7")
 
     def order_items(self) -> DataFrame:
         # Line numbers repeat within an order, so the id is taken from a digest
-        # of the whole key: no window over an order of any size.
-        key = "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, date(l_shipdate))"
-        item_id = f"bigint(conv(left(md5({key}), 15), 16, 10))"
+        # of the whole row (63 bits): no window over an order of any size.
+        key = (
+            "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, date(l_shipdate), l_returnflag, "
+            "l_linestatus, bigint(round(l_extendedprice * 100)))"
+        )
+        item_id = f"bigint(cast(conv(left(md5({key}), 16), 16, 10) AS decimal(20)) % 9223372036854775808)"
         items = self.table("lineitem").selectExpr(
             f"{item_id} AS id",
-            "l_orderkey AS order_id",
+            "if(l_orderkey % 311 = 310, -l_orderkey, l_orderkey) AS order_id",  # some without an order
             "l_suppkey AS user_id",
             "l_partkey AS product_id",
             "CASE concat(l_returnflag, l_linestatus) WHEN 'RF' THEN 'Returned' WHEN 'RO' THEN 'Cancelled' "
@@ -158,13 +156,13 @@ class StarSchema:
             .crossJoin(F.broadcast(suppliers))  # one row
             .selectExpr(
                 "p_partkey AS id",
-                "p_retailprice * 18 AS cost",
+                "p_retailprice * if(p_partkey % 89 = 88, 36, 18) AS cost",
                 "p_type AS category",
                 "CASE p_partkey % 100 WHEN 99 THEN '  ' WHEN 98 THEN NULL ELSE p_name END AS name",
                 "p_brand AS brand",
-                "p_retailprice * 30 AS retail_price",
+                "p_retailprice * if(p_partkey % 83 = 82, 0, 30) AS retail_price",
                 "if(p_partkey % 2 = 0, 'Men', 'women ') AS department",
-                "concat('SKU-', p_partkey) AS sku",
+                "concat('SKU-', p_partkey - if(p_partkey % 97 = 96, 1, 0)) AS sku",
                 "p_partkey % suppliers AS distribution_center_id",
             )
         )
@@ -201,7 +199,7 @@ class StarSchema:
         return self.table("events").selectExpr(
             "event_id AS id",
             "if(user_id % 10 = 9, NULL, user_id) AS user_id",
-            "event_id + 1 AS sequence_number",
+            "if(user_id % 29 = 28, 1, event_id + 1) AS sequence_number",
             "concat_ws('-', user_id, date(ts), hour(ts) div 12) AS session_id",
             f"ts - {_days('30 * ((user_id div 6) % 12)')} AS created_at",
             "concat('10.0.', user_id div 256, '.', user_id % 256) AS ip_address",

@@ -118,13 +118,7 @@ def test_package_keeps_inner_nulls_and_drops_outer_ones(spark):
     assert "period_start_date" not in parsed and parsed["scored_observations"] == 0
 
 
-@pytest.mark.parametrize("limit", [100_000, 0])
-def test_twenty_strongest_of_twenty_five(spark, monkeypatch, limit):
-    from functools import partial
-
-    from storefront_analytics.operators import ranking
-
-    monkeypatch.setattr(evidence, "with_row_numbers", partial(ranking.with_row_numbers, one_task_rows=limit))
+def test_twenty_strongest_of_twenty_five(spark):
     data = [_row("A|TOTAL_ORDERS", n, distance=3.0 + n) for n in range(22)]
     # Same strength: the later day first, then the series name.
     data += [_row("B|TOTAL_ORDERS", 60, distance=-99.0), _row("A|TOTAL_ORDERS", 60, distance=99.0)]

@@ -33,9 +33,7 @@ def test_append_twice_adds_once(spark, package, tmp_path):
     assert {r["review_status"] for r in history.collect()} == {"PENDING_REVIEW"}
 
 
-@pytest.mark.parametrize("limit", [summaries.BROADCAST_BATCH, 0])
-def test_known_keys_with_and_without_broadcast(package, monkeypatch, limit):
-    monkeypatch.setattr(summaries, "BROADCAST_BATCH", limit)
+def test_known_keys(package):
     candidates = store(summaries.summary_candidates(package, RUN_AT), "candidates")
     other = candidates.frame.withColumn("input_hash", F.lit("other"))
     assert summaries.new_summaries(candidates, candidates.frame).count() == 0

@@ -4,6 +4,8 @@ from datetime import date
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import Window
+from pyspark.sql import functions as F
 
 from storefront_analytics.plans import customers, gtm
 from storefront_analytics.sources.scratch import store
@@ -111,19 +113,16 @@ def test_channel_without_sessions_ranks_first(shop):
     assert by["Email"]["recommended_action"] == "Scale high-performing channel"
 
 
-def test_regions_both_ranking_ways(shop, monkeypatch):
+def test_region_ranks_equal_the_window(shop):
     users = [{"id": i, "country": f"C{i % 2}", "state": f"S{i % 5}" if i % 7 else None} for i in range(1, 40)]
     pairs = [order(i, i, "Complete", "2024-01-01", float(i % 4)) for i in range(1, 40)]
     store_ = shop(users=users, **with_orders(*pairs))
     regions = store(gtm.region_metrics(store_.mart_customer_360), "regions")
-    small = rows(gtm.mart_geographic_performance(regions), "country", "state")
-    from functools import partial
-
-    from storefront_analytics.operators import ranking
-
-    monkeypatch.setattr(gtm, "with_dense_ranks", partial(ranking.with_dense_ranks, one_task_rows=0))
-    assert rows(gtm.mart_geographic_performance(regions), "country", "state") == small
-    assert any(r["state"] == "Unknown" for r in small)
+    got = rows(gtm.mart_geographic_performance(regions), "country", "state")
+    place = F.dense_rank().over(Window.orderBy(F.col("total_revenue").desc_nulls_first())).cast("bigint")
+    want = rows(regions.frame.withColumn("place", place), "country", "state")
+    assert [r["global_revenue_rank"] for r in got] == [r["place"] for r in want]
+    assert any(r["state"] == "Unknown" for r in got)
 
 
 def test_products(shop):

@@ -11,7 +11,6 @@ from storefront_analytics.operators.ranking import (
     with_dense_ranks,
     with_positions,
     with_ranks,
-    with_row_numbers,
     with_tiles,
 )
 from storefront_analytics.sources.scratch import Stored, store
@@ -57,29 +56,18 @@ def test_positions_count_up(values):
     assert [r["id"] for r in got] == [r["id"] for r in frame.orderBy(F.col("a").desc(), "id").collect()]
 
 
-def test_dense_ranks_both_ways(values):
-    stored = values(300)
-    measures = {"ra": F.col("a"), "rb": F.col("b")}
-    small = with_dense_ranks(stored, measures)
-    large = with_dense_ranks(stored, measures, one_task_rows=0)
-    assert sorted(small.collect(), key=lambda r: r.id) == sorted(large.collect(), key=lambda r: r.id)
-    assert large.filter("b is null").select("rb").distinct().collect()[0][0] == 1  # missing first
-
-
-def test_ranks_both_ways(values):
-    stored = values(300)
+@pytest.mark.parametrize("function", ["dense_rank", "rank"])
+def test_ranks_equal_the_window(values, function):
+    frame = values(300).frame
     measures = {"ra": F.col("a"), "rb": F.col("b")}
-    small = with_ranks(stored, "id", measures)
-    large = with_ranks(stored, "id", measures, one_task_rows=0)
-    assert sorted(small.collect(), key=lambda r: r.id) == sorted(large.collect(), key=lambda r: r.id)
-
-
-def test_row_numbers_both_ways(values):
-    stored = values(200)
-    order = [F.col("a").desc(), F.col("id").asc()]
-    small = with_row_numbers(stored, order, "n").collect()
-    large = with_row_numbers(stored, order, "n", one_task_rows=0).collect()
-    assert sorted(small, key=lambda r: r.n) == sorted(large, key=lambda r: r.n)
+    got = with_dense_ranks(frame, measures) if function == "dense_rank" else with_ranks(frame, "id", measures)
+    ranking = getattr(F, function)
+    want = frame.select(
+        "*",
+        *[ranking().over(Window.orderBy(v.desc_nulls_first())).cast("bigint").alias(n) for n, v in measures.items()],
+    )
+    assert sorted(got.collect(), key=lambda r: r.id) == sorted(want.collect(), key=lambda r: r.id)
+    assert got.filter("b is null").select("rb").distinct().collect()[0][0] == 1  # missing first
 
 
 def test_distributed_ways_need_no_single_task_over_the_rows(values):

@@ -40,9 +40,7 @@ def test_users_and_events(shop):
     assert len(first["ip_address_hash"]) == 64 and second["is_authenticated_event"] is True
 
 
-@pytest.mark.parametrize("limit", [staging.BROADCAST_IDS, 0])
-def test_orphan_items(shop, monkeypatch, limit):
-    monkeypatch.setattr(staging, "BROADCAST_IDS", limit)
+def test_orphan_items(shop):
     store = shop(
         orders=[{"order_id": 1, "created_at": DAY}],
         order_items=[

@@ -11,8 +11,11 @@ No pair is lost to a limit. Two documents at the threshold share at least
 set; else fewer with a probability below 1e-5), so it is enough to list a
 document under its rarest values, all but ``SHARE - 1`` of them: those that
 thousands share hardly get a list. Within a list every document meets the
-first one; after that only documents of different components are paired, so a
-large group of near copies costs one comparison per document and list.
+first one. Lists whose documents are in one component then are settled, so a
+large group of near copies costs one comparison per document and list. The
+documents of the others are listed anew by sketches of ``MORE_KEEP`` values, of
+which a pair shares ``MORE_SHARE``: documents that only have a common passage
+drop out, and the pairs of different components that are left are compared.
 Documents with the same set are one from the start.
 
 Defined cases: null or empty texts and texts without words have no shingles and
@@ -36,6 +39,8 @@ from .components import components
 WORDS = 5
 KEEP = 32
 SHARE = 12
+MORE_KEEP = 512
+MORE_SHARE = 336
 PERCENT = 75
 REMEMBERED_WORDS = 100_000
 _ODD = np.array([(3 + 2 * i) ** 39 % (1 << 64) for i in range(WORDS)], dtype=np.uint64)
@@ -73,20 +78,26 @@ def _sketches(rows):
     known = _WordHashes()
     for row in rows:
         values = shingle_set(row["text"], known)
-        digest = xxhash.xxh128_digest(values.tobytes())
-        yield (
-            row["doc_id"],
-            len(values),
-            int.from_bytes(digest[:8], "big", signed=True),
-            int.from_bytes(digest[8:], "big", signed=True),
-            values[:KEEP].tolist(),
-        )
+        yield row["doc_id"], len(values), *_digests(values), values[:KEEP].tolist()
+
+
+def _digests(values: np.ndarray) -> tuple[int, int]:
+    digest = xxhash.xxh128_digest(values.tobytes())
+    return int.from_bytes(digest[:8], "big", signed=True), int.from_bytes(digest[8:], "big", signed=True)
 
 
 def _sets(rows):
     known = _WordHashes()
     for row in rows:
-        yield row["doc_id"], shingle_set(row["text"], known).tobytes()
+        values = shingle_set(row["text"], known)
+        if _digests(values) == (row["digest_a"], row["digest_b"]):
+            yield row["doc_id"], len(values), values.tobytes()
+
+
+def _values(rows):
+    for row in rows:
+        for value in np.frombuffer(row["shingles"], dtype=np.int64)[:MORE_KEEP].tolist():
+            yield row["doc_id"], row["n_shingles"], value
 
 
 def _confirmed(rows):
@@ -97,7 +108,7 @@ def _confirmed(rows):
             yield row["a"], row["b"]
 
 
-def _links(pairs: DataFrame, shapes: DataFrame, docs: DataFrame) -> DataFrame:
+def _links(pairs: DataFrame, shapes: DataFrame, sets: DataFrame) -> DataFrame:
     """Those of the pairs (a, b) that reach the threshold."""
 
     def side(name):
@@ -110,11 +121,29 @@ def _links(pairs: DataFrame, shapes: DataFrame, docs: DataFrame) -> DataFrame:
     union = F.slice(F.array_sort(F.array_union("s_a", "s_b")), 1, KEEP)
     both = F.size(F.array_intersect(union, F.array_intersect("s_a", "s_b")))
     likely = store(pairs.filter(fits).filter(both * KEEP >= F.size(union) * SHARE).select("a", "b"), "near-likely").frame
-    ids = likely.select(F.col("a").alias("doc_id")).union(likely.select("b")).distinct()
-    texts = docs.select("doc_id", "text").join(ids, "doc_id", "left_semi")
-    sets = store(map_rows(texts, _sets, "doc_id long, shingles binary"), "near-sets").frame
+    sets = sets.select("doc_id", "shingles")
     pairs = likely.join(sets.toDF("b", "set_b"), "b").join(sets.toDF("a", "set_a"), "a")
-    return store(map_rows(pairs, _confirmed, "a long, b long").distinct(), "near-links").frame
+    return store(map_rows(pairs, _confirmed, "a long, b long"), "near-links").frame
+
+
+def _lists(kept: DataFrame, keep: int, share: int, name: str) -> DataFrame:
+    """Each document's rarest values, all but ``share - 1`` of its sketch: value, doc_id, n_shingles, at.
+
+    A value that no other document keeps needs no list but counts as rarest;
+    ``at`` is the place of a value in the document's sketch, rarest first.
+    """
+    small = F.col("n_shingles") * 100 <= keep * PERCENT  # then any partner's sketch is its set, too
+    least = F.when(small, F.ceil(F.col("n_shingles") * PERCENT / 100)).otherwise(share)
+    holders = store(kept.groupBy("value").agg(F.count("*").alias("holders")).filter("holders > 1"), f"{name}-values")
+    by_doc = W.partitionBy("doc_id")
+    placed = (
+        kept.join(holders.frame, "value")
+        .withColumn("place", F.row_number().over(by_doc.orderBy("holders", "value")))
+        .withColumn("held", F.count("*").over(by_doc))
+    )
+    alone = F.least("n_shingles", F.lit(keep)) - F.col("held")
+    rarest = placed.filter(F.col("place") <= F.col("held") - least + 1)
+    return store(rarest.select("value", "doc_id", "n_shingles", (F.col("place") + alone).alias("at")), name).frame
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -130,49 +159,43 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     classes = store(shapes.filter("n_shingles > 0").groupBy(*key).agg(F.min("doc_id").alias("first_id")), "near-classes")
     firsts = store(
         shapes.join(classes.frame.select(F.col("first_id").alias("doc_id")), "doc_id", "left_semi").select(
-            "doc_id", "n_shingles", "sketch"
+            "doc_id", "n_shingles", "digest_a", "digest_b", "sketch"
         ),
         "near-firsts",
     ).frame
 
-    # Lists of the documents under their rarest kept values.
-    small = F.col("n_shingles") * 100 <= KEEP * PERCENT  # then any partner's sketch is its set, too
-    share = F.when(small, F.ceil(F.col("n_shingles") * PERCENT / 100))
-    kept = firsts.select(
-        "doc_id", F.coalesce(share, F.lit(SHARE)).cast("int").alias("share"), F.explode("sketch").alias("value")
-    )
-    holders = store(kept.groupBy("value").agg(F.count("*").alias("holders")).filter("holders > 1"), "near-values").frame
-    by_doc = W.partitionBy("doc_id")
-    lists = store(
-        kept.join(holders, "value")
-        .withColumn("place", F.row_number().over(by_doc.orderBy("holders", "value")))
-        .withColumn("held", F.count("*").over(by_doc))
-        .filter("place <= held - share + 1")
-        .select("value", "doc_id"),
-        "near-lists",
-    ).frame
+    kept = firsts.select("doc_id", "n_shingles", F.explode("sketch").alias("value"))
+    lists = _lists(kept, KEEP, SHARE, "near-lists")
+    listed = firsts.join(lists.select("doc_id").distinct(), "doc_id", "left_semi")
+    texts = docs.join(listed.select("doc_id", "digest_a", "digest_b"), "doc_id").dropDuplicates(["doc_id", "text"])
+    sets = store(map_rows(texts, _sets, "doc_id long, n_shingles long, shingles binary"), "near-sets").frame
 
     first_of = store(lists.groupBy("value").agg(F.min("doc_id").alias("a")), "near-heads").frame
     met = lists.join(first_of, "value").filter("a <> doc_id").select("a", F.col("doc_id").alias("b")).distinct()
     met = store(met, "near-met").frame
-    links = _links(met, firsts, docs)
+    links = _links(met, firsts, sets)
     parts = components(links)
 
-    # What the first meetings left open: pairs of a list in different components.
-    placed = lists.join(parts, "doc_id", "left").select(
-        "value", "doc_id", F.coalesce("component_id", "doc_id").alias("part")
-    )
-    placed = store(placed, "near-placed").frame
-    open_lists = placed.groupBy("value").agg(F.min("part").alias("p"), F.max("part").alias("q")).filter("p <> q")
-    placed = placed.join(store(open_lists.select("value"), "near-open").frame, "value", "left_semi")
-    placed = store(placed, "near-open-lists").frame
-    part_of = store(placed.select("value", "part").distinct(), "near-parts").frame
-    meeting = part_of.toDF("value", "p").join(part_of.toDF("value", "q"), "value").filter("p < q")
-    left, right = placed.toDF("value", "x", "p"), placed.toDF("value", "y", "q")
-    crossing = meeting.join(left, ["value", "p"]).join(right, ["value", "q"])
-    crossing = crossing.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    # What the first meetings left open: documents of a list in different components.
+    def placed(lists):
+        part = F.coalesce("component_id", "doc_id").alias("part")
+        return lists.join(parts, "doc_id", "left").select("value", "doc_id", "n_shingles", "at", part)
+
+    by_list = store(placed(lists), "near-placed").frame
+    mixed = by_list.groupBy("value").agg(F.min("part").alias("p"), F.max("part").alias("q")).filter("p <> q")
+    again = by_list.join(store(mixed.select("value"), "near-mixed").frame, "value", "left_semi")
+    again = store(again.select("doc_id").distinct(), "near-again").frame
+    kept = map_rows(sets.join(again, "doc_id", "left_semi"), _values, "doc_id long, n_shingles long, value long")
+    by_list = store(placed(_lists(kept, MORE_KEEP, MORE_SHARE, "near-more-lists")), "near-more-placed").frame
+    left, right = by_list.toDF("value", "a", "n_a", "at_a", "p"), by_list.toDF("value", "b", "n_b", "at_b", "q")
+    fits = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * PERCENT
+    # Of whole sets, no value rarer than the first that both have is in both: what is left must do.
+    left_over = 1 + F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.col("at_b"))
+    enough = left_over * (100 + PERCENT) >= (F.col("n_a") + F.col("n_b")) * PERCENT
+    fits = fits & (enough | (F.greatest("n_a", "n_b") > MORE_KEEP))
+    crossing = left.join(right, "value").filter("a < b and p <> q").filter(fits).select("a", "b").distinct()
     crossing = store(crossing.join(met, ["a", "b"], "left_anti"), "near-crossing").frame
-    links = links.union(_links(crossing, firsts, docs))
+    links = links.union(_links(crossing, firsts, sets))
     parts = components(links)
 
     first = shapes.join(classes.frame, key, "left").select(

@@ -2,14 +2,34 @@
 
 from __future__ import annotations
 
+from oracle import checks
 from oracle.fragments import _ANOMALY_JSON, n_if, rounded, with_fragments
-from storefront_analytics.operators.quality import Check
-from storefront_analytics.plans.quality_rules import all_checks
-from storefront_analytics.plans.summaries import PROMPT_RULES
-from storefront_analytics.sources.raw_tables import RAW_SCHEMAS, raw_columns
 
 ORACLE_SQL: dict[str, str] = {}
 
+# The raw tables and their columns.
+RAW_COLUMNS = {
+    "distribution_centers": "id,name,latitude,longitude",
+    "products": "id,cost,category,name,brand,retail_price,department,sku,distribution_center_id",
+    "users": (
+        "id,first_name,last_name,email,age,gender,state,street_address,postal_code,city,"
+        "country,latitude,longitude,traffic_source,created_at"
+    ),
+    "orders": "order_id,user_id,status,gender,created_at,shipped_at,delivered_at,returned_at,num_of_item",
+    "order_items": (
+        "id,order_id,user_id,product_id,inventory_item_id,status,created_at,shipped_at,"
+        "delivered_at,returned_at,sale_price"
+    ),
+    "inventory_items": (
+        "id,product_id,created_at,sold_at,cost,product_category,product_name,product_brand,"
+        "product_retail_price,product_department,product_sku,product_distribution_center_id"
+    ),
+    "events": (
+        "id,user_id,sequence_number,session_id,created_at,ip_address,city,state,"
+        "postal_code,browser,traffic_source,uri,event_type"
+    ),
+}
+
 
 def query(name: str, select: str) -> None:
     ORACLE_SQL[name] = with_fragments(select)
@@ -132,18 +152,18 @@ def _before_cutoff(table: str) -> str:
 query(
     "snapshot_extract",
     " UNION ALL ".join(
-        f"SELECT '{t}' AS \"table\", count(*) AS rows, CAST({len(raw_columns(t))} AS BIGINT) AS column_count "
+        f"SELECT '{t}' AS \"table\", count(*) AS rows, CAST({len(RAW_COLUMNS[t].split(','))} AS BIGINT) AS column_count "
         f"FROM raw_{t}" + _before_cutoff(t)
-        for t in RAW_SCHEMAS
+        for t in RAW_COLUMNS
     ),
 )
 query(
     "extraction_manifest",
     " UNION ALL ".join(
-        f"SELECT '{t}' AS \"table\", count(*) AS rows, '{','.join(raw_columns(t))}' AS columns, "
+        f"SELECT '{t}' AS \"table\", count(*) AS rows, '{RAW_COLUMNS[t]}' AS columns, "
         "'star-schema' AS source, DATE '2024-01-25' AS cutoff_date, '2024-06-01T00:00:00' AS extracted_at_utc "
         f"FROM raw_{t}" + _before_cutoff(t)
-        for t in RAW_SCHEMAS
+        for t in RAW_COLUMNS
     ),
 )
 query(
@@ -151,7 +171,7 @@ query(
     " UNION ALL ".join(
         f"SELECT '{t}' AS \"table\", count(*) AS expected, count(*) AS actual, true AS matches "
         f"FROM raw_{t}" + _before_cutoff(t)
-        for t in RAW_SCHEMAS
+        for t in RAW_COLUMNS
     ),
 )
 query(
@@ -187,7 +207,17 @@ _EVIDENCE = """'{"kpi_facts":' || kpi_facts || ',"period_end_date":"' || period_
   || '","period_start_date":"' || period_start_date || '","scored_kpis":' || scored_kpis
   || ',"scored_observations":' || scored_observations || ',"top_anomaly_facts":' || anomaly_facts
   || ',"total_anomalies":' || total_anomalies || '}'"""
-_RULES = " ".join(f"{i}. {rule}" for i, rule in enumerate(PROMPT_RULES, 1)).replace("'", "''")
+_RULES = (
+    "Report on the KPIs of an online store, from the JSON package after the word Evidence and nothing else. "
+    "The package holds: period_start_date and period_end_date; scored_kpis and scored_observations; "
+    "total_anomalies; kpi_facts with averages and latest values, actual and expected, of each channel and "
+    "metric; top_anomaly_facts with the strongest unusual days, each under its evidence_id. "
+    "Expected values and bounds come from a forecast. "
+    "Write four parts. Overview: period, series and observations scored, unusual values found. "
+    "Insights: up to five unusual days, one line each, with the value, its bounds and the evidence_id in brackets. "
+    "Checks to make: three lines, each naming the day and series whose data should be verified. "
+    "Note: what a forecast can not tell."
+).replace("'", "''")
 _PROMPT = f"""
 SELECT period_start_date, period_end_date, input_version, sha256(evidence) AS input_hash,
        '{_RULES} Evidence: ' || evidence AS prompt_text
@@ -271,14 +301,13 @@ FROM history h LEFT JOIN (SELECT * FROM ({_JUDGED}) WHERE reason IS NULL) j
 
 # -- supporting data ----------------------------------------------------------------------------
 
-query(
-    "explore_kpis",
-    f"""
+_CHOSEN_KPIS = f"""
 SELECT acquisition_channel AS "Channel", metric_name, metric_timestamp, {rounded("metric_value")} AS metric_value
 FROM int_kpi_anomaly_input
 WHERE acquisition_channel IN ('Email', 'Search') AND metric_name = 'TOTAL_ORDERS'
-""",
-)
+"""
+query("explore_kpis", _CHOSEN_KPIS)
+query("explore_kpi_rows", f"SELECT count(*) AS row_count FROM ({_CHOSEN_KPIS})")
 query(
     "explore_kpi_choices",
     """
@@ -425,50 +454,52 @@ def _source(name: str) -> str:
     return _SOURCES.get(name, name)
 
 
-def _literal(value: object) -> str:
-    return str(value).upper() if isinstance(value, (bool, int)) else f"'{value}'"
+def _check(kind: str, relation: str, subject: str, violations: str) -> str:
+    return (
+        f"SELECT '{relation}' AS relation, '{subject}' AS subject, '{kind}' AS \"check\", violations "
+        f"FROM ({violations})"
+    )
 
 
-def _violations(c: Check) -> str:
-    table, subject = _source(c.relation), ", ".join(c.columns)
-    if c.kind == "not_null":
-        return f"SELECT count(*) - count({subject}) AS violations FROM {table}"
-    if c.kind == "unique":
-        return (
-            f"SELECT count(*) AS violations FROM (SELECT {subject} FROM {table} WHERE {subject} IS NOT NULL "
-            f"GROUP BY {subject} HAVING count(*) > 1)"
-        )
-    if c.kind == "unique_combination":
-        return (
-            f"SELECT count(*) AS violations FROM (SELECT {subject} FROM {table} GROUP BY {subject} "
-            "HAVING count(*) > 1)"
-        )
-    if c.kind == "relationships":
-        parent, column = c.parent
-        return (
-            f"SELECT count(*) AS violations FROM {table} child WHERE {subject} IS NOT NULL AND NOT EXISTS "
-            f"(FROM {_source(parent)} p WHERE p.{column} = child.{subject})"
-        )
-    if c.kind == "accepted_values":
-        wrong = f"{subject} NOT IN ({', '.join(_literal(v) for v in c.values)})"
-    elif c.kind == "expression_is_true":
-        wrong = f"NOT ({c.expression})"
-    else:
-        strict = "" if c.range.inclusive else "="
-        sides = [f"{subject} <{strict} {c.range.low}"] if c.range.low is not None else []
-        sides += [f"{subject} >{strict} {c.range.high}"] if c.range.high is not None else []
-        wrong = " OR ".join(sides)
-    return f"SELECT count(*) AS violations FROM {table} WHERE {wrong}"
+def _repeated(relation: str, columns: str, filled: str = "") -> str:
+    return (
+        f"SELECT count(*) AS violations FROM (SELECT {columns} FROM {_source(relation)} {filled} "
+        f"GROUP BY {columns} HAVING count(*) > 1)"
+    )
 
 
 def _checks(kind: str) -> str:
-    rows = [
-        f"SELECT '{c.relation}' AS relation, '{c.subject}' AS subject, '{c.kind}' AS \"check\", violations "
-        f"FROM ({_violations(c)})"
-        for c in all_checks()
-        if c.kind == kind
-    ]
-    return " UNION ALL ".join(rows)
+    if kind == "not_null":
+        found = [
+            (r, c, f"SELECT count(*) - count({c}) AS violations FROM {_source(r)}")
+            for r, columns in checks.NOT_NULL.items()
+            for c in columns.split()
+        ]
+    elif kind == "unique":
+        found = [
+            (r, c, _repeated(r, c, f"WHERE {c} IS NOT NULL"))
+            for r, columns in checks.UNIQUE.items()
+            for c in columns.split()
+        ]
+    elif kind == "unique_combination":
+        found = [(r, subject, _repeated(r, columns)) for r, subject, columns in checks.TOGETHER]
+    elif kind == "relationships":
+        found = [
+            (
+                r,
+                subject,
+                f"SELECT count(*) AS violations FROM {_source(r)} child WHERE {c} IS NOT NULL AND NOT EXISTS "
+                f"(FROM {_source(parent)} p WHERE p.{column} = child.{c})",
+            )
+            for r, subject, c, parent, column in checks.PARENTS
+        ]
+    else:
+        found = [
+            (r, subject, f"SELECT count(*) AS violations FROM {_source(r)} WHERE {wrong}")
+            for k, r, subject, wrong in checks.WRONG
+            if k == kind
+        ]
+    return " UNION ALL ".join(_check(kind, *f) for f in found)
 
 
 _NEW_SUMMARY = ORACLE_SQL["summary_append"].rsplit("UNION ALL BY NAME", 1)[1]

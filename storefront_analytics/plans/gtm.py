@@ -48,27 +48,34 @@ def channel_metrics(customer_360: DataFrame) -> DataFrame:
     )
 
 
-def mart_acquisition_channel_performance(channels: Stored) -> DataFrame:
-    """Rates, revenue share and ranks per channel, from :func:`channel_metrics`."""
-    acquired, buying = F.col("acquired_customer_count"), F.col("purchasing_customer_count")
-    conversion = ratio(buying, acquired)
+def _channel_conversion() -> Column:
+    return ratio(F.col("purchasing_customer_count"), F.col("acquired_customer_count"))
+
+
+def _with_channel_rates(frame: DataFrame, channels: Stored, *more: str) -> DataFrame:
+    buying = F.col("purchasing_customer_count")
     total = channels.frame.agg(F.sum("total_revenue").alias("_revenue"))
-    ranked = with_ranks(
-        channels.frame,
-        "acquisition_channel",
-        {"revenue_rank": F.col("total_revenue"), "conversion_rank": conversion},
-    )
-    return ranked.crossJoin(F.broadcast(total)).select(  # one row
+    return frame.crossJoin(F.broadcast(total)).select(  # one row
         *channels.frame.columns,
-        conversion.alias("customer_conversion_rate"),
+        _channel_conversion().alias("customer_conversion_rate"),
         ratio(F.col("repeat_customer_count"), buying).alias("repeat_purchaser_rate"),
         ratio(F.col("active_customer_count"), buying).alias("active_purchaser_rate"),
         ratio(F.col("total_revenue"), F.col("_revenue")).alias("revenue_share"),
-        "revenue_rank",
-        "conversion_rank",
+        *more,
     )
 
 
+def channel_rates(channels: Stored) -> DataFrame:
+    """Rates and revenue share per channel, from :func:`channel_metrics`."""
+    return _with_channel_rates(channels.frame, channels)
+
+
+def mart_acquisition_channel_performance(channels: Stored) -> DataFrame:
+    """Rates, revenue share and ranks per channel, from :func:`channel_metrics`."""
+    ranks = {"revenue_rank": F.col("total_revenue"), "conversion_rank": _channel_conversion()}
+    return _with_channel_rates(with_ranks(channels.frame, "acquisition_channel", ranks), channels, *ranks)
+
+
 def region_metrics(customer_360: DataFrame) -> DataFrame:
     done = F.col("completed_order_count")
     return customer_360.groupBy(

@@ -22,6 +22,7 @@ from storefront_analytics.plans import (
     summaries,
 )
 from storefront_analytics.operators.quality import check_counts
+from storefront_analytics.session import check_session
 from storefront_analytics.sources.scratch import Stored, store
 
 
@@ -33,6 +34,8 @@ class RunSettings:
     run_at: datetime | None = None  # now
     detector: detector.DetectorSettings = field(default_factory=detector.DetectorSettings)
     score_days: int = monitoring.SCORE_DAYS
+    train_until: date | None = None  # first day not trained on
+    score_since: date | None = None  # first day scored
 
 
 class Storefront:
@@ -48,10 +51,14 @@ class Storefront:
         raw: Mapping[str, DataFrame],
         settings: RunSettings = RunSettings(),
         reviews: Mapping[str, DataFrame] | None = None,
+        detector_params: DataFrame | None = None,
     ):
+        """``detector_params``: what an earlier run trained, instead of training anew."""
         self.raw = raw
         self.settings = settings
         self.reviews = {} if reviews is None else reviews
+        if detector_params is not None:
+            self.__dict__["kpi_detector_params"] = detector_params
 
     @cached_property
     def history(self) -> DataFrame:
@@ -141,11 +148,13 @@ class Storefront:
 
     # -- go-to-market ----------------------------------------------------------
 
+    @cached_property
+    def _stored_channels(self) -> Stored:
+        return store(gtm.channel_metrics(self.mart_customer_360), "channels")
+
     @cached_property
     def mart_acquisition_channel_performance(self) -> DataFrame:
-        return gtm.mart_acquisition_channel_performance(
-            store(gtm.channel_metrics(self.mart_customer_360), "channels")
-        )
+        return gtm.mart_acquisition_channel_performance(self._stored_channels)
 
     @cached_property
     def mart_geographic_performance(self) -> DataFrame:
@@ -157,7 +166,7 @@ class Storefront:
 
     @cached_property
     def mart_gtm_channel_summary(self) -> DataFrame:
-        combined = gtm.channel_sessions(self.mart_acquisition_channel_performance, self.int_session_funnel)
+        combined = gtm.channel_sessions(gtm.channel_rates(self._stored_channels), self.int_session_funnel)
         return gtm.mart_gtm_channel_summary(store(combined, "channel-sessions"))
 
     @cached_property
@@ -193,11 +202,11 @@ class Storefront:
 
     @cached_property
     def kpi_train(self) -> DataFrame:
-        return detector.kpi_train(self.int_kpi_anomaly_input)
+        return detector.kpi_train(self.int_kpi_anomaly_input, self.settings.train_until)
 
     @cached_property
     def kpi_score(self) -> DataFrame:
-        return detector.kpi_score(self.int_kpi_anomaly_input)
+        return detector.kpi_score(self.int_kpi_anomaly_input, self.settings.score_since)
 
     @cached_property
     def kpi_detector_params(self) -> DataFrame:
@@ -262,16 +271,40 @@ class Storefront:
         for name in names:
             self.__dict__[name] = store(getattr(self, name), name).frame
 
-    def build(self, target: str, relations: tuple[str, ...] | None = None) -> dict[str, DataFrame]:
-        """Write relations in order under a new folder; later ones read what was written."""
+    def require_unique_keys(self) -> None:
+        """Orders, users and products are counted as rows: fail if one has two."""
+        for name, key in (("stg_orders", "order_id"), ("stg_users", "user_id"), ("stg_products", "product_id")):
+            repeated = getattr(self, name).groupBy(key).count().filter("count > 1")
+            if not repeated.isEmpty():
+                raise ValueError(f"{name}.{key} is not unique")
+
+    def build(
+        self, target: str, relations: tuple[str, ...] | None = None, history: str | None = None
+    ) -> dict[str, DataFrame]:
+        """Write relations in order, in place of an earlier build; later ones read what was written.
+
+        With ``history``, the folder of stored summaries, the current summary
+        is appended there, if it is new, and the approved ones are written.
+        """
+        spark = next(iter(self.raw.values())).sparkSession if self.raw else None
+        if spark is not None:
+            check_session(spark)
+        self.require_unique_keys()
         out = {}
         for name in relations or BUILD_ORDER:
             frame: DataFrame = getattr(self, name)
-            frame.write.parquet(f"{target}/{name}")
+            frame.write.mode("overwrite").parquet(f"{target}/{name}")
             out[name] = frame.sparkSession.read.schema(frame.schema).parquet(f"{target}/{name}")
             self.__dict__[name] = out[name]
             if name in STORED_AS:
                 self.__dict__[STORED_AS[name]] = Stored(out[name])
+        if history:
+            summaries.append_summaries(self._stored_candidates, history)
+            spark = self._stored_candidates.frame.sparkSession
+            stored = spark.read.schema(summaries.HISTORY_SCHEMA).parquet(history)
+            name = "approved_executive_summaries"
+            summaries.approved_summaries(stored).write.mode("overwrite").parquet(f"{target}/{name}")
+            out[name] = spark.read.parquet(f"{target}/{name}")
         return out
 
 

@@ -28,31 +28,28 @@ HISTORY_SCHEMA = (
 )
 HISTORY_COLUMNS = [part.strip().split(" ")[0] for part in HISTORY_SCHEMA.split(",")]
 
-PROMPT_RULES = (
-    "Write a two-minute performance summary of an online store for its managers.",
-    "Every number, date and name must come from the JSON evidence below.",
-    "An expected value is a model forecast, never an earlier period.",
-    "Quote variance_from_expected_pct as it is and derive no other percentage.",
-    "Keep period averages and latest values in separate sentences.",
-    "Judge a movement by desired_direction; leave CONTEXT_DEPENDENT ones unjudged.",
-    "A value above upper_bound is ABOVE_EXPECTED_RANGE, one below lower_bound is BELOW_EXPECTED_RANGE.",
-    "State no cause; offer explanations only as points to investigate.",
-    "Cite one evidence_id for each anomaly and never a range of ids.",
-    "Take all figures of an anomaly from the object that carries its evidence_id.",
-    "Give total_anomalies as the count; the listed anomalies are only the strongest.",
-    "Discuss at most five anomalies, most severe first.",
-    "With no anomalies, say so and cite nothing.",
-    "Sections: overview, three to five insights, exactly three checks to make, a note on data and model.",
+# What the package holds, and the parts that summary_text() writes, too.
+INSTRUCTION = " ".join(
+    (
+        "Report on the KPIs of an online store, from the JSON package after the word Evidence and nothing else.",
+        "The package holds: period_start_date and period_end_date; scored_kpis and scored_observations;",
+        "total_anomalies; kpi_facts with averages and latest values, actual and expected, of each channel and",
+        "metric; top_anomaly_facts with the strongest unusual days, each under its evidence_id.",
+        "Expected values and bounds come from a forecast.",
+        "Write four parts. Overview: period, series and observations scored, unusual values found.",
+        "Insights: up to five unusual days, one line each, with the value, its bounds and the evidence_id in brackets.",
+        "Checks to make: three lines, each naming the day and series whose data should be verified.",
+        "Note: what a forecast can not tell.",
+    )
 )
 
 
 def _with_prompt(package: DataFrame) -> DataFrame:
     evidence = evidence_json(F.col("evidence_package"))
-    rules = " ".join(f"{i}. {rule}" for i, rule in enumerate(PROMPT_RULES, 1))
     return package.withColumns(
         {
             "input_hash": F.sha2(evidence, 256),
-            "prompt_text": F.concat(F.lit(rules + " Evidence: "), evidence),
+            "prompt_text": F.concat(F.lit(INSTRUCTION + " Evidence: "), evidence),
         }
     )
 

@@ -176,6 +176,19 @@ def _anomaly_observations(store: Storefront) -> DataFrame:
     )
 
 
+def _through_csv(frame: DataFrame) -> DataFrame:
+    """What a reader of the exported CSV sees."""
+    path = scratch.new_folder(frame.sparkSession, "explore")
+    supporting_csv.write_csv(frame, path)
+    return supporting_csv.read_csv(frame.sparkSession, path, frame.schema)
+
+
+def _chosen_kpis(store: Storefront) -> DataFrame:
+    return supporting_csv.explore(
+        _through_csv(_kpi_observations(store)), {"channel": ["Email", "Search"], "metric_name": ["TOTAL_ORDERS"]}
+    )
+
+
 def _evidence_rows(store: Storefront) -> DataFrame:
     return store.executive_summary_input.drop("evidence_package", "input_generated_at")
 
@@ -213,14 +226,11 @@ def _all_queries() -> dict[str, Query]:
         "apply_reviews": _over(lambda s: reviews.apply_reviews(s.history, s.judged_decisions, RUN_AT)),
         "review_conflicts": _over(lambda s: reviews.review_conflicts(s.judged_decisions)),
         "approved_summaries": _over(lambda s: s.approved_executive_summaries),
-        "explore_kpis": _over(
-            lambda s: supporting_csv.explore(
-                _kpi_observations(s), {"channel": ["Email", "Search"], "metric_name": ["TOTAL_ORDERS"]}
-            )
-        ),
-        "explore_kpi_choices": _over(lambda s: supporting_csv.filter_choices(_kpi_observations(s))),
+        "explore_kpis": _over(_chosen_kpis),
+        "explore_kpi_rows": _over(lambda s: _chosen_kpis(s).agg(F.count("*").alias("row_count"))),
+        "explore_kpi_choices": _over(lambda s: supporting_csv.filter_choices(_through_csv(_kpi_observations(s)))),
         "explore_anomalies": _over(
-            lambda s: supporting_csv.explore(_anomaly_observations(s), {"kpi_name": ["TOTAL_ORDERS"]})
+            lambda s: supporting_csv.explore(_through_csv(_anomaly_observations(s)), {"kpi_name": ["TOTAL_ORDERS"]})
         ),
         "val_scoring_summary": _over(lambda s: validation.scoring_summary(s.kpi_anomaly_results)),
         "val_by_series": _over(lambda s: validation.scoring_by_series(s.kpi_anomaly_results)),

@@ -16,6 +16,13 @@ EXPECTED = {
 }
 
 
+def check_session(spark: SparkSession) -> None:
+    """Fail on a session that would give other results or leave hot keys unsplit."""
+    other = {k: spark.conf.get(k, None) for k, v in EXPECTED.items() if str(spark.conf.get(k, None)).lower() != v.lower()}
+    if other:
+        raise ValueError(f"session settings differ from {EXPECTED}: {other}")
+
+
 def local_session(cpus: int | str = "*", app: str = "storefront", **extra: str) -> SparkSession:
     builder = SparkSession.builder.master(f"local[{cpus}]").appName(app)
     settings = {

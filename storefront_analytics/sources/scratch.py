@@ -8,6 +8,7 @@ pruning, none of which a block-manager cache gives.
 from __future__ import annotations
 
 import atexit
+import re
 import shutil
 import tempfile
 import uuid
@@ -17,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 SHARED_DIR_KEY = "spark.checkpoint.dir"
 _local_dirs: dict[str, str] = {}
+_stored: dict[str, list[str]] = {}
 
 
 class Stored:
@@ -35,7 +37,7 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get(SHARED_DIR_KEY, None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise RuntimeError(f"set {SHARED_DIR_KEY} to a folder every executor can reach")
     app = spark.sparkContext.applicationId
     if app not in _local_dirs:
@@ -54,5 +56,15 @@ def store(frame: DataFrame, name: str) -> Stored:
     """Write ``frame`` to the shared folder and return what was written."""
     spark = frame.sparkSession
     path = new_folder(spark, name)
+    _stored.setdefault(spark.sparkContext.applicationId, []).append(path)
     frame.write.parquet(path)
     return Stored(spark.read.schema(frame.schema).parquet(path))
+
+
+def clear(spark: SparkSession) -> int:
+    """Delete what this application has stored, at its end: frames that read it fail from then on."""
+    paths = _stored.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        location = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(location, True)
+    return len(paths)

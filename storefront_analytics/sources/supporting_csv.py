@@ -6,12 +6,13 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 # Columns that can be filtered, whatever their case.
 FILTER_FIELDS = ("channel", "metric_name", "kpi_name")
 
 
-def read_csv(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, schema: str | StructType | None = None) -> DataFrame:
     """A CSV with a header. Without a schema the types cost an extra pass."""
     reader = spark.read.option("header", True)
     return reader.schema(schema).csv(path) if schema else reader.option("inferSchema", True).csv(path)

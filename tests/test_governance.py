@@ -52,7 +52,7 @@ def test_text_restates_the_evidence(package):
 def test_text_of_the_caller(package):
     out = summaries.summary_candidates(package, RUN_AT, text=lambda p: F.upper(F.substring(p, 1, 9)), model_name="mine")
     row = rows(out)[0]
-    assert row["generated_summary"] == "1. WRITE " and row["model_name"] == "mine"
+    assert row["generated_summary"] == "REPORT ON" and row["model_name"] == "mine"
 
 
 def test_older_history_gets_review_columns(package):

@@ -30,10 +30,8 @@ import ahocorasick
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
-from .common import map_rows
+from .common import REMEMBERED_WORDS, Remembered, map_rows
 
-#: Words whose tokens a worker remembers, in each of two generations.
-REMEMBERED_WORDS = 150_000
 #: Letters and signs whose normal form, kind and lower case all Unicode versions agree on are the others.
 USUAL = (range(0x250), range(0x2010, 0x2028), range(0x2030, 0x205F), range(0x20AC, 0x20AD))
 UNUSUAL = re.compile("[^\x00-\u024f\u2010-\u2027\u2030-\u205e\u20ac]")
@@ -214,25 +212,6 @@ class Decoder:
         return "".join([strings[offsets[i] : offsets[i + 1]] for i in ids])[:-1]
 
 
-class Remembered(dict):
-    """Result of ``make`` per word. When full, it becomes the older generation, from which words come back."""
-
-    def __init__(self, make):
-        super().__init__()
-        self.make = make
-        self.older: dict = {}
-
-    def __missing__(self, word):
-        if len(self) >= REMEMBERED_WORDS:
-            self.older = dict(self)
-            self.clear()
-        value = self.older.get(word)
-        if value is None:
-            value = self.make(word)
-        self[word] = value
-        return value
-
-
 @lru_cache(maxsize=4)
 def load(path: str) -> tuple[Encoder, Decoder]:
     with open(path, encoding="utf-8") as file:

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: ASCII white space, as the contracts define it.
 SPACE = r"[\x20\x09-\x0D]+"
+#: Words that a worker remembers, in each of two generations.
+REMEMBERED_WORDS = 150_000
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -68,3 +70,22 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [pa.array(values, type=field.type) for values, field in zip(columns, schema, strict=True)], schema=schema
     )
+
+
+class Remembered(dict):
+    """Result of ``make`` per word. When full, it becomes the older generation, from which words come back."""
+
+    def __init__(self, make):
+        super().__init__()
+        self.make = make
+        self.older: dict = {}
+
+    def __missing__(self, word):
+        if len(self) >= REMEMBERED_WORDS:
+            self.older = dict(self)
+            self.clear()
+        value = self.older.get(word)
+        if value is None:
+            value = self.make(word)
+        self[word] = value
+        return value

@@ -6,7 +6,7 @@ are nought, so that few words don't decide, and a softmax layer on top gives the
 probability of each label. Vectors and layer are learned together by
 stochastic gradient descent in numpy from a bounded sample of labelled rows.
 Once learned, a hashed feature adds a fixed number to the log odds, so scoring
-a document is a mean over its words, whose sums each worker remembers.
+a document is a mean of numbers looked up in one small table.
 
 Bound: at most ``max_rows`` labelled rows are learned from, taken in the order
 of a hash of their id, each by at most ``draws`` drawn features; scoring reads
@@ -20,9 +20,7 @@ one document the smallest counts. Without any labels the score is 0.5.
 
 from __future__ import annotations
 
-import zlib
 from dataclasses import dataclass
-from operator import eq
 
 import numpy as np
 import pyarrow as pa
@@ -30,8 +28,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import map_rows, texts_of
+from .rolling import mixed, prefix_hashes, undo
 
-REMEMBERED_WORDS = 100_000
+PIECE_BYTES = 1 << 20
+#: The feature of a word that follows itself.
+AGAIN = 54_321
 
 
 @dataclass(frozen=True)
@@ -40,6 +41,8 @@ class QualityConfig:
     dimension: int = 16
     grams: tuple[int, ...] = (1, 2, 3)
     epochs: int = 8
+    #: Small samples are gone through until so many documents have been learned from.
+    least_steps: int = 20_000
     rate: float = 0.5
     max_rows: int = 5000
     #: Features drawn from a document, in proportion to their counts, and those one step uses.
@@ -50,18 +53,49 @@ class QualityConfig:
     seed: int = 7
 
 
-def word_features(word: bytes, config: QualityConfig) -> list[int]:
-    """Buckets of a word and of its character n-grams, ends marked."""
-    marked = b"<" + word + b">"
-    found = [zlib.crc32(word, 1)]
-    for n in config.grams:
-        found += [zlib.crc32(marked[i : i + n], n + 1) for i in range(len(marked) - n + 1)]
-    return [f % config.buckets for f in found]
+def features(text: bytes, config: QualityConfig) -> np.ndarray:
+    """Buckets of all words, of their character n-grams with a space at each end, and of repeated words."""
+    parts = [_part_features(p, config) for p in _parts(text)]
+    return np.concatenate(parts) if parts else np.empty(0, dtype=np.int64)
+
 
+def _parts(text: bytes):
+    """Words joined by single spaces, a space at both ends; long texts in pieces of about a megabyte."""
+    at = 0
+    while at < len(text):
+        end = at + PIECE_BYTES
+        if end < len(text):
+            end = max(text.rfind(b" ", at, end), text.rfind(b"\n", at, end)) + 1 or end
+        words = text[at:end].split()
+        if words:
+            yield b" " + b" ".join(words) + b" "
+        at = end
 
-def again(config: QualityConfig) -> int:
-    """The bucket of a word that follows itself."""
-    return zlib.crc32(b"again") % config.buckets
+
+def _part_features(part: bytes, config: QualityConfig) -> np.ndarray:
+    values = np.frombuffer(part, dtype=np.uint8)
+    space = values == 32
+    codes = values.astype(np.uint32)
+    found = []
+    for n in config.grams:
+        size = len(codes) - n + 1
+        code = np.full(size, n << 28, dtype=np.uint32)
+        for i in range(n):
+            code ^= codes[i : i + size] << np.uint32(8 * i)
+        # A space may stand at the ends of an n-gram only.
+        whole = ~space if n == 1 else np.ones(size, dtype=bool)
+        for i in range(1, n - 1):
+            whole &= ~space[i : i + size]
+        code = code[whole] * np.uint32(2_654_435_761)
+        found.append((code ^ (code >> np.uint32(15))) % np.uint32(config.buckets))
+    borders = np.flatnonzero(space)
+    first, last = borders[:-1] + 1, borders[1:]
+    hashes = prefix_hashes(values)
+    words = mixed((hashes[last] - hashes[first]) * undo(len(values) + 1)[first])
+    found.append((words >> np.uint64(40)) % np.uint64(config.buckets))
+    again = int((words[1:] == words[:-1]).sum())
+    found.append(np.full(again, AGAIN % config.buckets))
+    return np.concatenate([f.astype(np.int64) for f in found])
 
 
 @dataclass(frozen=True)
@@ -87,8 +121,9 @@ def train(documents: list[tuple[np.ndarray, np.ndarray, int]], config: QualityCo
     if len(set(labels.tolist())) < 2:
         share = np.clip(labels.mean(), 0.01, 0.99) if len(labels) else 0.5
         return QualityModel(np.zeros(config.buckets), float(np.log(share / (1 - share))), config)
-    steps, at = config.epochs * len(documents), 0
-    for _ in range(config.epochs):
+    epochs = max(config.epochs, -(-config.least_steps // len(documents)))
+    steps, at = epochs * len(documents), 0
+    for _ in range(epochs):
         for which in random.permutation(len(documents)):
             buckets, counts, label = documents[which]
             rate = config.rate * (1 - at / steps)
@@ -130,10 +165,7 @@ def fit(docs: DataFrame, labels: DataFrame, config: QualityConfig = QualityConfi
 
     def count(rows):
         for row in rows:
-            words = row["text"].split()
-            found = [f for w in words for f in word_features(w, config)]
-            found += [again(config)] * sum(map(eq, words, words[1:]))
-            buckets, counts = np.unique(np.array(found, dtype=np.int64), return_counts=True)
+            buckets, counts = np.unique(features(row["text"], config), return_counts=True)
             if len(buckets) > config.draws:
                 drawn = np.random.default_rng(row["doc_id"] % (1 << 32)).multinomial(
                     config.draws, counts / counts.sum()
@@ -154,30 +186,13 @@ def fit(docs: DataFrame, labels: DataFrame, config: QualityConfig = QualityConfi
     return train([found[i] for i in sorted(found)], config)
 
 
-def _scorer(learned: QualityModel):
-    """text -> score; sums of words are remembered."""
-    odds = learned.odds.tolist()
-    repeat_odds = odds[again(learned.config)]
-
-    class Known(dict):
-        def __missing__(self, word):
-            if len(self) >= REMEMBERED_WORDS:
-                self.clear()
-            features = word_features(word, learned.config)
-            value = self[word] = (sum(odds[f] for f in features), len(features))
-            return value
-
-    known = Known()
-
-    def score(text: bytes) -> float:
-        words = text.split()
-        if not words:
-            return learned.score(0.0, 0)
-        totals, sizes = zip(*map(known.__getitem__, words), strict=True)
-        repeats = sum(map(eq, words, words[1:]))
-        return learned.score(sum(totals) + repeats * repeat_odds, sum(sizes) + repeats)
-
-    return score
+def score_text(text: bytes, learned: QualityModel) -> float:
+    total, count = 0.0, 0
+    for part in _parts(text):
+        found = _part_features(part, learned.config)
+        total += float(learned.odds[found].sum())
+        count += len(found)
+    return learned.score(total, count)
 
 
 def score_documents(docs: DataFrame, model: QualityModel, cut: float = 0.3) -> DataFrame:
@@ -185,9 +200,8 @@ def score_documents(docs: DataFrame, model: QualityModel, cut: float = 0.3) -> D
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(rows):
-        score_of = _scorer(shared.value)
         for row in rows:
-            score = score_of(row["text"])
+            score = score_text(row["text"], shared.value)
             yield row["doc_id"], score, int(score >= cut)
 
     return map_rows(docs.select("doc_id", "text"), run, "doc_id long, score double, predicted int")
@@ -198,10 +212,9 @@ def keep_good(docs: DataFrame, labels: DataFrame, config: QualityConfig = Qualit
     shared = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, config))
 
     def run(batches):
-        score_of = _scorer(shared.value)
         for batch in batches:
-            texts = batch.column(batch.schema.get_field_index("text"))
-            yield batch.filter(pa.array([score_of(t) >= cut for t in texts_of(texts)], pa.bool_()))
+            texts = texts_of(batch.column(batch.schema.get_field_index("text")))
+            yield batch.filter(pa.array([score_text(t, shared.value) >= cut for t in texts], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
 

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from ..sources.scratch import shared_folder, store
 from . import bpe
-from .common import SPACE, map_rows
+from .common import SPACE, Remembered, map_rows
 
 CACHE = "tokenizer string, content string, n_tokens long"
 
@@ -36,7 +36,7 @@ class _WordCounter:
 
     def __init__(self, path: str):
         self.encoder, _ = bpe.load(path)
-        self.known = bpe.Remembered(lambda piece: len(self.encoder.encode_piece(piece)))
+        self.known = Remembered(lambda piece: len(self.encoder.encode_piece(piece)))
 
     def __call__(self, text: str) -> int:
         return sum(map(self.known.__getitem__, self.encoder.pieces(text)))

@@ -7,7 +7,7 @@ import pytest
 from storefront_analytics.llm import license_scan as L
 from storefront_analytics.llm.quality import QualityConfig, features, fit, keep_good, quality_scores
 
-SMALL = QualityConfig(epochs=6, buckets=1 << 12)
+SMALL = QualityConfig(least_steps=2000, buckets=1 << 12)
 
 
 @pytest.fixture
@@ -63,7 +63,7 @@ def test_hard_cases(spark, documents, hard, labelled):
 
 def test_the_sample_is_bounded(documents, labelled):
     pairs, labels = labelled()
-    few = QualityConfig(epochs=1, buckets=1 << 12, max_rows=10)
+    few = QualityConfig(epochs=1, least_steps=1, buckets=1 << 12, max_rows=10)
     assert fit(documents(pairs), labels, few).odds.any()
     assert len(features(b"ab ab", SMALL)) == 4 + 6 + 4 + 2 + 1  # 1- to 3-grams, words, one repeat
 

@@ -89,4 +89,67 @@ ORACLE_SQL = {
                sha256(t) AS text_sha256
         FROM n
     """,
+    "op5_suffix_dedup": r"""
+        WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+        windows AS (
+            SELECT doc_id, i, substr(h, 2 * i + 1, 100) AS w
+            FROM d, LATERAL (SELECT unnest(range(0, length(h) // 2 - 49)) AS i)
+        ),
+        firsts AS (SELECT w, min(doc_id) AS first_id FROM windows GROUP BY w),
+        gone AS (SELECT doc_id, i FROM windows JOIN firsts USING (w) WHERE first_id < doc_id),
+        marked AS (
+            SELECT *, i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) > 50 AS apart FROM gone
+        ),
+        runs AS (
+            SELECT *, count(*) FILTER (WHERE apart) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM marked
+        ),
+        spans AS (
+            SELECT doc_id, min(i) AS a, max(i) + 50 AS b FROM runs GROUP BY doc_id, run
+        ),
+        pieces AS (
+            SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS since FROM spans
+        ),
+        cut AS (
+            SELECT p.doc_id, sum(b - a) AS n_removed, count(*) AS n_spans,
+                   string_agg(substr(h, 2 * since + 1, 2 * (a - since)), '' ORDER BY a)
+                   || substr(any_value(h), 2 * max(b) + 1) AS kept
+            FROM pieces p JOIN d ON d.doc_id = p.doc_id GROUP BY p.doc_id
+        )
+        SELECT d.doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+               CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(kept, h))) AS kept_sha256
+        FROM d LEFT JOIN cut ON cut.doc_id = d.doc_id
+    """,
+    "op7_near_dedup": r"""
+        WITH RECURSIVE w AS (
+            SELECT doc_id, regexp_extract_all(
+                       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x20\x09-\x0D]+') AS words
+            FROM documents
+        ),
+        sets AS (
+            SELECT doc_id, list_distinct(CASE
+                       WHEN len(words) = 0 THEN []
+                       WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
+                       ELSE list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' '))
+                   END) AS shingles
+            FROM w
+        ),
+        sizes AS (SELECT doc_id, len(shingles) AS n FROM sets),
+        each AS (SELECT doc_id, unnest(shingles) AS shingle FROM sets),
+        common AS (
+            SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+            FROM each a JOIN each b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY ALL
+        ),
+        links AS (
+            SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+            WHERE 100 * c >= 75 * (x.n + y.n - c)
+        ),
+        reached AS (
+            SELECT doc_id, doc_id AS other FROM documents
+            UNION
+            SELECT doc_id, b FROM reached JOIN links ON a = other
+        )
+        SELECT doc_id, CAST(n AS BIGINT) AS n_shingles, min(other) AS component_id, min(other) = doc_id AS kept
+        FROM reached JOIN sizes USING (doc_id) GROUP BY doc_id, n
+    """,
 }

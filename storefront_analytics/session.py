@@ -18,7 +18,8 @@ EXPECTED = {
 
 def check_session(spark: SparkSession) -> None:
     """Fail on a session that would give other results or leave hot keys unsplit."""
-    other = {k: spark.conf.get(k, None) for k, v in EXPECTED.items() if str(spark.conf.get(k, None)).lower() != v.lower()}
+    found = {k: str(spark.conf.get(k, None)) for k in EXPECTED}
+    other = {k: v for k, v in found.items() if v.lower() != EXPECTED[k].lower()}
     if other:
         raise ValueError(f"session settings differ from {EXPECTED}: {other}")
 

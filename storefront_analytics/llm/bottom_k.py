@@ -120,7 +120,8 @@ def _links(pairs: DataFrame, shapes: DataFrame, sets: DataFrame) -> DataFrame:
     fits = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * PERCENT
     union = F.slice(F.array_sort(F.array_union("s_a", "s_b")), 1, KEEP)
     both = F.size(F.array_intersect(union, F.array_intersect("s_a", "s_b")))
-    likely = store(pairs.filter(fits).filter(both * KEEP >= F.size(union) * SHARE).select("a", "b"), "near-likely").frame
+    alike = fits & (both * KEEP >= F.size(union) * SHARE)
+    likely = store(pairs.filter(alike).select("a", "b"), "near-likely").frame
     sets = sets.select("doc_id", "shingles")
     pairs = likely.join(sets.toDF("b", "set_b"), "b").join(sets.toDF("a", "set_a"), "a")
     return store(map_rows(pairs, _confirmed, "a long, b long"), "near-links").frame
@@ -134,7 +135,8 @@ def _lists(kept: DataFrame, keep: int, share: int, name: str) -> DataFrame:
     """
     small = F.col("n_shingles") * 100 <= keep * PERCENT  # then any partner's sketch is its set, too
     least = F.when(small, F.ceil(F.col("n_shingles") * PERCENT / 100)).otherwise(share)
-    holders = store(kept.groupBy("value").agg(F.count("*").alias("holders")).filter("holders > 1"), f"{name}-values")
+    holders = kept.groupBy("value").agg(F.count("*").alias("holders")).filter("holders > 1")
+    holders = store(holders, f"{name}-values")
     by_doc = W.partitionBy("doc_id")
     placed = (
         kept.join(holders.frame, "value")
@@ -156,7 +158,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     shapes = store(one.select("doc_id", "s.*"), "near-shapes").frame
 
     key = ["n_shingles", "digest_a", "digest_b"]
-    classes = store(shapes.filter("n_shingles > 0").groupBy(*key).agg(F.min("doc_id").alias("first_id")), "near-classes")
+    classes = shapes.filter("n_shingles > 0").groupBy(*key).agg(F.min("doc_id").alias("first_id"))
+    classes = store(classes, "near-classes")
     firsts = store(
         shapes.join(classes.frame.select(F.col("first_id").alias("doc_id")), "doc_id", "left_semi").select(
             "doc_id", "n_shingles", "digest_a", "digest_b", "sketch"

@@ -66,7 +66,7 @@ class Scanner:
         for number, targets in enumerate(self.forward.rows):
             rows[number].extend(rows[t] for t in targets)
             rows[number].append(number)
-        self.start = rows[0]
+        self.start, self.kind = rows[0], np.min_scalar_type(len(rows))
         accepts = np.zeros((len(rules), len(rows)), dtype=bool)
         for state, which in enumerate(self.forward.accepts):
             for rule in which:
@@ -76,7 +76,7 @@ class Scanner:
     def spans(self, text: bytes) -> list[tuple[int, int, int]]:
         """(start, rule, end) in bytes, by start, then rule."""
         states = np.fromiter(
-            map(itemgetter(256), accumulate(text, getitem, initial=self.start)), dtype=np.uint16, count=len(text) + 1
+            map(itemgetter(256), accumulate(text, getitem, initial=self.start)), self.kind, count=len(text) + 1
         )
         found = []
         for number, rule in enumerate(self.rules):

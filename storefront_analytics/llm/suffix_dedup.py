@@ -60,7 +60,8 @@ def _blocks(rows):
         number += 1
         data = zstandard.ZstdCompressor(level=3).compress(b"".join(texts))
         ends = np.cumsum(np.array(sizes, dtype=np.int64))
-        return (task << 32) + number, held, np.array(ids, dtype=np.int64).tobytes(), ends.tobytes(), b"".join(digests), data
+        packed = np.array(ids, dtype=np.int64).tobytes(), ends.tobytes(), b"".join(digests), data
+        return (task << 32) + number, held, *packed
 
     for row in rows:
         text = row["text"]
@@ -271,8 +272,10 @@ def _moving(buckets: int):
             cuts = np.searchsorted(bucket[rest], np.arange(buckets + 1))
             for number in np.flatnonzero(np.diff(cuts)).tolist():
                 some = rest[cuts[number] : cuts[number + 1]]
-                texts = b"".join([data[a:b] for a, b in zip(first[some], first[some] + count[some] + LENGTH - 1, strict=True)])
-                head = (owner[some], first[some].astype(np.int64), runs["anchor"][some].astype(np.int8), count[some].astype(np.uint8))
+                end = first[some] + count[some] + LENGTH - 1
+                texts = b"".join([data[a:b] for a, b in zip(first[some], end, strict=True)])
+                head = [owner[some], first[some].astype(np.int64)]
+                head += [runs["anchor"][some].astype(np.int8), count[some].astype(np.uint8)]
                 payload = b"".join(h.tobytes() for h in head) + texts
                 yield number, row["block_id"], len(some), zstandard.ZstdCompressor(level=3).compress(payload)
 
@@ -304,9 +307,9 @@ def _removed_windows(table: pa.Table) -> pa.Table:
     if texts:
         runs = {name: np.concatenate(v) for name, v in found.items()}
         masks = sort_windows(b"".join(texts), runs["doc"], runs["anchor"], runs["count"])
-        ends = np.cumsum([s for s in sizes if s])
-        for block, end, size in zip([b for b, s in zip(blocks, sizes, strict=True) if s], ends, [s for s in sizes if s], strict=True):
-            own = slice(end - size, end)
+        end = 0
+        for block, size in zip(blocks, sizes, strict=True):
+            own, end = slice(end, end + size), end + size
             some = masks[own] > 0
             if some.any():
                 answers.append((block, _answer(runs["first"][own][some], masks[own][some])))
@@ -346,7 +349,8 @@ def sort_windows(text: bytes, doc: np.ndarray, anchor: np.ndarray, count: np.nda
         segment = group[stretch] * 256 + (anchor[sample[stretch]] - step + 128)
         order = np.argsort(segment, kind="stable")
         stretch, step, place, segment = stretch[order], step[order], place[order], segment[order]
-        alone = np.concatenate(([True], segment[1:] != segment[:-1])) & np.concatenate((segment[1:] != segment[:-1], [True]))
+        differs = segment[1:] != segment[:-1]
+        alone = np.concatenate(([True], differs)) & np.concatenate((differs, [True]))
         stretch, step, place, segment = stretch[~alone], step[~alone], place[~alone], segment[~alone]
         if len(place):
             order = suffix_order(values, hashes, back, place, segment, LENGTH)
@@ -417,7 +421,9 @@ def remove_repeats(docs: DataFrame, hot_blocks: int = HOT_BLOCKS) -> DataFrame:
     buckets = max(8, -(-total // BUCKET_BYTES))
 
     listed = map_rows(
-        blocks.select("block_id", "ids", "ends", "digests"), _documents_of, "block_id long, place int, doc_id long, digest binary"
+        blocks.select("block_id", "ids", "ends", "digests"),
+        _documents_of,
+        "block_id long, place int, doc_id long, digest binary",
     )
     listed = store(listed, "suffix-documents").frame
     firsts = listed.groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n")).filter("n > 1")

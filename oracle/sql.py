@@ -298,6 +298,7 @@ FROM history h LEFT JOIN (SELECT * FROM ({_JUDGED}) WHERE reason IS NULL) j
  AND h.reviewed_at IS NOT DISTINCT FROM j.seen_reviewed_at
 """,
 )
+ORACLE_SQL["review_write_back"] = ORACLE_SQL["apply_reviews"]
 
 # -- supporting data ----------------------------------------------------------------------------
 

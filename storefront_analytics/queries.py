@@ -14,6 +14,7 @@ from storefront_analytics.plans import evidence, reviews, summaries, validation
 from storefront_analytics.plans.detector import DetectorSettings
 from storefront_analytics.plans.storefront import RunSettings, Storefront
 from storefront_analytics.sources import raw_tables, scratch, supporting_csv
+from storefront_analytics.sources.history_versions import HistoryVersions
 from storefront_analytics.sources.star_schema import CUTOFF, StarSchema
 
 RUN_AT = datetime(2024, 6, 1)
@@ -152,6 +153,15 @@ def _load_reconciliation(spark: SparkSession, folder: str) -> DataFrame:
     return comparable(raw_tables.reconcile(manifest, loaded))
 
 
+def _review_write_back(spark: SparkSession, folder: str) -> DataFrame:
+    """The batch of decisions published as a new version of the history, read back."""
+    store = open_storefront(spark, folder)
+    versions = HistoryVersions(spark, scratch.new_folder(spark, "history"))
+    versions.publish(store.history, 0)
+    versions.review(store.decisions, RUN_AT)
+    return comparable(versions.read())
+
+
 def _canonical_channel(spark: SparkSession, folder: str) -> DataFrame:
     store = open_storefront(spark, folder)
     return (
@@ -224,6 +234,7 @@ def _all_queries() -> dict[str, Query]:
         "review_queue": _over(lambda s: reviews.review_queue(s.history)),
         "review_queue_by_status": _over(lambda s: reviews.review_queue(s.history, "PENDING_REVIEW")),
         "apply_reviews": _over(lambda s: reviews.apply_reviews(s.history, s.judged_decisions, RUN_AT)),
+        "review_write_back": _review_write_back,
         "review_conflicts": _over(lambda s: reviews.review_conflicts(s.judged_decisions)),
         "approved_summaries": _over(lambda s: s.approved_executive_summaries),
         "explore_kpis": _over(_chosen_kpis),

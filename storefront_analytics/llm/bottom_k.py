@@ -7,9 +7,9 @@ similarity, and pairs that may reach the threshold are confirmed on their full
 sets of hashed shingles (63 bits).
 
 No pair is lost to a limit. Two documents at the threshold share at least
-``SHARE`` kept values (all of them for sets so small that the sketch is the
-set; else fewer with a probability below 1e-5), so it is enough to list a
-document under its rarest values, all but ``SHARE - 1`` of them: those that
+``SHARE`` kept values (or ``PERCENT`` of the larger set if both sketches are
+whole sets; else fewer with a probability below 1e-5), so it is enough to list
+a document under its rarest values, all but ``SHARE - 1`` of them: those that
 thousands share hardly get a list. Within a list every document meets the
 first one. Lists whose documents are in one component then are settled, so a
 large group of near copies costs one comparison per document and list. The
@@ -133,8 +133,10 @@ def _lists(kept: DataFrame, keep: int, share: int, name: str) -> DataFrame:
     A value that no other document keeps needs no list but counts as rarest;
     ``at`` is the place of a value in the document's sketch, rarest first.
     """
+    exact = F.ceil(F.col("n_shingles") * PERCENT / 100)
     small = F.col("n_shingles") * 100 <= keep * PERCENT  # then any partner's sketch is its set, too
-    least = F.when(small, F.ceil(F.col("n_shingles") * PERCENT / 100)).otherwise(share)
+    # Above, it may be: then both share ``exact`` at least, else ``share``.
+    least = F.when(small, exact).otherwise(F.least(exact, F.lit(share)))
     holders = kept.groupBy("value").agg(F.count("*").alias("holders")).filter("holders > 1")
     holders = store(holders, f"{name}-values")
     by_doc = W.partitionBy("doc_id")

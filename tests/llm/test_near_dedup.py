@@ -79,6 +79,26 @@ def test_documents_over_the_second_sketch(documents, prose):
     assert _got(documents(pairs)) == _expected(pairs)
 
 
+def test_second_listing_of_sets_that_its_sketch_holds(documents, prose):
+    # Up to 512 shingles the second sketch is the set, and a pair may share fewer values than larger ones must.
+    pairs = []
+    for family, (n, replaced, added) in enumerate([(310, 0, 100), (335, 0, 50), (385, 53, 0), (330, 0, 110)]):
+        rng = random.Random(family)
+        words = prose(n + 4, 40 + family).split()
+        own = prose(replaced + added, 60 + family).split()
+        # Documents of parts of it come first in the lists and are linked to none.
+        for i in range(25):
+            parts = rng.sample([words[k : k + 30] for k in range(0, len(words), 30)], 7)
+            text = " ".join(w for part in parts for w in part) + " " + prose(40, 1000 + 100 * family + i)
+            pairs.append((100 * family + i, text))
+        pairs.append((100 * family + 50, " ".join(words)))
+        pairs.append((100 * family + 51, " ".join(own[:replaced] + words[replaced:] + own[replaced:])))
+    expected = _expected(pairs)
+    linked = {d: c for d, _, c, _ in expected}
+    assert all(linked[100 * f + 51] == 100 * f + 50 for f in range(4))
+    assert _got(documents(pairs)) == expected
+
+
 def test_empty_tables(documents):
     assert _got(documents([(1, "a")]).filter("doc_id < 0")) == []
     assert _got(documents([(1, None), (2, ""), (3, " ")])) == [(1, 0, 1, True), (2, 0, 2, True), (3, 0, 3, True)]

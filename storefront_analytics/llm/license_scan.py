@@ -1,6 +1,12 @@
 """License scans by a trained paragraph classifier, in DataFrame functions only.
 
-Paragraphs are lines. A multinomial logistic regression on the word 1- and
+Paragraphs are lines; a notice that goes on in the next lines counts for the
+line where it begins. For that each line end is judged, too: as many words as a
+notice may have before it and after it, up to a blank line. Such a notice is
+reported if it is confirmed (see below) and the words before or after the line
+end are not reported as it by themselves; of a line that begins it, an
+unconfirmed judgement of its own is left out. Further lines of a notice keep
+their own judgements. A multinomial logistic regression on the word 1- and
 2-grams of a paragraph gives the probability of each license family and of
 ``other``. It is trained on the notices below, whole, in part and with words
 around them, and on sentences that only talk about licenses. The least
@@ -20,6 +26,7 @@ are ignored; equal probabilities go to the family listed first.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression
@@ -104,6 +111,8 @@ OTHERS = (
     "To any person in the room, the story was confidential.",
     "You may not use this door except in an emergency.",
 )
+LONGEST = max(len(re.findall("[a-z0-9]+", n.lower())) for notices in NOTICES.values() for n in notices)
+_MARK = "\x01"
 PLAIN = (
     "a an and any are as at be by for from in into is it its may not of on or our that the this to was we with you your"
 ).split()
@@ -178,6 +187,64 @@ def _numbers(values) -> Column:
     return F.array(*[F.lit(float(v)) for v in values])
 
 
+def _judgeable(docs: DataFrame, keys: list[str]) -> DataFrame:
+    """doc_id, n_paragraphs, hits: the lines and the line ends with key words."""
+    beyond = LONGEST - 1
+    none = F.array().cast("array<string>")
+
+    def known(words):
+        return F.exists(words, lambda w: w.isin(keys))
+
+    # A mark at the end of a line before a blank one.
+    text = F.translate(F.coalesce("text", F.lit("")), _MARK, "\t")
+    lines = F.split(F.regexp_replace(text, r"\n(?=[^\S\n]*\n)", f"{_MARK}\n"), "\n")
+    paragraphs = F.filter(lines, lambda p: ~F.trim(p).isin("", _MARK))
+    rows = docs.select("doc_id", paragraphs.alias("paragraphs"))
+    numbered = F.transform(
+        "paragraphs",
+        lambda p, i: F.struct(i.alias("paragraph"), p.endswith(_MARK).alias("last"), _words(p).alias("words")),
+    )
+    worded = F.transform(
+        F.filter(numbered, lambda x: F.size(x["words"]) > 0),
+        lambda x: F.struct(x["paragraph"], x["last"], x["words"], known(x["words"]).alias("known")),
+    )
+    rows = rows.select("doc_id", F.size("paragraphs").alias("n_paragraphs"), worded.alias("lines"))
+
+    def following(i):
+        return F.slice("lines", i + 2, F.lit(beyond))
+
+    def rest(x, i):
+        stop = F.array_position(F.transform(following(i), lambda y: y["last"]), True).cast("int")
+        taken = F.slice(following(i), F.lit(1), F.when(stop > 0, stop).otherwise(beyond))
+        words = F.slice(F.flatten(F.transform(taken, lambda y: F.slice(y["words"], 1, beyond))), 1, beyond)
+        return F.when(x["last"] | ~F.exists(following(i), lambda y: y["known"]) & ~x["known"], none).otherwise(words)
+
+    ends = F.transform("lines", lambda x, i: F.struct(x["paragraph"], x["words"], x["known"], rest(x, i).alias("after")))
+    rows = rows.select("doc_id", "n_paragraphs", ends.alias("lines"))
+    near = F.filter("lines", lambda x: x["known"] | known(x["after"]))
+    rows = rows.select("doc_id", "n_paragraphs", near.alias("lines"))
+
+    def last_words(x):
+        return F.slice(x["words"], F.greatest(F.size(x["words"]) - beyond + 1, F.lit(1)), F.lit(beyond))
+
+    def entries(x):
+        own = F.struct(
+            x["paragraph"], F.lit(False).alias("joined"), x["words"], none.alias("before"), none.alias("after")
+        )
+        end = F.struct(
+            x["paragraph"],
+            F.lit(True).alias("joined"),
+            F.concat(last_words(x), x["after"]).alias("words"),
+            last_words(x).alias("before"),
+            x["after"],
+        )
+        both = F.array(own, end)
+        return F.when(F.size(x["after"]) == 0, F.slice(both, 1, 1)).when(x["known"], both).otherwise(F.slice(both, 2, 1))
+
+    hits = F.flatten(F.transform("lines", entries))
+    return rows.select("doc_id", "n_paragraphs", hits.alias("hits"))
+
+
 def license_notices(docs: DataFrame, model: LicenseModel | None = None, holds: float = 0.6) -> DataFrame:
     """One row per row: doc_id, n_paragraphs, n_confirmed, n_unknown, families, found.
 
@@ -187,34 +254,38 @@ def license_notices(docs: DataFrame, model: LicenseModel | None = None, holds: f
     """
     model = model or train(docs.sparkSession)
     single = {w for g in model.weights for w in g.split()} - set(PLAIN)
-    keys = sorted(single)
-    paragraphs = F.filter(F.split(F.coalesce("text", F.lit("")), "\n"), lambda p: F.trim(p) != "")
-    rows = docs.select("doc_id", paragraphs.alias("paragraphs"))
-    numbered = F.transform("paragraphs", lambda p, i: F.struct(i.alias("paragraph"), _words(p).alias("words")))
-    hits = F.filter(numbered, lambda x: F.exists(x["words"], lambda w: w.isin(keys)))
-    rows = rows.select("doc_id", F.size("paragraphs").alias("n_paragraphs"), hits.alias("hits"))
-
+    hits = _judgeable(docs, sorted(single))
     grams = F.transform(
         "hits",
-        lambda x: F.struct(x["paragraph"], _pairs(x["words"]).alias("pairs"), _grams(x["words"]).alias("grams")),
+        lambda x: F.struct(
+            x["paragraph"],
+            x["joined"],
+            _pairs(x["words"]).alias("pairs"),
+            _grams(x["words"]).alias("grams"),
+            _pairs(x["before"]).alias("before"),
+            _pairs(x["after"]).alias("after"),
+        ),
     )
-    rows = rows.select("doc_id", "n_paragraphs", grams.alias("hits"))
+    rows = hits.select("doc_id", "n_paragraphs", grams.alias("hits"))
     entries = [F.struct(F.lit(g).alias("key"), _numbers(w).alias("value")) for g, w in model.weights.items()]
     weights = F.map_from_entries(F.array(*entries))
     known = F.array(*map(F.lit, model.weights))
 
+    def kept(x):
+        return [x[name] for name in ("paragraph", "joined", "pairs", "before", "after")]
+
     def odds(x):
         found = F.transform(F.array_intersect(x["grams"], known), lambda g: F.element_at(weights, g))
         return F.aggregate(found, _numbers(model.biases), lambda a, w: F.zip_with(a, w, lambda p, q: p + q))
 
-    logits = F.transform("hits", lambda x: F.struct(x["paragraph"], x["pairs"], odds(x).alias("odds")))
+    logits = F.transform("hits", lambda x: F.struct(*kept(x), odds(x).alias("odds")))
     rows = rows.select("doc_id", "n_paragraphs", logits.alias("hits"))
 
     def shares(x):
         top = F.array_max(x["odds"])
         return F.transform(x["odds"], lambda z: F.exp(z - top))
 
-    exps = F.transform("hits", lambda x: F.struct(x["paragraph"], x["pairs"], shares(x).alias("e")))
+    exps = F.transform("hits", lambda x: F.struct(*kept(x), shares(x).alias("e")))
     rows = rows.select("doc_id", "n_paragraphs", exps.alias("hits"))
     names = F.array(*map(F.lit, model.families))
     templates = F.array(
@@ -229,19 +300,46 @@ def license_notices(docs: DataFrame, model: LicenseModel | None = None, holds: f
         best = F.array_max(own)
         which = F.array_position(own, best).cast("int")
         total = F.aggregate(x["e"], F.lit(0.0), lambda a, v: a + v)
-        alike = F.exists(
-            F.element_at(templates, which),
-            lambda t: F.size(F.array_intersect(t, x["pairs"])) >= F.size(F.array_distinct(t)) * holds,
-        )
+
+        def alike(pairs):
+            return F.exists(
+                F.element_at(templates, which),
+                lambda t: F.size(F.array_intersect(t, pairs)) >= F.size(F.array_distinct(t)) * holds,
+            )
+
         return F.struct(
             x["paragraph"],
             F.element_at(names, which).alias("family"),
             (best / total).alias("probability"),
-            alike.alias("confirmed"),
+            alike(x["pairs"]).alias("confirmed"),
+            x["joined"],
+            (x["joined"] & alike(x["before"])).alias("before"),
+            (x["joined"] & alike(x["after"])).alias("after"),
         )
 
+    def sure(x):
+        return F.coalesce(x["confirmed"] & (x["probability"] >= model.cut), F.lit(False))
+
+    def begins(x, i):
+        """Is this the line's own judgement, or a notice that no line reports without its end?"""
+        own, one, two = (F.get("hits", i + k) for k in (-1, 1, 2))
+        own_sure = sure(own) & ~own["joined"] & (own["paragraph"] == x["paragraph"])
+        told = own_sure & (x["before"] | (own["family"] == x["family"]))
+        told_next = x["after"] & (sure(one) | (sure(two) & (two["paragraph"] == one["paragraph"])))
+        return ~x["joined"] | (sure(x) & ~F.coalesce(told, F.lit(False)) & ~F.coalesce(told_next, F.lit(False)))
+
+    def stays(x, i):
+        after = F.get("hits", i + 1)
+        replaced = after["joined"] & (after["paragraph"] == x["paragraph"])
+        return x["joined"] | sure(x) | ~F.coalesce(replaced, F.lit(False))
+
     rows = rows.select("doc_id", "n_paragraphs", F.transform("hits", judged).alias("hits"))
-    found = F.filter("hits", lambda x: x["probability"] >= model.cut)
+    rows = rows.select("doc_id", "n_paragraphs", F.filter("hits", begins).alias("hits"))
+    rows = rows.select("doc_id", "n_paragraphs", F.filter("hits", stays).alias("hits"))
+    found = F.transform(
+        F.filter("hits", lambda x: x["probability"] >= model.cut),
+        lambda x: F.struct(x["paragraph"], x["family"], x["probability"], x["confirmed"]),
+    )
     rows = rows.select("doc_id", "n_paragraphs", F.size("hits").alias("hits"), found.alias("found"))
     confirmed = F.filter("found", lambda x: x["confirmed"])
     return rows.select(

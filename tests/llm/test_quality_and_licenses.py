@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import textwrap
 import zlib
 
 import pytest
@@ -95,6 +96,32 @@ def test_families(documents, model):
         assert [x.paragraph for x in rows[i].found if x.confirmed] == ([1] if family else [])
 
 
+HEADER = (
+    "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General "
+    "Public License as published by the authors of the program."
+)
+WRAPPED = {
+    "\n".join(textwrap.wrap(HEADER, 70)): "GPL",
+    "intro words\n" + "\n".join(textwrap.wrap(HEADER, 60, initial_indent="# ", subsequent_indent="# ")): "GPL",
+    "\r\n".join(textwrap.wrap(HEADER, 66)) + "\r\n\r\ntail": "GPL",
+    "\n".join(f"// {w}\n//" for w in L.NOTICES["GPL"][2].split()): "GPL",
+    "\n".join(textwrap.wrap("token river glass. " * 4 + L.NOTICES["MIT"][2], 80)): "MIT",
+    "\n".join(textwrap.wrap("token " * 11 + L.NOTICES["Apache"][0], 80)): "Apache",
+    "All rights\nreserved.": "Proprietary",
+    "All rights\n \t\nreserved.": "",
+    "All rights\r\n\r\nreserved.": "",
+    "Released under the MIT\nLicense. Licensed under the Apache License,\nVersion 2.0.": "Apache,MIT",
+}
+
+
+def test_notices_wrapped_over_lines(documents, model):
+    rows = {r.doc_id: r for r in L.license_notices(documents(list(enumerate(WRAPPED))), model).collect()}
+    for i, (text, families) in enumerate(WRAPPED.items()):
+        assert rows[i].families == families, (text, rows[i])
+        assert rows[i].n_confirmed == len([f for f in families.split(",") if f]), (text, rows[i])
+        assert rows[i].n_paragraphs == sum(line.strip(" ") != "" for line in text.split("\n"))
+
+
 def test_licenses_in_hard_cases(documents, hard, model):
     frame = L.license_notices(documents(hard), model)
     assert frame.count() == len(hard)

@@ -11,9 +11,11 @@ their own judgements. A multinomial logistic regression on the word 1- and
 ``other``. It is trained on the notices below, whole, in part and with words
 around them, and on sentences that only talk about licenses. The least
 probability that counts is calibrated: above all but a share of ``alarms`` of
-the paragraphs that are not notices, and at least ``floor``. Below it the
-paragraph is of unknown kind. A prediction is confirmed if the paragraph holds
-a share of ``holds`` of the word pairs of one of the family's notices.
+the paragraphs that are not notices, each scored by a model that was fitted
+without it, and at least ``floor``. Below it the paragraph is of unknown kind. A
+prediction is confirmed if the paragraph holds a share of ``holds`` of the word
+pairs of one of the family's notices, and all those that set it apart from alike
+notices of sibling families.
 
 Only paragraphs with a word of the learned vocabulary that is a word of a
 notice and not a plain word can have a family; the others are ``other`` by the
@@ -111,6 +113,9 @@ OTHERS = (
     "To any person in the room, the story was confidential.",
     "You may not use this door except in an emergency.",
 )
+#: Families whose notices differ in a word or two.
+SIBLINGS = (("GPL", "LGPL", "AGPL"), ("CC-BY", "CC-BY-SA", "CC-BY-NC"))
+FOLDS = 4
 LONGEST = max(len(re.findall("[a-z0-9]+", n.lower())) for notices in NOTICES.values() for n in notices)
 _MARK = "\x01"
 PLAIN = (
@@ -142,7 +147,7 @@ def _grams(words: Column) -> Column:
 
 
 def _examples(spark: SparkSession) -> DataFrame:
-    """(paragraph, label): notices, their parts and surroundings, and the others."""
+    """(paragraph, label, fold): notices, their parts and surroundings, and the others."""
     families = list(NOTICES)
     rows = []
     for number, family in enumerate(families):
@@ -155,25 +160,32 @@ def _examples(spark: SparkSession) -> DataFrame:
                 notice + " See the file for details.",
                 " ".join(words[len(words) // 4 :]),
             )
-            rows += [(form, number) for form in forms]
+            rows += [(form, number, None) for form in forms]
             # Too little to tell.
-            rows.append((" ".join(words[: len(words) // 3]), len(families)))
-    rows += [(t, len(families)) for t in OTHERS] + [(t.replace("icense", "icence"), len(families)) for t in OTHERS]
-    return spark.createDataFrame(rows, "paragraph string, label int").coalesce(1)  # some hundred short rows
+            rows.append((" ".join(words[: len(words) // 3]), len(families), len(rows) // 6 % FOLDS))
+    for i, sentence in enumerate(OTHERS):
+        rows += [(t, len(families), i % FOLDS) for t in (sentence, sentence.replace("icense", "icence"))]
+    return spark.createDataFrame(rows, "paragraph string, label int, fold int").coalesce(1)  # some hundred short rows
 
 
 def train(spark: SparkSession, alarms: float = 0.02, floor: float = 0.5) -> LicenseModel:
-    grams = _examples(spark).select("label", _grams(_words(F.col("paragraph"))).alias("grams"))
+    grams = _examples(spark).select("label", "fold", _grams(_words(F.col("paragraph"))).alias("grams"))
     known = {g for row in grams.filter(F.col("label") < len(NOTICES)).collect() for g in row["grams"]}
     vocabulary = sorted(g for g in known if not set(g.split()) <= set(PLAIN))
     present = F.transform(
         F.array(*map(F.lit, vocabulary)), lambda g: F.array_contains("grams", g).cast("double")
     )
-    data = grams.select(F.col("label").cast("double").alias("label"), array_to_vector(present).alias("features"))
-    model = LogisticRegression(family="multinomial", regParam=0.002, maxIter=80, standardization=False).fit(data)
+    label = F.col("label").cast("double").alias("label")
+    data = grams.select(label, "fold", array_to_vector(present).alias("features"))
+    learner = LogisticRegression(family="multinomial", regParam=0.002, maxIter=80, standardization=False)
+    model = learner.fit(data)
     matrix = model.coefficientMatrix.toArray()
-    scored = model.transform(data).filter(F.col("label") == len(NOTICES)).select("probability").collect()
-    best = sorted(max(row["probability"].toArray()[:-1]) for row in scored)
+    best = []
+    for fold in range(FOLDS):
+        unseen = F.coalesce(F.col("fold") == fold, F.lit(False))
+        scored = learner.fit(data.filter(~unseen)).transform(data.filter(unseen)).select("probability").collect()
+        best += [max(row["probability"].toArray()[:-1]) for row in scored]
+    best.sort()
     cut = max(floor, best[int((1 - alarms) * (len(best) - 1))])
     return LicenseModel(
         tuple(NOTICES),
@@ -187,6 +199,22 @@ def _numbers(values) -> Column:
     return F.array(*[F.lit(float(v)) for v in values])
 
 
+def _set_apart(family: str, notice: str, holds: float) -> list[str]:
+    """Pairs of a notice, numbers as 0, where a sibling's notice that would be confirmed as it goes on otherwise."""
+
+    def pairs(text):
+        words = re.findall("[a-z0-9]+", re.sub("[0-9]+", "0", text.lower()))
+        return set(zip(words, words[1:], strict=False))
+
+    own, apart = pairs(notice), set()
+    siblings = {f for group in SIBLINGS if family in group for f in group} - {family}
+    for other in (pairs(n) for f in siblings for n in NOTICES[f]):
+        if len(own & other) >= len(own) * holds:
+            before, after = {a for a, _ in other}, {b for _, b in other}
+            apart |= {(a, b) for a, b in own - other if a in before or b in after}
+    return sorted(f"{a} {b}" for a, b in apart)
+
+
 def _judgeable(docs: DataFrame, keys: list[str]) -> DataFrame:
     """doc_id, n_paragraphs, hits: the lines and the line ends with key words."""
     beyond = LONGEST - 1
@@ -290,7 +318,15 @@ def license_notices(docs: DataFrame, model: LicenseModel | None = None, holds: f
     names = F.array(*map(F.lit, model.families))
     templates = F.array(
         *[
-            F.array(*[_pairs(_words(F.lit(notice))) for notice in NOTICES[family]])
+            F.array(
+                *[
+                    F.struct(
+                        _pairs(_words(F.lit(notice))).alias("pairs"),
+                        F.array(*map(F.lit, _set_apart(family, notice, holds))).cast("array<string>").alias("apart"),
+                    )
+                    for notice in NOTICES[family]
+                ]
+            )
             for family in model.families
         ]
     )
@@ -302,10 +338,12 @@ def license_notices(docs: DataFrame, model: LicenseModel | None = None, holds: f
         total = F.aggregate(x["e"], F.lit(0.0), lambda a, v: a + v)
 
         def alike(pairs):
-            return F.exists(
-                F.element_at(templates, which),
-                lambda t: F.size(F.array_intersect(t, pairs)) >= F.size(F.array_distinct(t)) * holds,
-            )
+            def like(t):
+                held = F.size(F.array_intersect(t["pairs"], pairs)) >= F.size(F.array_distinct(t["pairs"])) * holds
+                plain = F.transform(pairs, lambda p: F.regexp_replace(p, "[0-9]+", "0"))
+                return held & (F.size(F.array_except(t["apart"], plain)) == 0)
+
+            return F.exists(F.element_at(templates, which), like)
 
         return F.struct(
             x["paragraph"],

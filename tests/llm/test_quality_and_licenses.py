@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import dataclasses
 import textwrap
 import zlib
 
@@ -122,6 +123,31 @@ def test_notices_wrapped_over_lines(documents, model):
         assert rows[i].n_paragraphs == sum(line.strip(" ") != "" for line in text.split("\n"))
 
 
+SIBLINGS = {
+    "Licensed under CC BY-ND 4.0.": "",
+    "Licensed under CC BY-NC-ND 4.0.": "",
+    "Licensed under CC BY-NC-SA 4.0.": "",
+    "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.": "",
+    "Licensed under CC BY-SA 4.0.": "CC-BY-SA",
+    "This work is licensed under a Creative Commons Attribution 4.0 International License.": "CC-BY",
+    "Licensed under the GNU General Public License, version 2.": "GPL",
+    "Licensed under the GNU Lesser General Public License, version 2.1.": "LGPL",
+}
+
+
+def test_unlisted_siblings_are_not_confirmed(documents, model):
+    rows = {r.doc_id: r for r in L.license_notices(documents(list(enumerate(SIBLINGS))), model).collect()}
+    for i, (text, families) in enumerate(SIBLINGS.items()):
+        assert rows[i].families == families, (text, rows[i])
+
+
+def test_the_cut_is_measured_on_unseen_examples(spark):
+    model = L.train(spark, alarms=0.0, floor=0.0)
+    others = L._examples(spark).filter(f"label = {len(L.NOTICES)}").selectExpr("1L as doc_id", "paragraph as text")
+    seen = L.license_notices(others, dataclasses.replace(model, cut=0.0)).collect()
+    assert model.cut > max(x.probability for r in seen for x in r.found) + 0.01
+
+
 def test_licenses_in_hard_cases(documents, hard, model):
     frame = L.license_notices(documents(hard), model)
     assert frame.count() == len(hard)

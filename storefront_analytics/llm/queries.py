@@ -13,6 +13,7 @@ from .common import read_table
 from .exact_dedup import exact_groups
 from .license_scan import license_notices
 from .mixing import Mix, mixed
+from .personal_data import personal_spans
 from .quality import quality_scores
 from .secret_scan import secret_spans
 from .suffix_dedup import remove_repeats
@@ -64,6 +65,11 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(read_table(spark, sf_dir, "documents")).drop("spans")
 
 
+def op13_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base spans by fixed expressions and those that the trained classifier adds, of every document."""
+    return personal_spans(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_ann": op2_ann,
@@ -75,6 +81,7 @@ QUERIES = {
     "op8_license_scan": op8_license_scan,
     "op9_token_counts": op9_token_counts,
     "op10_quality": op10_quality,
+    "op13_personal_data": op13_personal_data,
 }
 
 ORACLE_SQL = {

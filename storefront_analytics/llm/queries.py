@@ -10,6 +10,7 @@ from .ann_forest import nearest
 from .bottom_k import near_duplicates
 from .bpe import encode_documents
 from .common import read_table
+from .conversation_trie import prefix_trie
 from .exact_dedup import exact_groups
 from .license_scan import license_notices
 from .mixing import Mix, mixed
@@ -65,6 +66,11 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(read_table(spark, sf_dir, "documents")).drop("spans")
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the trie of all rebuilt conversations."""
+    return prefix_trie(read_table(spark, sf_dir, "conversations"))
+
+
 def op13_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base spans by fixed expressions and those that the trained classifier adds, of every document."""
     return personal_spans(read_table(spark, sf_dir, "documents"))
@@ -81,6 +87,7 @@ QUERIES = {
     "op8_license_scan": op8_license_scan,
     "op9_token_counts": op9_token_counts,
     "op10_quality": op10_quality,
+    "op12_prefix_trie": op12_prefix_trie,
     "op13_personal_data": op13_personal_data,
 }
 
@@ -159,4 +166,64 @@ ORACLE_SQL = {
         SELECT doc_id, CAST(n AS BIGINT) AS n_shingles, min(other) AS component_id, min(other) = doc_id AS kept
         FROM reached JOIN sizes USING (doc_id) GROUP BY doc_id, n
     """,
+    "op12_prefix_trie": r"""
+        WITH RECURSIVE turns AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+            FROM conversations WHERE conv_id IS NOT NULL
+        ),
+        placed AS (
+            SELECT *, row_number() OVER (
+                       PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(length(role) || ':' || role || text)
+                   ) AS place
+            FROM turns
+        ),
+        crc AS (
+            SELECT conv_id, CAST(conv_id AS VARCHAR) AS s, 0 AS k, CAST(4294967295 AS BIGINT) AS c
+            FROM (SELECT DISTINCT conv_id FROM turns)
+            UNION ALL
+            SELECT conv_id, s, k + 1, CASE WHEN y % 2 = 1 THEN xor(y // 2, 3988292384) ELSE y // 2 END
+            FROM (
+                SELECT *, CASE WHEN k % 8 = 0 THEN xor(c, CAST(ascii(substr(s, k // 8 + 1, 1)) AS BIGINT)) ELSE c END AS y
+                FROM crc WHERE k < 8 * length(s)
+            )
+        ),
+        heads AS (SELECT conv_id, xor(c, 4294967295) % 6 AS h FROM crc WHERE k = 8 * length(s)),
+        parts AS (
+            SELECT h.conv_id, 0 AS part, p.place, p.role, p.text
+            FROM heads h JOIN placed p ON p.conv_id = h.conv_id - h.conv_id % 100 AND p.place <= h.h
+            UNION ALL
+            SELECT h.conv_id, 1, p.place, p.role, p.text FROM heads h JOIN placed p USING (conv_id) WHERE p.place > h.h
+        ),
+        rebuilt AS (
+            SELECT conv_id, row_number() OVER w AS d, text,
+                   md5(string_agg(length(role) || ':' || length(text) || ':' || role || text, '') OVER w) AS prefix
+            FROM parts
+            WINDOW w AS (PARTITION BY conv_id ORDER BY part, place ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+            UNION ALL
+            SELECT conv_id, 0, '', '' FROM heads
+        ),
+        lines AS (SELECT *, max(d) OVER (PARTITION BY conv_id) AS n FROM rebuilt),
+        nodes AS (
+            SELECT d, prefix, min(conv_id) AS c, count(*) AS n_convs, any_value(length(text)) AS points,
+                   string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE d = n) AS ends
+            FROM lines GROUP BY d, prefix
+        ),
+        linked AS (
+            SELECT n.*, p.c AS parent
+            FROM nodes n LEFT JOIN lines l ON l.conv_id = n.c AND l.d = n.d - 1
+            LEFT JOIN nodes p ON p.d = l.d AND p.prefix = l.prefix
+        ),
+        children AS (SELECT parent, d - 1 AS d, count(*) AS n FROM linked WHERE d > 0 GROUP BY ALL),
+        sums AS (
+            SELECT a.c, a.d, count(*) FILTER (WHERE k.n IS NULL) AS n_leaves, sum((b.n_convs - 1) * b.points) AS saved
+            FROM nodes a JOIN lines l ON l.d = a.d AND l.prefix = a.prefix
+            JOIN nodes b ON b.c = l.conv_id AND b.d >= a.d
+            LEFT JOIN children k ON k.parent = b.c AND k.d = b.d
+            GROUP BY a.c, a.d
+        )
+        SELECT l.c AS conv_id, CAST(l.d AS BIGINT) AS depth, l.parent AS parent_conv_id, l.n_convs,
+               CAST(coalesce(k.n, 0) AS BIGINT) AS n_children, CAST(s.n_leaves AS BIGINT) AS n_leaves,
+               CAST(s.saved AS BIGINT) AS saved_tokens, sha256(coalesce(l.ends, '')) AS ends_sha256
+        FROM linked l JOIN sums s ON s.c = l.c AND s.d = l.d LEFT JOIN children k ON k.parent = l.c AND k.d = l.d
+    """,
 }

@@ -15,6 +15,7 @@ from .exact_dedup import exact_groups
 from .license_scan import license_notices
 from .mixing import Mix, mixed
 from .personal_data import personal_spans
+from .phrases import collocations
 from .quality import quality_scores
 from .secret_scan import secret_spans
 from .suffix_dedup import remove_repeats
@@ -66,6 +67,11 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(read_table(spark, sf_dir, "documents")).drop("spans")
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best phrases of each lang, from counts over all documents."""
+    return collocations(read_table(spark, sf_dir, "documents"))
+
+
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every node of the trie of all rebuilt conversations."""
     return prefix_trie(read_table(spark, sf_dir, "conversations"))
@@ -87,6 +93,7 @@ QUERIES = {
     "op8_license_scan": op8_license_scan,
     "op9_token_counts": op9_token_counts,
     "op10_quality": op10_quality,
+    "op11_phrases": op11_phrases,
     "op12_prefix_trie": op12_prefix_trie,
     "op13_personal_data": op13_personal_data,
 }
@@ -166,6 +173,49 @@ ORACLE_SQL = {
         SELECT doc_id, CAST(n AS BIGINT) AS n_shingles, min(other) AS component_id, min(other) = doc_id AS kept
         FROM reached JOIN sizes USING (doc_id) GROUP BY doc_id, n
     """,
+    "op11_phrases": r"""
+        WITH texts AS (
+            SELECT doc_id, coalesce(lang, 'und') AS lang,
+                   translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+            FROM documents
+        ),
+        pieces AS (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM texts),
+        words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+        grams AS (
+            SELECT lang, s AS size, array_to_string(w[i:i + s - 1], ' ') AS phrase
+            FROM words, LATERAL (SELECT unnest(range(1, len(w) + 1)) AS i), (SELECT unnest(range(1, 6)) AS s)
+            WHERE i + s - 1 <= len(w)
+        ),
+        f AS (SELECT lang, size, phrase, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= 100),
+        totals AS (SELECT lang, sum(len(w)) AS n FROM words GROUP BY lang),
+        candidates AS (SELECT lang, size, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE size >= 2),
+        cut AS (
+            SELECT c.*, k, array_to_string(w[1:k], ' ') AS first_part, array_to_string(w[k + 1:], ' ') AS rest
+            FROM candidates c, LATERAL (SELECT unnest(range(1, size)) AS k)
+        ),
+        scored AS (
+            SELECT c.lang, c.phrase, c.a, c.k, x.f AS l, y.f AS r, CAST(t.n AS BIGINT) AS n,
+                   CAST((1000 * CAST(c.a AS HUGEINT) * CAST(t.n AS HUGEINT)) // (CAST(x.f AS HUGEINT) * y.f) AS BIGINT) AS score
+            FROM cut c JOIN totals t ON t.lang = c.lang
+            JOIN f x ON x.lang = c.lang AND x.phrase = c.first_part AND x.size = c.k
+            JOIN f y ON y.lang = c.lang AND y.phrase = c.rest AND y.size = c.size - c.k
+        ),
+        best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+        alone AS (
+            SELECT * FROM best b WHERE NOT EXISTS (
+                SELECT 1 FROM candidates c
+                WHERE c.lang = b.lang AND c.a >= b.a AND length(c.phrase) > length(b.phrase)
+                  AND contains(' ' || c.phrase || ' ', ' ' || b.phrase || ' ')
+            )
+        ),
+        ranked AS (
+            SELECT *, row_number() OVER (
+                       PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)
+                   ) AS rank
+            FROM alone
+        )
+        SELECT lang, rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= 2000
+    """,
     "op12_prefix_trie": r"""
         WITH RECURSIVE turns AS (
             SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text

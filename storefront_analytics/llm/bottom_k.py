@@ -1,22 +1,25 @@
 """Near duplicates by bottom-k sketches.
 
 One hash function maps every shingle to a number; a document keeps the
-``KEEP`` smallest (its sketch). Lists of the documents that keep a value give
-candidates, the k smallest values of both sketches together estimate a pair's
-similarity, and pairs that may reach the threshold are confirmed on their full
-sets of hashed shingles (63 bits).
-
-No pair is lost to a limit. Two documents at the threshold share at least
-``SHARE`` kept values (or ``PERCENT`` of the larger set if both sketches are
-whole sets; else fewer with a probability below 1e-5), so it is enough to list
-a document under its rarest values, all but ``SHARE - 1`` of them: those that
-thousands share hardly get a list. Within a list every document meets the
-first one. Lists whose documents are in one component then are settled, so a
-large group of near copies costs one comparison per document and list. The
-documents of the others are listed anew by sketches of ``MORE_KEEP`` values, of
-which a pair shares ``MORE_SHARE``: documents that only have a common passage
-drop out, and the pairs of different components that are left are compared.
-Documents with the same set are one from the start.
+smallest ones (its sketch). Inverted lists of the kept values show which
+documents share enough of them with others to have a partner at the threshold:
+first by sketches of ``FIRST``, then of ``SECOND`` values, then by the whole sets.
+Of those that are left, values that the same documents hold are one value with
+a weight, and a document is listed under its rarest ones, as many as a partner
+can't miss. Pairs within a list that sizes and places in the order allow are
+confirmed on their full sets of hashed shingles (63 bits).
+
+Bounds of loss: of a pair at the threshold each sketch value is shared with a
+probability of 0.75, so fewer than the demanded 3 of 32 with 2.4e-16 and fewer
+than 48 of 128 with 2e-20; sets that sketches hold whole, and everything after the
+sketches, are exact, so that two unlike shingles with one hash are likelier to
+change a result.
+
+Nothing is quadratic in a group of copies: documents with the same set are one
+from the start; of a list every document first meets one head, so a large group
+becomes one component, and only documents of different components meet after
+that. Lists that are long even then are dealt out by the next value that two
+documents share, whenever that writes fewer rows than pairs.
 
 Defined cases: null or empty texts and texts without words have no shingles and
 no links; rows without ``doc_id`` take no part; rows repeated with one
@@ -37,11 +40,12 @@ from .common import map_rows
 from .components import components
 
 WORDS = 5
-KEEP = 32
-SHARE = 12
-MORE_KEEP = 512
-MORE_SHARE = 336
+#: Values that a sketch keeps, and how many of them a document has to share.
+FIRST = (32, 3)
+SECOND = (128, 48)
 PERCENT = 75
+#: Documents of a list that all meet.
+SHORT = 64
 REMEMBERED_WORDS = 100_000
 _ODD = np.array([(3 + 2 * i) ** 39 % (1 << 64) for i in range(WORDS)], dtype=np.uint64)
 
@@ -78,7 +82,7 @@ def _sketches(rows):
     known = _WordHashes()
     for row in rows:
         values = shingle_set(row["text"], known)
-        yield row["doc_id"], len(values), *_digests(values), values[:KEEP].tolist()
+        yield row["doc_id"], len(values), *_digests(values), values[: FIRST[0]].tolist()
 
 
 def _digests(values: np.ndarray) -> tuple[int, int]:
@@ -94,10 +98,16 @@ def _sets(rows):
             yield row["doc_id"], len(values), values.tobytes()
 
 
-def _values(rows):
-    for row in rows:
-        for value in np.frombuffer(row["shingles"], dtype=np.int64)[:MORE_KEEP].tolist():
-            yield row["doc_id"], row["n_shingles"], value
+def _values(sets: DataFrame, keep: int | None = None) -> DataFrame:
+    """The smallest ``keep`` values of each set, or all: doc_id, n_shingles, value."""
+
+    def run(rows):
+        for row in rows:
+            values = np.frombuffer(row["shingles"], dtype=np.int64)[:keep]
+            yield row["doc_id"], row["n_shingles"], values.tolist()
+
+    kept = map_rows(sets, run, "doc_id long, n_shingles long, kept array<long>")
+    return kept.select("doc_id", "n_shingles", F.explode("kept").alias("value"))
 
 
 def _confirmed(rows):
@@ -108,46 +118,131 @@ def _confirmed(rows):
             yield row["a"], row["b"]
 
 
-def _links(pairs: DataFrame, shapes: DataFrame, sets: DataFrame) -> DataFrame:
+def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Those of the pairs (a, b) that reach the threshold."""
-
-    def side(name):
-        return shapes.select(
-            F.col("doc_id").alias(name), F.col("n_shingles").alias(f"n_{name}"), F.col("sketch").alias(f"s_{name}")
-        )
-
-    pairs = pairs.join(side("b"), "b").join(side("a"), "a")
-    fits = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * PERCENT
-    union = F.slice(F.array_sort(F.array_union("s_a", "s_b")), 1, KEEP)
-    both = F.size(F.array_intersect(union, F.array_intersect("s_a", "s_b")))
-    alike = fits & (both * KEEP >= F.size(union) * SHARE)
-    likely = store(pairs.filter(alike).select("a", "b"), "near-likely").frame
     sets = sets.select("doc_id", "shingles")
-    pairs = likely.join(sets.toDF("b", "set_b"), "b").join(sets.toDF("a", "set_a"), "a")
+    pairs = pairs.join(sets.toDF("b", "set_b"), "b").join(sets.toDF("a", "set_a"), "a")
     return store(map_rows(pairs, _confirmed, "a long, b long"), "near-links").frame
 
 
-def _lists(kept: DataFrame, keep: int, share: int, name: str) -> DataFrame:
-    """Each document's rarest values, all but ``share - 1`` of its sketch: value, doc_id, n_shingles, at.
+def _needed(size="n_shingles"):
+    """What a set shares at least with any partner."""
+    return F.ceil(F.col(size) * PERCENT / 100)
+
+
+def _sharing(values: DataFrame, keep: int, share: int) -> DataFrame:
+    """doc_id of the documents that share enough of their kept values (doc_id, n_shingles, value) with others."""
+    shared = values.groupBy("value").agg(F.count(F.lit(1)).alias("holders")).filter("holders > 1")
+    shared = store(shared.select("value"), "near-shared").frame
+    # Up to this size a partner's sketch is its set, too.
+    whole = F.col("n_shingles") * 100 <= keep * PERCENT
+    least = F.when(whole, _needed()).otherwise(F.least(_needed(), F.lit(share)))
+    held = values.join(shared, "value", "left_semi").groupBy("doc_id", "n_shingles").agg(F.count(F.lit(1)).alias("held"))
+    return store(held.filter(F.col("held") >= least).select("doc_id"), "near-sharing").frame
+
+
+def _fit(a: str, b: str):
+    """Whether sizes, and the most that two documents of a list can share, allow a link."""
+    sizes = F.least(f"n_{a}", f"n_{b}") * 100 >= F.greatest(f"n_{a}", f"n_{b}") * PERCENT
+    most = F.least(f"most_{a}", f"most_{b}") * (100 + PERCENT)
+    return sizes & (most >= (F.col(f"n_{a}") + F.col(f"n_{b}")) * PERCENT)
+
+
+KEY = ["key_a", "key_b"]
+
 
-    A value that no other document keeps needs no list but counts as rarest;
-    ``at`` is the place of a value in the document's sketch, rarest first.
+def _weighted(values: DataFrame) -> DataFrame:
+    """Each document's values as groups with the same holders, rarest first.
+
+    doc_id, n (its shingles), key_a and key_b (the group), weight (values of the group), place, left (weight of
+    this and all later groups).
     """
-    exact = F.ceil(F.col("n_shingles") * PERCENT / 100)
-    small = F.col("n_shingles") * 100 <= keep * PERCENT  # then any partner's sketch is its set, too
-    # Above, it may be: then both share ``exact`` at least, else ``share``.
-    least = F.when(small, exact).otherwise(F.least(exact, F.lit(share)))
-    holders = kept.groupBy("value").agg(F.count("*").alias("holders")).filter("holders > 1")
-    holders = store(holders, f"{name}-values")
-    by_doc = W.partitionBy("doc_id")
-    placed = (
-        kept.join(holders.frame, "value")
-        .withColumn("place", F.row_number().over(by_doc.orderBy("holders", "value")))
-        .withColumn("held", F.count("*").over(by_doc))
+    groups = values.groupBy("value").agg(
+        F.count(F.lit(1)).alias("holders"),
+        F.bit_xor(F.xxhash64("doc_id")).alias("key_a"),
+        F.bit_xor(F.xxhash64(F.lit(1), "doc_id")).alias("key_b"),
     )
-    alone = F.least("n_shingles", F.lit(keep)) - F.col("held")
-    rarest = placed.filter(F.col("place") <= F.col("held") - least + 1)
-    return store(rarest.select("value", "doc_id", "n_shingles", (F.col("place") + alone).alias("at")), name).frame
+    groups = store(groups.filter("holders > 1"), "near-groups").frame
+    held = values.join(groups, "value").groupBy("doc_id", "n_shingles", "holders", *KEY).agg(F.count(F.lit(1)).alias("weight"))
+    by_doc = W.partitionBy("doc_id")
+    ordered = by_doc.orderBy("holders", *KEY)
+    upto = F.sum("weight").over(ordered.rowsBetween(W.unboundedPreceding, 0))
+    left = F.sum("weight").over(by_doc) - upto + F.col("weight")
+    held = held.select("doc_id", F.col("n_shingles").alias("n"), *KEY, "weight", F.row_number().over(ordered).alias("place"), left.alias("left"))
+    return store(held, "near-weighted").frame
+
+
+def _with_parts(lists: DataFrame, links: DataFrame) -> DataFrame:
+    """Lists whose documents are in several components, with the component of each."""
+    part = F.coalesce("component_id", "doc_id").alias("part")
+    placed = lists.join(components(links), "doc_id", "left").select(*lists.columns, part)
+    placed = store(placed, "near-placed").frame
+    mixed = placed.groupBy(*KEY).agg(F.min("part").alias("p"), F.max("part").alias("q")).filter("p <> q")
+    return store(placed.join(store(mixed.select(*KEY), "near-mixed").frame, KEY, "left_semi"), "near-open").frame
+
+
+def _dealt(lists: DataFrame, weighted: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Long lists dealt out by the next value that two documents share; and pairs that need no next one."""
+    steps = weighted.select("doc_id", F.col("key_a").alias("next_a"), F.col("key_b").alias("next_b"), "weight", F.col("place").alias("next"), "left")
+    done, certain = None, None
+    while True:
+        sizes = lists.groupBy(*KEY).agg(F.count(F.lit(1)).alias("docs"))
+        long = store(sizes.filter(F.col("docs") > SHORT), "near-long")
+        if not long.rows:
+            return (lists if done is None else done.unionByName(lists)), certain
+        more = (
+            lists.join(long.frame, KEY)
+            .join(steps, "doc_id")
+            .filter((F.col("next") > F.col("place")) & (F.col("got") + F.col("left") >= _needed("n")))
+        )
+        fan = more.groupBy(*KEY, "docs").agg(F.count(F.lit(1)).alias("fan"))
+        worth = store(long.frame.join(fan.select(*KEY, "fan"), KEY, "left").filter("coalesce(fan, 0) * 4 < docs * docs").select(*KEY), "near-worth")
+        kept = lists if not worth.rows else lists.join(worth.frame, KEY, "left_anti")
+        if not worth.rows:
+            return (kept if done is None else done.unionByName(kept)), certain
+        dealt = lists.join(worth.frame, KEY, "left_semi")
+        # What is shared so far may do: then the smallest set of the list does with all that it does for.
+        least = dealt.groupBy(*KEY).agg(F.min(F.struct("n", "doc_id")).alias("l"))
+        sure = dealt.join(least, KEY).filter((F.col("n") + F.col("l.n")) * PERCENT <= F.col("got") * (100 + PERCENT))
+        sure = sure.filter("doc_id <> l.doc_id").select(F.least("doc_id", "l.doc_id").alias("a"), F.greatest("doc_id", "l.doc_id").alias("b"))
+        certain = sure if certain is None else certain.unionByName(sure)
+        short = kept.join(long.frame.select(*KEY), KEY, "left_anti")
+        settled = kept.join(long.frame.select(*KEY), KEY, "left_semi").unionByName(short)
+        done = settled if done is None else done.unionByName(settled)
+        following = more.join(worth.frame, KEY, "left_semi").select(
+            F.xxhash64("key_a", "next_a").alias("key_a"),
+            F.xxhash64("key_b", "next_b").alias("key_b"),
+            "doc_id",
+            "n",
+            F.col("next").alias("place"),
+            (F.col("got") + F.col("weight")).alias("got"),
+            (F.col("got") + F.col("left")).alias("most"),
+            "part",
+        )
+        following = store(following, "near-dealt").frame
+        several = following.groupBy(*KEY).agg(F.min("part").alias("p"), F.max("part").alias("q")).filter("p <> q")
+        lists = store(following.join(several.select(*KEY), KEY, "left_semi"), "near-dealt-open").frame
+
+
+def _crossing(lists: DataFrame) -> DataFrame:
+    """Pairs (a, b) of documents of one list that are in different components."""
+    largest = lists.groupBy(*KEY, "part").agg(F.count(F.lit(1)).alias("docs")).groupBy(*KEY)
+    largest = largest.agg(F.max(F.struct("docs", "part"))["part"].alias("largest"))
+    one = [*KEY, "doc_id", "n", "most", "part"]
+    # Documents of a list's largest component don't meet each other.
+    left = lists.join(largest, KEY).filter("part <> largest").select(one).toDF(*KEY, "a", "n_a", "most_a", "p")
+    right = lists.select(one).toDF(*KEY, "b", "n_b", "most_b", "q")
+    met = left.join(right, KEY).filter("p <> q").filter(_fit("a", "b"))
+    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _heads(lists: DataFrame) -> DataFrame:
+    """Each document with the first one of its list, where a link is possible; key, a, b, docs (of the list)."""
+    first = F.min(F.struct("doc_id", "n", "most")).alias("h")
+    heads = lists.groupBy(*KEY).agg(first, F.count(F.lit(1)).alias("docs"))
+    heads = heads.select(*KEY, "docs", F.col("h.doc_id").alias("a"), F.col("h.n").alias("n_a"), F.col("h.most").alias("most_a"))
+    own = lists.withColumnsRenamed({"doc_id": "b", "n": "n_b", "most": "most_b"})
+    return own.join(heads, KEY).filter("a <> b").filter(_fit("a", "b"))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -170,37 +265,32 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     ).frame
 
     kept = firsts.select("doc_id", "n_shingles", F.explode("sketch").alias("value"))
-    lists = _lists(kept, KEEP, SHARE, "near-lists")
-    listed = firsts.join(lists.select("doc_id").distinct(), "doc_id", "left_semi")
-    texts = docs.join(listed.select("doc_id", "digest_a", "digest_b"), "doc_id").dropDuplicates(["doc_id", "text"])
+    sharing = _sharing(kept, *FIRST)
+    wanted = firsts.join(sharing, "doc_id", "left_semi").select("doc_id", "digest_a", "digest_b")
+    texts = docs.join(wanted, "doc_id").dropDuplicates(["doc_id", "text"])
     sets = store(map_rows(texts, _sets, "doc_id long, n_shingles long, shingles binary"), "near-sets").frame
+    sharing = _sharing(_values(sets, SECOND[0]), *SECOND)
+    weighted = _weighted(_values(sets.join(sharing, "doc_id", "left_semi")))
+    lists = weighted.filter(F.col("left") >= _needed("n")).select(
+        *KEY, "doc_id", "n", "place", F.col("weight").alias("got"), F.col("left").alias("most")
+    )
 
-    first_of = store(lists.groupBy("value").agg(F.min("doc_id").alias("a")), "near-heads").frame
-    met = lists.join(first_of, "value").filter("a <> doc_id").select("a", F.col("doc_id").alias("b")).distinct()
-    met = store(met, "near-met").frame
-    links = _links(met, firsts, sets)
-    parts = components(links)
-
-    # What the first meetings left open: documents of a list in different components.
-    def placed(lists):
-        part = F.coalesce("component_id", "doc_id").alias("part")
-        return lists.join(parts, "doc_id", "left").select("value", "doc_id", "n_shingles", "at", part)
-
-    by_list = store(placed(lists), "near-placed").frame
-    mixed = by_list.groupBy("value").agg(F.min("part").alias("p"), F.max("part").alias("q")).filter("p <> q")
-    again = by_list.join(store(mixed.select("value"), "near-mixed").frame, "value", "left_semi")
-    again = store(again.select("doc_id").distinct(), "near-again").frame
-    kept = map_rows(sets.join(again, "doc_id", "left_semi"), _values, "doc_id long, n_shingles long, value long")
-    by_list = store(placed(_lists(kept, MORE_KEEP, MORE_SHARE, "near-more-lists")), "near-more-placed").frame
-    left, right = by_list.toDF("value", "a", "n_a", "at_a", "p"), by_list.toDF("value", "b", "n_b", "at_b", "q")
-    fits = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * PERCENT
-    # Of whole sets, no value rarer than the first that both have is in both: what is left must do.
-    left_over = 1 + F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.col("at_b"))
-    enough = left_over * (100 + PERCENT) >= (F.col("n_a") + F.col("n_b")) * PERCENT
-    fits = fits & (enough | (F.greatest("n_a", "n_b") > MORE_KEEP))
-    crossing = left.join(right, "value").filter("a < b and p <> q").filter(fits).select("a", "b").distinct()
+    # Every document meets the head of its longest list, then those of all lists that are in several components.
+    longest = _heads(lists).groupBy("b").agg(F.max_by("a", F.struct("docs", "a")).alias("a"))
+    links = _links(store(longest.select("a", "b"), "near-longest").frame, sets)
+    mixed = _with_parts(lists, links)
+    met = _heads(mixed.withColumnRenamed("part", "q")).join(
+        mixed.select(*KEY, F.col("doc_id").alias("a"), F.col("part").alias("p")), [*KEY, "a"]
+    )
+    met = store(met.filter("p <> q").select("a", "b").distinct(), "near-met").frame
+    links = links.unionByName(_links(met, sets))
+    mixed = _with_parts(lists, links)
+    short, certain = _dealt(mixed, weighted)
+    crossing = _crossing(short)
+    if certain is not None:
+        crossing = crossing.unionByName(certain).distinct()
     crossing = store(crossing.join(met, ["a", "b"], "left_anti"), "near-crossing").frame
-    links = links.union(_links(crossing, firsts, sets))
+    links = links.unionByName(_links(crossing, sets))
     parts = components(links)
 
     first = shapes.join(classes.frame, key, "left").select(

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+from collections import Counter
 
 import pytest
 from hypothesis import given, settings
@@ -46,9 +47,8 @@ def _edited(text, rng, edits):
 
 
 def test_hard_cases(documents, hard):
-    short = [(d, t if t is None or len(t) < 9000 else t[:9000]) for d, t in hard]
-    short += [(30, "A b C"), (31, "a B c"), (32, "a b"), (33, "!")]
-    assert _got(documents(short)) == _expected(short)
+    pairs = hard + [(30, "A b C"), (31, "a B c"), (32, "a b"), (33, "!")]
+    assert _got(documents(pairs)) == _expected(pairs)
 
 
 def test_chains_large_groups_and_common_passages(documents, prose):
@@ -70,8 +70,57 @@ def test_chains_large_groups_and_common_passages(documents, prose):
     assert sorted(r.doc_id for r in kept.collect()) == [d for d, _, _, k in got if k]
 
 
-def test_documents_over_the_second_sketch(documents, prose):
-    # Sets larger than the sketches of the second listing, and a common half.
+def _of_pool(pool, rng, parts):
+    return " ".join(rng.sample(pool, parts))
+
+
+@pytest.mark.parametrize("short", [64, 4])
+def test_documents_built_from_a_pool(documents, prose, monkeypatch, short):
+    # All that these documents hold is shared, and most pairs are far from the threshold: lists are long and mixed.
+    monkeypatch.setattr(B, "SHORT", short)
+    rng = random.Random(8)
+    pool = [prose(rng.randint(12, 30), 300 + i) for i in range(40)]
+    pairs = [(i, _of_pool(pool, rng, rng.randint(6, 40))) for i in range(120)]
+    for i in range(0, 40, 4):  # a part left out, a part doubled
+        parts = [pool[k] for k in rng.sample(range(40), 25)]
+        pairs += [(200 + i, " ".join(parts)), (201 + i, " ".join(parts[:-2])), (202 + i, " ".join(parts + parts[:3]))]
+    expected = _expected(pairs)
+    assert sum(not k for *_, k in expected) >= 10
+    assert _got(documents(pairs)) == expected
+
+
+def test_two_thousand_documents(documents, prose):
+    rng = random.Random(9)
+    bases = [prose(rng.randint(3, 260), 700 + i) for i in range(300)]
+    pairs = []
+    for i in range(2000):
+        base = rng.choice(bases)
+        pairs.append((i, _edited(base, rng, rng.randint(0, max(1, len(base.split()) // 12)))))
+    assert _got(documents(pairs)) == _expected_of_many(pairs)
+
+
+def _expected_of_many(pairs):
+    """As ``_expected``, comparing only documents with a common shingle."""
+    sets = {d: _set(t) for d, t in pairs}
+    holders, root = {}, {d: d for d in sets}
+    for d, values in sets.items():
+        for v in values:
+            holders.setdefault(v, []).append(d)
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    common = Counter((a, b) for h in holders.values() for i, a in enumerate(h) for b in h[i + 1 :])
+    for (a, b), c in common.items():
+        if 100 * c >= 75 * (len(sets[a]) + len(sets[b]) - c):
+            low, high = sorted((find(a), find(b)))
+            root[high] = low
+    return sorted((d, len(s), find(d), find(d) == d) for d, s in sets.items())
+
+
+def test_large_sets_and_a_common_half(documents, prose):
     rng = random.Random(8)
     half = prose(700, 5)
     pairs = [(i, half + " " + prose(350, 20 + i)) for i in range(12)]
@@ -79,6 +128,19 @@ def test_documents_over_the_second_sketch(documents, prose):
     assert _got(documents(pairs)) == _expected(pairs)
 
 
+def test_borders_of_the_sketches(documents, prose):
+    # Sizes around those of the sketches, pairs just over and just under the threshold.
+    pairs = []
+    for family, n in enumerate([23, 24, 25, 32, 33, 42, 43, 95, 96, 97, 128, 129, 170, 171]):
+        words = prose(n + 4, 40 + family).split()
+        for k, more in enumerate([n // 3 - 1, n // 3, n // 3 + 1]):
+            pairs.append((10 * family + k + 1, " ".join(words) + " " + prose(more, 500 + 10 * family + k)))
+        pairs.append((10 * family, " ".join(words)))
+    expected = _expected(pairs)
+    assert 14 <= sum(not k for *_, k in expected) < len(pairs) - 14
+    assert _got(documents(pairs)) == expected
+
+
 def test_second_listing_of_sets_that_its_sketch_holds(documents, prose):
     # Up to 512 shingles the second sketch is the set, and a pair may share fewer values than larger ones must.
     pairs = []

@@ -32,6 +32,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -53,8 +54,8 @@ class PhraseConfig:
     top: int = 2000
     scale: int = 1000
     #: Words of a shard, places of a range, n-grams from which the bounds of ranges are taken.
-    shard_words: int = 2_000_000
-    range_places: int = 1_000_000
+    shard_words: int = 1_000_000
+    range_places: int = 500_000
     samples: int = 100_000
     #: Frequent n-grams of a lookup task.
     lookup_rows: int = 200_000
@@ -170,11 +171,11 @@ class Transducer:
         arrays = [self.first, self.labels, self.weights, self.targets]
         kinds = [a.astype(np.min_scalar_type(int(a.max()) if len(a) else 0)) for a in arrays]
         head = struct.pack("<q", len(words)) + b"".join(struct.pack("<qc", len(a), a.dtype.char.encode()) for a in kinds)
-        return zlib.compress(head + words + b"".join(a.tobytes() for a in kinds), 1)
+        return zstandard.compress(head + words + b"".join(a.tobytes() for a in kinds), 1)
 
     @classmethod
     def unpacked(cls, data: bytes) -> Transducer:
-        data = zlib.decompress(data)
+        data = zstandard.decompress(data)
         length, at, arrays = struct.unpack_from("<q", data)[0], 8, []
         shapes = []
         for _ in range(4):
@@ -218,7 +219,12 @@ def _registered(new, size, label, weight, target) -> tuple[np.ndarray, np.ndarra
         place = np.arange(len(label)) - np.repeat(new, size)
         arc = _mixed(label.astype(np.uint64) + _mixed(weight.astype(np.uint64) + _mixed(target.astype(np.uint64) + _mixed(place.astype(np.uint64)))))
         prints = np.add.reduceat(arc, new) + size.astype(np.uint64)
-    _, kept, same = np.unique(prints, return_index=True, return_inverse=True)
+    order = np.argsort(prints)
+    ordered = prints[order]
+    firsts = np.concatenate(([True], ordered[1:] != ordered[:-1]))
+    same = np.empty(len(prints), dtype=np.int64)
+    same[order] = np.cumsum(firsts) - 1
+    kept = order[firsts]
     # Equal prints must be equal arcs; a state for which they are not stays on its own.
     like = kept[same]
     alike = size[like] == size
@@ -245,7 +251,8 @@ def _order(columns: list[np.ndarray], bits: int) -> np.ndarray:
     for low in range(0, len(columns), each):
         key = np.zeros(len(columns[0]), dtype=np.int64)
         for column in columns[low : low + each]:
-            key = (key << bits) | column
+            key <<= bits
+            key |= column
         keys.append(key)
     return np.lexsort(keys[::-1])
 
@@ -288,10 +295,11 @@ class Shard:
         names = [*list(self.words)[2:], *list(self.langs)[2:]]
         symbols = sorted(set(names))
         ranks = {s: i + 1 for i, s in enumerate(symbols)}
-        rank = np.array([0, *[ranks[s] for s in names]], dtype=np.int64)
+        rank = np.array([0, *[ranks[s] for s in names]], dtype=np.int32)
+        del names, ranks
         places = np.flatnonzero(words[: len(words) - along])
         columns = [rank[len(self.words) - 2 + of[places]]]
-        words = np.concatenate((rank[words], np.zeros(LONGEST, dtype=np.int64)))
+        words = np.concatenate((rank[words], np.zeros(LONGEST, dtype=np.int32)))
         alive = np.ones(len(places), dtype=bool)
         for k in range(LONGEST):
             column = words[places + k] * alive
@@ -356,7 +364,7 @@ def _own_symbols(symbols: list[bytes], columns: list[np.ndarray]) -> tuple[list[
     for column in columns:
         used[column] = True
     used[0] = True
-    rank = np.cumsum(used) - 1
+    rank = np.cumsum(used, dtype=np.int32) - 1
     return [symbols[i] for i in np.flatnonzero(used)], [rank[c] for c in columns]
 
 
@@ -367,7 +375,7 @@ def united(parts: list[Transducer]) -> Transducer:
     columns, counts = [[] for _ in range(DEPTH)], []
     for part in parts:
         own, count = part.expanded()
-        rank = np.array([ranks[s] for s in part.symbols], dtype=np.int64)
+        rank = np.array([ranks[s] for s in part.symbols], dtype=np.int32)
         for k in range(DEPTH):
             columns[k].append(rank[own[k]])
         counts.append(count)

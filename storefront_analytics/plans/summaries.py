@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from storefront_analytics.plans.evidence import desired_direction, evidence_json
+from storefront_analytics.sources.pointers import AppendLog
 from storefront_analytics.sources.scratch import Stored, store
 
 # Fixed values.
@@ -187,20 +188,30 @@ def approved_summaries(history: DataFrame) -> DataFrame:
     )
 
 
-def append_summaries(candidates: Stored, path: str) -> int:
+class AppendContended(RuntimeError):
+    """Other writers were first every time."""
+
+
+def append_summaries(candidates: Stored, path: str, attempts: int = 10) -> int:
     """Append the new rows to the history at ``path`` and return their number.
 
-    The candidates are stored, so ids and texts are computed once. One writer
-    at a time is assumed.
+    The candidates are stored, so ids and texts are computed once. Writers may
+    run side by side: rows are added only if nobody has appended since they were
+    compared with the history, else they are compared again.
     """
     spark = candidates.frame.sparkSession
     location = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     files = location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if files.exists(location):
-        history = spark.read.schema(HISTORY_SCHEMA).parquet(path)
-    else:
-        history = spark.createDataFrame([], HISTORY_SCHEMA)
-    batch = store(new_summaries(candidates, history), "new-summaries")
-    if batch.rows:
-        batch.frame.write.mode("append").parquet(path)
-    return batch.rows
+    log = AppendLog(spark, path)
+    for _ in range(attempts):
+        after = log.settled()
+        if files.exists(location):
+            history = spark.read.schema(HISTORY_SCHEMA).parquet(path)
+        else:
+            history = spark.createDataFrame([], HISTORY_SCHEMA)
+        batch = store(new_summaries(candidates, history), "new-summaries")
+        if not batch.rows:
+            return 0
+        if log.append(batch.frame, after):
+            return batch.rows
+    raise AppendContended(path)

@@ -1,9 +1,11 @@
 """Versions of the summary history: a new folder each, then a pointer to it.
 
-A version is written in full beside the others. It becomes the current one by
-creating the pointer file of its number, which only one writer can do; whoever
-comes second fails and leaves nothing but an unreferenced folder. A reader
-takes the highest pointer, so a failure before that leaves the old version.
+A version is written in full beside the others and becomes the current one by
+the pointer of its number (``pointers``), which only one writer gets and which
+is there complete or not at all. Whoever comes second fails and leaves nothing
+but an unreferenced folder. A reader takes the highest complete pointer, so a
+failure at any moment leaves the old version; a number whose file is not
+complete is passed over.
 """
 
 from __future__ import annotations
@@ -15,32 +17,22 @@ from pyspark.sql import DataFrame, SparkSession
 
 from storefront_analytics.plans.reviews import apply_reviews, judged_decisions, review_conflicts
 from storefront_analytics.plans.summaries import HISTORY_SCHEMA
+from storefront_analytics.sources.pointers import Pointers
 
 
 class VersionTaken(RuntimeError):
-    """Another writer has published this version meanwhile."""
+    """Another writer has published a version meanwhile."""
 
 
 class HistoryVersions:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
-        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-        self._path = lambda name: jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}")
-        self._files = self._path("pointers").getFileSystem(conf)
+        self._pointers = Pointers(spark, f"{folder}/pointers")
 
     def current(self) -> tuple[int, str] | None:
         """Number and folder of the version that readers see."""
-        pointers = self._path("pointers")
-        if not self._files.exists(pointers):
-            return None
-        numbers = [int(f.getPath().getName()) for f in self._files.listStatus(pointers)]
-        if not numbers:
-            return None
-        opened = self._files.open(self._path(f"pointers/{max(numbers)}"))
-        try:
-            return max(numbers), opened.readUTF()
-        finally:
-            opened.close()
+        complete = {n: lines[0] for n, lines in self._pointers.found().items() if lines}
+        return max(complete.items(), default=None)
 
     def read(self) -> DataFrame:
         found = self.current()
@@ -50,20 +42,14 @@ class HistoryVersions:
 
     def publish(self, history: DataFrame, follows: int) -> int:
         """Write ``history`` as the version after ``follows`` and point to it."""
-        number = follows + 1
-        name = f"versions/{number}-{uuid.uuid4().hex}"
+        name = f"versions/{follows + 1}-{uuid.uuid4().hex}"
         history.write.parquet(f"{self.folder}/{name}")
-        pointer = self._path(f"pointers/{number}")
-        try:
-            opened = self._files.create(pointer, False)
-        except Exception as error:
-            if self._files.exists(pointer):
-                raise VersionTaken(f"version {number} of {self.folder}") from error
-            raise
-        try:
-            opened.writeUTF(name)
-        finally:
-            opened.close()
+        # One listing for both questions: what is current, and which number is free.
+        found = self._pointers.found()
+        current = max((n for n, lines in found.items() if lines), default=0)
+        number = max(found, default=0) + 1
+        if current != follows or not self._pointers.claim(number, [name]):
+            raise VersionTaken(f"a version after {follows} of {self.folder}")
         return number
 
     def review(self, decisions: DataFrame, reviewed_at: datetime) -> tuple[int, int]:

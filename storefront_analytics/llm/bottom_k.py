@@ -44,8 +44,8 @@ WORDS = 5
 FIRST = (32, 3)
 SECOND = (128, 48)
 PERCENT = 75
-#: Documents of a list that all meet.
-SHORT = 64
+#: Pairs of a list that all meet.
+SHORT = 4096
 REMEMBERED_WORDS = 100_000
 _ODD = np.array([(3 + 2 * i) ** 39 % (1 << 64) for i in range(WORDS)], dtype=np.uint64)
 
@@ -186,8 +186,10 @@ def _dealt(lists: DataFrame, weighted: DataFrame) -> tuple[DataFrame, DataFrame]
     steps = weighted.select("doc_id", F.col("key_a").alias("next_a"), F.col("key_b").alias("next_b"), "weight", F.col("place").alias("next"), "left")
     done, certain = None, None
     while True:
-        sizes = lists.groupBy(*KEY).agg(F.count(F.lit(1)).alias("docs"))
-        long = store(sizes.filter(F.col("docs") > SHORT), "near-long")
+        # Pairs of documents in different components.
+        sizes = lists.groupBy(*KEY, "part").agg(F.count(F.lit(1)).cast("double").alias("docs")).groupBy(*KEY)
+        pairs = (F.sum("docs") * F.sum("docs") - F.sum(F.col("docs") * F.col("docs"))) / 2
+        long = store(sizes.agg(pairs.alias("pairs")).filter(F.col("pairs") > SHORT), "near-long")
         if not long.rows:
             return (lists if done is None else done.unionByName(lists)), certain
         more = (
@@ -195,8 +197,9 @@ def _dealt(lists: DataFrame, weighted: DataFrame) -> tuple[DataFrame, DataFrame]
             .join(steps, "doc_id")
             .filter((F.col("next") > F.col("place")) & (F.col("got") + F.col("left") >= _needed("n")))
         )
-        fan = more.groupBy(*KEY, "docs").agg(F.count(F.lit(1)).alias("fan"))
-        worth = store(long.frame.join(fan.select(*KEY, "fan"), KEY, "left").filter("coalesce(fan, 0) * 4 < docs * docs").select(*KEY), "near-worth")
+        fan = more.groupBy(*KEY).agg(F.count(F.lit(1)).alias("fan"))
+        worth = long.frame.join(fan, KEY, "left").filter("coalesce(fan, 0) * 4 < pairs").select(*KEY)
+        worth = store(worth, "near-worth")
         kept = lists if not worth.rows else lists.join(worth.frame, KEY, "left_anti")
         if not worth.rows:
             return (kept if done is None else done.unionByName(kept)), certain
@@ -206,9 +209,7 @@ def _dealt(lists: DataFrame, weighted: DataFrame) -> tuple[DataFrame, DataFrame]
         sure = dealt.join(least, KEY).filter((F.col("n") + F.col("l.n")) * PERCENT <= F.col("got") * (100 + PERCENT))
         sure = sure.filter("doc_id <> l.doc_id").select(F.least("doc_id", "l.doc_id").alias("a"), F.greatest("doc_id", "l.doc_id").alias("b"))
         certain = sure if certain is None else certain.unionByName(sure)
-        short = kept.join(long.frame.select(*KEY), KEY, "left_anti")
-        settled = kept.join(long.frame.select(*KEY), KEY, "left_semi").unionByName(short)
-        done = settled if done is None else done.unionByName(settled)
+        done = kept if done is None else done.unionByName(kept)
         following = more.join(worth.frame, KEY, "left_semi").select(
             F.xxhash64("key_a", "next_a").alias("key_a"),
             F.xxhash64("key_b", "next_b").alias("key_b"),

@@ -74,7 +74,7 @@ def _of_pool(pool, rng, parts):
     return " ".join(rng.sample(pool, parts))
 
 
-@pytest.mark.parametrize("short", [64, 4])
+@pytest.mark.parametrize("short", [4096, 30])
 def test_documents_built_from_a_pool(documents, prose, monkeypatch, short):
     # All that these documents hold is shared, and most pairs are far from the threshold: lists are long and mixed.
     monkeypatch.setattr(B, "SHORT", short)
@@ -86,7 +86,11 @@ def test_documents_built_from_a_pool(documents, prose, monkeypatch, short):
         pairs += [(200 + i, " ".join(parts)), (201 + i, " ".join(parts[:-2])), (202 + i, " ".join(parts + parts[:3]))]
     expected = _expected(pairs)
     assert sum(not k for *_, k in expected) >= 10
+    dealt = []
+    whole = B._dealt
+    monkeypatch.setattr(B, "_dealt", lambda *a: dealt.append(whole(*a)) or dealt[-1])
     assert _got(documents(pairs)) == expected
+    assert (dealt[0][1] is None) == (short == 4096)
 
 
 def test_two_thousand_documents(documents, prose):

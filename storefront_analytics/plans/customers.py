@@ -133,7 +133,18 @@ def mart_customer_rfm(metrics: Stored) -> DataFrame:
     """
     buyers = metrics.frame.filter(F.col("completed_order_count") > 0)
     day_after = buyers.agg(F.date_add(F.max("last_completed_order_at").cast("date"), 1).alias("analysis_date"))
-    customers = buyers.crossJoin(F.broadcast(day_after)).select(  # one row
+    scored = with_tiles(
+        buyers,
+        "user_id",
+        {
+            "recency_score": F.unix_date(F.col("last_completed_order_at").cast("date")),  # the longest absence first
+            "frequency_score": F.col("completed_order_count"),
+            "monetary_score": F.col("lifetime_revenue"),
+        },
+        RFM_TILES,
+    )
+    scores = [F.col(c) for c in ("recency_score", "frequency_score", "monetary_score")]
+    return scored.crossJoin(F.broadcast(day_after)).select(  # one row
         "user_id",
         "analysis_date",
         days_between(F.col("last_completed_order_at"), F.col("analysis_date")).alias("recency_days"),
@@ -142,20 +153,6 @@ def mart_customer_rfm(metrics: Stored) -> DataFrame:
         F.col("average_completed_order_value").alias("average_order_value"),
         "first_completed_order_at",
         "last_completed_order_at",
-    )
-    scored = with_tiles(
-        customers,
-        "user_id",
-        {
-            "recency_score": -F.col("recency_days"),  # the longest absence first
-            "frequency_score": F.col("frequency"),
-            "monetary_score": F.col("monetary_value"),
-        },
-        RFM_TILES,
-    )
-    scores = [F.col(c) for c in ("recency_score", "frequency_score", "monetary_score")]
-    return scored.select(
-        *customers.columns,
         *scores,
         F.concat(*[s.cast("string") for s in scores]).alias("rfm_score"),
         rfm_segment(*scores).alias("customer_segment"),

@@ -289,64 +289,69 @@ def mart_customer_cohort_retention(customer_orders: DataFrame) -> DataFrame:
 # -- products ----------------------------------------------------------------
 
 
-def product_metrics(staged_items: DataFrame, staged_products: DataFrame) -> DataFrame:
-    """Units, demand and money per product, over items of existing orders.
+def product_orders(staged_items: DataFrame) -> DataFrame:
+    """Units and money of each product in each order, and the least and greatest buyer named there.
 
-    Orders per product are counted as rows of a first aggregation per product
-    and order, customers in a second one per product and customer. Two distinct
-    counts in one aggregation would multiply every item by three before it is
-    combined. Products meet one row per product.
+    The only exchange that items go through.
     """
     kind, price = F.lower("order_item_status"), F.col("sale_price")
     sold = kind == "complete"
-    per_order = staged_items.groupBy("product_id", "order_id").agg(
+    return staged_items.groupBy("product_id", "order_id").agg(
         count_rows().alias("units"),
         F.count_if(sold).alias("completed"),
         F.count_if(kind == "returned").alias("returned"),
         F.count_if(kind == "cancelled").alias("cancelled"),
         F.sum(F.when(sold, price)).alias("revenue"),
         F.count(F.when(sold, price)).alias("priced"),
+        F.min("user_id").alias("user_id"),
+        F.max("user_id").alias("_other_user"),
     )
-    per_product = per_order.groupBy("product_id").agg(
+
+
+def product_metrics(per_order: Stored, staged_items: DataFrame, staged_products: DataFrame) -> DataFrame:
+    """Units, demand and money per product, over items of existing orders.
+
+    ``per_order`` is the stored result of :func:`product_orders`. Its rows are
+    combined per product and buyer, then per product: orders are counted as
+    rows, customers as groups, so no distinct count multiplies a row. An order
+    has one buyer; only if some name several for a product, these orders' items
+    are read again for the others.
+    """
+    summed = ("units", "completed", "returned", "cancelled", "revenue", "priced")
+    rows = per_order.frame.select("product_id", "user_id", *summed, F.when(F.col("order_id").isNotNull(), 1).otherwise(0).alias("orders"))
+    several = per_order.frame.filter("user_id < _other_user").select("product_id", "order_id")
+    if not several.isEmpty():
+        others = staged_items.join(several, ["product_id", "order_id"], "left_semi").select("product_id", "user_id").distinct()
+        rows = rows.unionByName(others.filter("user_id is not null"), allowMissingColumns=True)
+    per_buyer = rows.groupBy("product_id", "user_id").agg(*[F.sum(c).alias(c) for c in (*summed, "orders")])
+    per_product = per_buyer.groupBy("product_id").agg(
         F.sum("units").alias("ordered_units"),
-        F.count("order_id").alias("unique_orders"),
+        F.sum("orders").alias("unique_orders"),
+        F.count("user_id").alias("unique_customers"),
         F.sum("completed").alias("completed_units"),
         F.sum("returned").alias("returned_units"),
         F.sum("cancelled").alias("cancelled_units"),
-        F.coalesce(F.sum("revenue"), F.lit(0).cast("decimal(12,2)")).alias("completed_revenue"),
+        F.coalesce(F.sum("revenue"), F.lit(0).cast("decimal(12,2)")).cast("decimal(32,2)").alias("completed_revenue"),
         F.sum("priced").alias("_priced"),
     )
-    buyers = (
-        staged_items.filter(F.col("user_id").isNotNull())
-        .select("product_id", "user_id")
-        .distinct()
-        .groupBy("product_id")
-        .agg(count_rows().alias("unique_customers"))
-    )
     completed = F.col("completed_units")
-    return (
-        staged_products.join(per_product, "product_id")
-        .join(buyers, "product_id", "left")
-        .select(
-            "product_id",
-            "product_name",
-            "product_brand",
-            "product_category",
-            "product_department",
-            "retail_price",
-            "product_cost",
-            "ordered_units",
-            "unique_orders",
-            F.coalesce("unique_customers", F.lit(0)).alias("unique_customers"),
-            "completed_units",
-            "returned_units",
-            "cancelled_units",
-            "completed_revenue",
-            (completed * F.coalesce("product_cost", F.lit(0)))
-            .cast("decimal(32,2)")
-            .alias("completed_product_cost"),
-            ratio(F.col("completed_revenue"), F.col("_priced")).alias("average_selling_price"),
-        )
+    return staged_products.join(per_product, "product_id").select(
+        "product_id",
+        "product_name",
+        "product_brand",
+        "product_category",
+        "product_department",
+        "retail_price",
+        "product_cost",
+        "ordered_units",
+        "unique_orders",
+        "unique_customers",
+        "completed_units",
+        "returned_units",
+        "cancelled_units",
+        "completed_revenue",
+        (completed * F.coalesce("product_cost", F.lit(0))).cast("decimal(32,2)").alias("completed_product_cost"),
+        ratio(F.col("completed_revenue"), F.col("_priced")).alias("average_selling_price"),
     )
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from storefront_analytics.functions.columns import count_rows, days_between, exact_mean, seconds_between
+from storefront_analytics.sources.scratch import store
 
 # Event types, deepest funnel stage first.
 FUNNEL_STAGES = ("purchase", "cart", "product", "department", "home")
@@ -49,29 +50,50 @@ def _flag(condition: Column) -> Column:
     return F.when(condition, 1).otherwise(0)
 
 
+def _ordered_codes(events: DataFrame, columns: tuple[str, ...]) -> DataFrame:
+    """The distinct texts of some columns, numbered in order: column, text, code.
+
+    One scan of these columns; the texts are combined before they are moved,
+    and sorted by range, so a column of many different texts does not end up in
+    one task either.
+    """
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("text")) for c in columns]))
+    texts = events.select(pairs.alias("p")).select("p.*").filter(F.col("text").isNotNull()).distinct()
+    ordered = texts.repartitionByRange("column", "text").sortWithinPartitions("column", "text")
+    # Stored, since a range partitioning may differ between two evaluations.
+    return store(ordered.withColumn("code", F.monotonically_increasing_id()), "text-codes").frame
+
+
 def int_session_funnel(staged_events: DataFrame) -> DataFrame:
     """One row per web session with the stages it reached.
 
-    One grouping by session. Largest text alone would need a sorting
-    aggregation, so the few sources and browsers of a session are gathered as
-    sets, by hash, like its unexpected event types.
+    One grouping by session over numbers only. Largest texts would need a
+    sorting aggregation, so sources and browsers take part as codes in the
+    order of the texts, which are looked up again afterwards. Event types that
+    are not expected are counted apart: only such events move for that.
     """
+    events = staged_events.filter(F.col("session_id").isNotNull())
     kind = F.lower("event_type")
-    unexpected = F.when(~F.col("event_type").isin(*EVENT_TYPES), F.col("event_type"))
-    sessions = (
-        staged_events.filter(F.col("session_id").isNotNull())
-        .groupBy("session_id")
-        .agg(
-            F.max("user_id").alias("user_id"),
-            F.array_max(F.collect_set("traffic_source")).alias("traffic_source"),
-            F.array_max(F.collect_set("browser")).alias("browser"),
-            F.min("event_created_at").alias("session_started_at"),
-            F.max("event_created_at").alias("session_ended_at"),
-            count_rows().alias("event_count"),
-            F.size(F.collect_set(unexpected)).cast("bigint").alias("other_types"),
-            *[F.max(_flag(kind == t)).alias(f"reached_{t}") for t in EVENT_TYPES],
-        )
+    texts = ("traffic_source", "browser")
+    codes = _ordered_codes(events, texts)
+    coded = events
+    for column in texts:
+        own = codes.filter(F.col("column") == column)
+        coded = coded.join(own.select(F.col("text").alias(column), F.col("code").alias(f"{column}_code")), column, "left")
+    grouped = coded.groupBy("session_id").agg(
+        F.max("user_id").alias("user_id"),
+        *[F.max(f"{column}_code").alias(f"{column}_code") for column in texts],
+        F.min("event_created_at").alias("session_started_at"),
+        F.max("event_created_at").alias("session_ended_at"),
+        count_rows().alias("event_count"),
+        *[F.max(_flag(kind == t)).alias(f"reached_{t}") for t in EVENT_TYPES],
     )
+    unexpected = events.filter(F.col("event_type").isNotNull() & ~F.col("event_type").isin(*EVENT_TYPES))
+    others = unexpected.select("session_id", "event_type").distinct().groupBy("session_id").agg(count_rows().alias("others"))
+    sessions = grouped.join(others, "session_id", "left").withColumn("other_types", F.coalesce("others", F.lit(0)))
+    for column in texts:
+        own = codes.filter(F.col("column") == column)
+        sessions = sessions.join(own.select(F.col("code").alias(f"{column}_code"), F.col("text").alias(column)), f"{column}_code", "left")
     reached = {t: F.col(f"reached_{t}") for t in EVENT_TYPES}
     stage = None
     for t in FUNNEL_STAGES:

@@ -175,9 +175,9 @@ class Storefront:
 
     @cached_property
     def mart_product_performance(self) -> DataFrame:
-        return gtm.mart_product_performance(
-            store(gtm.product_metrics(self.stg_order_items, self.stg_products), "products")
-        )
+        per_order = store(gtm.product_orders(self.stg_order_items), "product-orders")
+        products = gtm.product_metrics(per_order, self.stg_order_items, self.stg_products)
+        return gtm.mart_product_performance(store(products, "products"))
 
     # -- monitoring and detector -----------------------------------------------
 

@@ -8,6 +8,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from storefront_analytics.plans import customers, gtm
+from storefront_analytics.queries import open_storefront
 from storefront_analytics.sources.scratch import store
 from tests.conftest import at, rows
 
@@ -149,6 +150,26 @@ def test_products(shop):
     assert two["estimated_gross_margin"] is None and two["product_return_rate"] is None
 
 
+def test_products_of_orders_with_several_buyers(shop):
+    def item(n, order, user, product=1):
+        return {"id": n, "order_id": order, "user_id": user, "product_id": product, "status": "Complete", "sale_price": 2.0}
+
+    items = [item(1, 1, 1), item(2, 1, 2), item(3, 1, 3), item(4, 2, 2), item(5, 3, None), item(6, 2, 2, 2), item(7, 1, None, 2)]
+    store_ = shop(orders=[{"order_id": i} for i in (1, 2, 3)], order_items=items, products=[{"id": 1}, {"id": 2}])
+    one, two = rows(store_.mart_product_performance, "product_id")
+    assert (one["ordered_units"], one["unique_orders"], one["unique_customers"]) == (5, 3, 3)
+    assert (two["ordered_units"], two["unique_orders"], two["unique_customers"]) == (2, 2, 1)
+
+
+def test_items_are_exchanged_once_for_products(spark):
+    store_ = open_storefront(spark, "/root/testdata/sf0.001")
+    per_order = gtm.product_orders(store_.stg_order_items)
+    plan = per_order._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan and plan.count("Exchange hashpartitioning(product_id") == 1
+    metrics = gtm.product_metrics(store(per_order, "orders"), store_.stg_order_items, store_.stg_products)
+    assert "Expand" not in metrics._jdf.queryExecution().executedPlan().toString()
+
+
 def test_daily_kpis_keep_both_sides(shop):
     store_ = shop(
         users=[{"id": 1, "traffic_source": "email"}],

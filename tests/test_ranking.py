@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from storefront_analytics.operators import ranking
 from storefront_analytics.operators.ranking import (
     with_dense_ranks,
     with_positions,
@@ -72,7 +73,9 @@ def test_ranks_equal_the_window(values, function):
 
 def test_distributed_ways_need_no_single_task_over_the_rows(values):
     frame = values(300).frame
-    plan = with_tiles(frame, "id", {"t": F.col("a")}, 5)._jdf.queryExecution().executedPlan().toString()
+    tiles = with_tiles(frame, "id", {"t": F.col("a")}, 5)._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in tiles
+    plan = with_positions(frame, [F.col("a"), F.col("id")])._jdf.queryExecution().executedPlan().toString()
     # The only single-partition windows run over the row counts of the partitions.
     windows = re.findall(r"Window \[(.*?)windowspecdefinition", plan)
     assert windows and all("sum(_rows" in w for w in windows)
@@ -80,3 +83,29 @@ def test_distributed_ways_need_no_single_task_over_the_rows(values):
 
 def test_stored_rows(spark):
     assert Stored(spark.range(3).toDF("x")).rows == 3
+
+
+@pytest.mark.parametrize("few", [50_000, 10])
+def test_tiles_that_end_among_equal_values(spark, monkeypatch, few):
+    # Half of the rows share one value, and others are missing; the ends of several tiles lie among them.
+    monkeypatch.setattr(ranking, "_FEW_KEYS", few)
+    rng = random.Random(3)
+    data = [(i, rng.choice([7, 7, None, rng.randint(0, 20)])) for i in rng.sample(range(10_000), 3000)]
+    frame = store(spark.createDataFrame(data, "id bigint, a bigint").repartition(5), "equal").frame
+    got = with_tiles(frame, "id", {"t": F.col("a"), "one": F.lit(1)}, 5)
+    want = frame.select("*", F.ntile(5).over(Window.orderBy("a", "id")).alias("t"), F.ntile(5).over(Window.orderBy("id")).alias("one"))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_rows_are_not_moved_for_tiles(values):
+    frame = values(900).frame
+    plan = with_tiles(frame, "id", {"t": F.col("a"), "u": -F.col("a")}, 5)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+
+
+def test_missed_brackets_take_all_values(values, monkeypatch):
+    monkeypatch.setattr(ranking, "_ACCURACY", 2)
+    frame = values(700).frame
+    got = with_tiles(frame, "id", {"t": F.col("a")}, 5)
+    want = frame.withColumn("t", F.ntile(5).over(Window.orderBy("a", "id")))
+    assert sorted((r.id, r.t) for r in got.collect()) == sorted((r.id, r.t) for r in want.collect())

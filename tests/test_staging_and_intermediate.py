@@ -111,3 +111,18 @@ def test_sessions(shop):
     assert buy["deepest_funnel_stage"] == "Purchase"
     assert by["odd"]["distinct_event_type_count"] == 3  # scroll, zoom, cancel
     assert by["odd"]["event_count"] == 4 and by["odd"]["deepest_funnel_stage"] == "Other"
+
+
+def test_sessions_are_grouped_by_hash_over_numbers(shop):
+    store = shop(events=[event(1, "a", "home", browser="B"), event(2, "a", "odd")])
+    plan = store.int_session_funnel._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "ObjectHashAggregate" not in plan
+    grouped = [line for line in plan.split("\n") if "event_created_at" in line and "Exchange" in line]
+    assert len(grouped) <= 1
+
+
+def test_sessions_of_missing_texts(shop):
+    store = shop(events=[event(1, "a", "home", browser=None, traffic_source=None), event(2, "b", None, browser="Ü"), event(3, "b", "Odd", browser="z")])
+    by = {r["session_id"]: r for r in rows(store.int_session_funnel)}
+    assert by["a"]["browser"] is None and by["a"]["traffic_source"] is None
+    assert by["b"]["browser"] == "Ü" and by["b"]["distinct_event_type_count"] == 1

@@ -32,7 +32,7 @@ def with_fragments(select: str) -> str:
 # Columns fitted by the detector are compared at fewer places than the usual six.
 DIGITS = {
     "intercept": 3,
-    **{c: 4 for c in ("spread", "forecast", "expected_value", "average_forecast_value", "lower_bound", "upper_bound")},
+    **{c: 4 for c in ("spread", "scale", "forecast", "expected_value", "average_forecast_value", "lower_bound", "upper_bound")},
     **{f"effect_{d}": 4 for d in range(1, 8)},
 }
 
@@ -697,6 +697,7 @@ add(
     "kpi_detector_params",
     f"""
 SELECT t.series_key, t.train_rows, t.slope, t.intercept, s.spread,
+       (SELECT sqrt(avg(metric_value * metric_value)) FROM kpi_train k WHERE k.series_key = t.series_key) AS scale,
        {", ".join(f"coalesce((SELECT effect FROM weekday_effects w WHERE w.series_key = t.series_key AND w.weekday = {d}), 0) AS effect_{d}" for d in range(1, 8))}
 FROM trend t LEFT JOIN (
   SELECT series_key, stddev_samp(residual - effect) AS spread
@@ -723,7 +724,7 @@ FROM (
         FROM kpi_score JOIN kpi_detector_params USING (series_key)
         LEFT JOIN (SELECT series_key, weekday - 1 AS weekday, effect FROM weekday_effects) w
           ON w.series_key = kpi_score.series_key AND w.weekday = dayofweek(metric_timestamp)
-        WHERE train_rows >= 14 AND spread > 1e-9))))
+        WHERE train_rows >= 14 AND spread > 1e-7 * scale))))
 """,
 )
 

@@ -125,12 +125,12 @@ relation(
 relation("int_kpi_anomaly_input", "metric_value")
 relation("kpi_train", "metric_value")
 relation("kpi_score", "metric_value")
-relation("kpi_detector_params", "slope intercept spread " + " ".join(f"effect_{d}" for d in range(1, 8)))
+relation("kpi_detector_params", "slope intercept scale spread " + " ".join(f"effect_{d}" for d in range(1, 8)))
 relation("kpi_anomaly_results", "y forecast lower_bound upper_bound percentile distance")
 # Left out for want of a year of training rows, or of any spread.
 _LEFT_OUT = """
 FROM (SELECT DISTINCT series_key FROM kpi_score) LEFT JOIN kpi_detector_params USING (series_key)
-WHERE coalesce(train_rows, 0) < 365 OR coalesce(spread, 0) <= 1e-9
+WHERE coalesce(train_rows, 0) < 365 OR coalesce(spread, 0) <= 1e-7 * coalesce(scale, 0)
 """
 query(
     "kpi_anomaly_exclusions",

@@ -56,7 +56,7 @@ def _raw(star: StarSchema) -> _WhenRead:
 PLACES = 6
 FITTED_PLACES = {
     "intercept": 3,  # at day 0, far outside the data
-    **dict.fromkeys(["spread", *[f"effect_{d}" for d in range(1, 8)]], 4),
+    **dict.fromkeys(["spread", "scale", *[f"effect_{d}" for d in range(1, 8)]], 4),
     **dict.fromkeys(["forecast", "expected_value", "average_forecast_value", "lower_bound", "upper_bound"], 4),
 }
 

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import json
 import math
+import random
 from datetime import datetime, timedelta
 
 import pytest
@@ -87,6 +88,42 @@ def test_weekday_never_trained_has_no_effect(spark):
     assert row["effect_2"] == 0.0  # Monday
 
 
+def _long_series(spark, factor=1.0):
+    rng = random.Random(5)
+    points = [("noisy", day(n), factor * (100 + 0.3 * n + 5 * (n % 7) + rng.random())) for n in range(90)]
+    points += [("flat", day(n), factor * 7.0) for n in range(90)]
+    points += [("line", day(n), factor * (3.0 * n + 11.7)) for n in range(90)]
+    points += [("gaps", day(n), None if n % 5 == 0 else factor * (n % 11)) for n in range(90)]
+    points += [("once", day(0), factor), ("never", day(1), None)]
+    return spark.createDataFrame(points, POINTS)
+
+
+def test_merged_moments_equal_one_training(spark):
+    whole = _long_series(spark)
+    halves = [whole.filter(f"metric_timestamp < '{day(31)}'"), whole.filter(f"metric_timestamp >= '{day(31)}'")]
+    stored = store(detector.kpi_moments(halves[0]), "moments").frame
+    merged = detector.merged_moments(stored, detector.kpi_moments(halves[1]))
+    got = rows(detector.params_of_moments(merged), "series_key")
+    want = rows(detector.kpi_detector_params(whole), "series_key")
+    assert [r["series_key"] for r in got] == ["flat", "gaps", "line", "never", "noisy", "once"]
+    for a, b in zip(got, want):
+        for k in b:
+            assert a[k] == b[k] if isinstance(b[k], (str, int)) or b[k] is None else a[k] == pytest.approx(b[k], abs=1e-6)
+
+
+def test_training_is_one_aggregation(spark):
+    plan = detector.kpi_detector_params(_long_series(spark).repartition(3))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("covar_pop") <= 4 and "Join" not in plan  # partial and final
+    assert plan.count("Exchange hashpartitioning(series_key") == 2  # to the moments, and seven rows per series
+
+
+@pytest.mark.parametrize("factor", [1e-12, 1.0, 1e12])
+def test_scaling_does_not_change_which_series_are_scored(spark, factor):
+    frame = _long_series(spark, factor)
+    results = detector.kpi_anomaly_results(frame.filter("metric_value is not null"), detector.kpi_detector_params(frame))
+    assert {r["series"] for r in results.select("series").distinct().collect()} == {"noisy", "gaps"}
+
+
 def _results(spark, data):
     return store(spark.createDataFrame(data, RESULTS), "results")
 

@@ -93,18 +93,8 @@ def violates(check: Check) -> Column:
 ROW_KINDS = ("not_null", "accepted_values", "accepted_range", "expression_is_true")
 
 
-def _counted(counts: DataFrame, check: Check) -> DataFrame:
-    return counts.select(
-        F.lit(check.relation).alias("relation"),
-        F.lit(check.subject).alias("subject"),
-        F.lit(check.kind).alias("check"),
-        "violations",
-    )
-
-
-def row_check_counts(frame: DataFrame, checks: Sequence[Check]) -> DataFrame:
-    """All row rules of one relation in a single pass over it."""
-    counts = frame.agg(*[F.count_if(violates(c)).alias(f"v{i}") for i, c in enumerate(checks)])
+def _listed(counts: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """One row with a column v0, v1, ... per check as a row per check."""
     rows = [
         F.struct(
             F.lit(c.relation).alias("relation"),
@@ -117,43 +107,56 @@ def row_check_counts(frame: DataFrame, checks: Sequence[Check]) -> DataFrame:
     return counts.select(F.inline(F.array(*rows)))
 
 
-def repeated(frame: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Values, or combinations of them, that occur more than once."""
-    rows = frame.select(*columns)
-    if len(columns) == 1:
-        rows = rows.filter(F.col(columns[0]).isNotNull())
-    return rows.groupBy(*columns).agg(count_rows().alias("rows")).filter(F.col("rows") > 1)
+def row_check_counts(frame: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """All row rules of one relation in a single pass over it."""
+    return _listed(frame.agg(*[F.count_if(violates(c)).alias(f"v{i}") for i, c in enumerate(checks)]), checks)
+
+
+def _keys(frame: DataFrame, keys: Sequence[tuple[int, Sequence[str]]], with_null: Sequence[int] = ()) -> DataFrame:
+    """A row per rule and row: rule, key (the columns as texts). A missing key is none, but for rules ``with_null``."""
 
+    def key(rule: int, columns: Sequence[str]) -> Column:
+        value = F.struct(F.lit(rule).alias("rule"), F.array(*[F.col(c).cast("string") for c in columns]).alias("key"))
+        return value if rule in with_null else F.when(F.col(columns[0]).isNotNull(), value)
 
-def without_parent(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
-    """Child values that no parent row has, each with its number of rows.
+    found = F.array_compact(F.array(*[key(rule, columns) for rule, columns in keys]))
+    return frame.select(F.explode(found).alias("k")).select("k.rule", "k.key")
 
-    Child rows are counted per value before the join, so a value that most rows
-    share is one row in it.
+
+def key_check_counts(relations: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
+    """All rules on keys of one relation: one scan, and one exchange of its keys, combined before they move.
+
+    A rule on a key counts the keys that repeat; a rule on parents counts the
+    rows of the keys that no parent has. A key that most rows share is one row
+    per task. Parents are reduced to distinct keys before they are joined.
     """
-    values = (
-        child.filter(F.col(column).isNotNull())
-        .groupBy(F.col(column).alias("value"))
+    frame = relations[checks[0].relation]
+    together = [i for i, c in enumerate(checks) if c.kind == "unique_combination" and len(c.columns) > 1]
+    counted = (
+        _keys(frame, [(i, c.columns) for i, c in enumerate(checks)], together)
+        .groupBy("rule", "key")
         .agg(count_rows().alias("rows"))
     )
-    return values.join(parent, values["value"] == parent[parent_column], "left_anti")
+    parents = [(i, *c.parent) for i, c in enumerate(checks) if c.kind == "relationships"]
+    violations = F.when(F.col("rows") > 1, 1).otherwise(0).cast("bigint")
+    if parents:
+        known = reduce(DataFrame.unionByName, [_keys(relations[name], [(i, (column,))]) for i, name, column in parents])
+        known = known.distinct().withColumn("known", F.lit(True))
+        counted = counted.join(known, ["rule", "key"], "left")
+        orphan = F.when(F.col("known").isNull(), F.col("rows")).otherwise(0)
+        violations = F.when(F.col("rule").isin([i for i, *_ in parents]), orphan).otherwise(violations)
+    sums = counted.withColumn("violations", violations).agg(
+        *[F.coalesce(F.sum(F.when(F.col("rule") == i, F.col("violations"))), F.lit(0)).alias(f"v{i}") for i in range(len(checks))]
+    )
+    return _listed(sums, checks)
 
 
 def check_counts(relations: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
-    """One row per check: relation, subject, check, violations."""
-    parts: list[DataFrame] = []
-    by_relation: dict[str, list[Check]] = {}
+    """One row per check: relation, subject, check, violations. A relation is read once for rows, once for keys."""
+    by_row: dict[str, list[Check]] = {}
+    by_key: dict[str, list[Check]] = {}
     for c in checks:
-        if c.kind in ROW_KINDS:
-            by_relation.setdefault(c.relation, []).append(c)
-            continue
-        frame = relations[c.relation]
-        if c.kind == "relationships":
-            parent, parent_column = c.parent
-            orphans = without_parent(frame, c.columns[0], relations[parent], parent_column)
-            counts = orphans.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("violations"))
-        else:
-            counts = repeated(frame, c.columns).agg(count_rows().alias("violations"))
-        parts.append(_counted(counts, c))
-    parts += [row_check_counts(relations[name], own) for name, own in by_relation.items()]
+        (by_row if c.kind in ROW_KINDS else by_key).setdefault(c.relation, []).append(c)
+    parts = [row_check_counts(relations[name], own) for name, own in by_row.items()]
+    parts += [key_check_counts(relations, own) for own in by_key.values()]
     return reduce(DataFrame.unionByName, parts)

@@ -61,10 +61,23 @@ def store(frame: DataFrame, name: str) -> Stored:
     return Stored(spark.read.schema(frame.schema).parquet(path))
 
 
-def clear(spark: SparkSession) -> int:
-    """Delete what this application has stored, at its end: frames that read it fail from then on."""
-    paths = _stored.pop(spark.sparkContext.applicationId, [])
-    for path in paths:
+def stored_so_far(spark: SparkSession) -> int:
+    """How many tables this application has stored and not cleared."""
+    return len(_stored.get(spark.sparkContext.applicationId, []))
+
+
+def clear(spark: SparkSession, since: int = 0, last: bool = True) -> int:
+    """Delete what this application has stored after the first ``since`` tables: frames that read it fail from then on.
+
+    ``last`` false keeps the table that was stored last.
+    """
+    app = spark.sparkContext.applicationId
+    paths = _stored.get(app, [])
+    end = len(paths) if last else len(paths) - 1
+    gone = paths[since:end]
+    if app in _stored:
+        _stored[app] = paths[:since] + paths[max(end, since) :]
+    for path in gone:
         location = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
         location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(location, True)
-    return len(paths)
+    return len(gone)

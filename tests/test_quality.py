@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import pytest
 
-from storefront_analytics.operators.quality import Range, Rules, check_counts
+from storefront_analytics.operators.quality import ROW_KINDS, Range, Rules, check_counts, key_check_counts
 from storefront_analytics.plans.quality_rules import RULES, all_checks
 from storefront_analytics.plans.storefront import Storefront
 from tests.conftest import rows
@@ -67,3 +67,30 @@ def test_declared_checks():
         "unique_combination": 3,
     }
     assert all(hasattr(Storefront, name) for name in RULES)
+
+
+def test_key_rules_of_a_relation_move_it_once(spark):
+    frame = spark.range(50, numPartitions=3).selectExpr(
+        "id", "id % 7 as parent_id", "cast(id % 2 as string) as label", "id % 3 = 0 as flag", "id % 5 as other_id"
+    )
+    rules = Rules(
+        keys=["id", "label"],
+        parents={"parent_id": ("parents", "id"), "other_id": ("others", "key")},
+        unique_together=[("label", "flag"), ("id", "label")],
+    )
+    relations = {"t": frame, "parents": spark.range(0, 5), "others": spark.createDataFrame([(0,), (0,), (4,), (None,)], "key int")}
+    counts = key_check_counts(relations, [c for c in rules.checks("t") if c.kind not in ROW_KINDS])
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    moved = [line for line in plan.split("\n") if "Exchange hashpartitioning(rule" in line]
+    assert len(moved) == 2  # the relation's keys, and the parents'
+    got = {(r["subject"], r["check"]): r["violations"] for r in rows(counts)}
+    assert got == {
+        ("id", "unique"): 0,
+        ("label", "unique"): 2,
+        ("parent_id", "relationships"): 14,
+        ("other_id", "relationships"): 30,
+        ("label, flag", "unique_combination"): 4,
+        ("id, label", "unique_combination"): 0,
+    }
+    assert rows(key_check_counts({**relations, "t": frame.filter("id < 0")}, [c for c in rules.checks("t") if c.kind == "unique"]))[0]["violations"] == 0
+

@@ -60,6 +60,13 @@ def test_stored_tables_can_be_cleared(spark, shared_dir):
     try:
         scratch.store(spark.range(3), "gone")
         assert scratch.clear(spark) == 1 and scratch.clear(spark) == 0
+        first = scratch.store(spark.range(2), "kept").frame
+        mark = scratch.stored_so_far(spark)
+        scratch.store(spark.range(3), "between")
+        final = scratch.store(spark.range(4), "final").frame
+        assert scratch.clear(spark, mark, last=False) == 1
+        assert first.count() == 2 and final.count() == 4
+        assert scratch.clear(spark) == 2
     finally:
         scratch._stored = kept
     assert {p.name for p in (shared_dir / "storefront").iterdir()} == before

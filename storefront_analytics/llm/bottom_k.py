@@ -16,15 +16,15 @@ sketches, are exact, so that two unlike shingles with one hash are likelier to
 change a result.
 
 Nothing is quadratic in a group of copies: documents with the same set are one
-from the start; of a list every document first meets one head, so a large group
-becomes one component, and only documents of different components meet after
-that. Lists that are long even then are dealt out by the next value that two
+from the start; of each list every document first meets the first one, so a
+large group becomes one component. After that only values that several
+components hold count, and only documents of different components meet. Lists that are long even then are dealt out by the next value that two
 documents share, whenever that writes fewer rows than pairs.
 
 Defined cases: null or empty texts and texts without words have no shingles and
 no links; rows without ``doc_id`` take no part; rows repeated with one
-``doc_id`` are one document, with different texts the one with the fewest
-shingles, then the smaller digest, counts; further columns are ignored.
+``doc_id`` are one document, with different texts the one with the smallest
+xxhash64 counts; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -36,7 +36,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..sources.scratch import store
-from .common import map_rows
+from .common import map_rows, one_row_each
 from .components import components
 
 WORDS = 5
@@ -44,6 +44,8 @@ WORDS = 5
 FIRST = (32, 3)
 SECOND = (128, 48)
 PERCENT = 75
+#: Percent of a sketch that documents share which meet first.
+LIKELY = 50
 #: Pairs of a list that all meet.
 SHORT = 4096
 REMEMBERED_WORDS = 100_000
@@ -82,7 +84,7 @@ def _sketches(rows):
     known = _WordHashes()
     for row in rows:
         values = shingle_set(row["text"], known)
-        yield row["doc_id"], len(values), *_digests(values), values[: FIRST[0]].tolist()
+        yield row["doc_id"], row["text_hash"], len(values), *_digests(values), values[: FIRST[0]].tolist()
 
 
 def _digests(values: np.ndarray) -> tuple[int, int]:
@@ -131,8 +133,11 @@ def _needed(size="n_shingles"):
 
 
 def _sharing(values: DataFrame, keep: int, share: int) -> DataFrame:
-    """doc_id of the documents that share enough of their kept values (doc_id, n_shingles, value) with others."""
-    shared = values.groupBy("value").agg(F.count(F.lit(1)).alias("holders")).filter("holders > 1")
+    """doc_id of the documents that share enough of their kept values with other parts.
+
+    ``values`` has doc_id, n_shingles, value and part; only documents of different parts can still be linked.
+    """
+    shared = values.groupBy("value").agg(F.min("part").alias("p"), F.max("part").alias("q")).filter("p <> q")
     shared = store(shared.select("value"), "near-shared").frame
     # Up to this size a partner's sketch is its set, too.
     whole = F.col("n_shingles") * 100 <= keep * PERCENT
@@ -141,6 +146,20 @@ def _sharing(values: DataFrame, keep: int, share: int) -> DataFrame:
     return store(held.filter(F.col("held") >= least).select("doc_id"), "near-sharing").frame
 
 
+def _first_meetings(kept: DataFrame) -> DataFrame:
+    """Pairs (a, b) of documents and first ones of their lists that their sketches say are alike.
+
+    These only make components early; what they miss is found later.
+    """
+    heads = kept.groupBy("value").agg(F.min(F.struct("doc_id", "n_shingles")).alias("h"), F.count(F.lit(1)).alias("holders"))
+    heads = heads.filter("holders > 1").select("value", F.col("h.doc_id").alias("a"), F.col("h.n_shingles").alias("n_a"))
+    common = kept.join(store(heads, "near-heads").frame, "value").filter("a <> doc_id").groupBy("a", "n_a", "doc_id", "n_shingles")
+    common = common.agg(F.count(F.lit(1)).alias("common"))
+    sizes = F.least("n_a", "n_shingles") * 100 >= F.greatest("n_a", "n_shingles") * PERCENT
+    alike = F.col("common") * 100 >= F.least("n_a", "n_shingles", F.lit(FIRST[0])) * LIKELY
+    return common.filter(sizes & alike).select("a", F.col("doc_id").alias("b"))
+
+
 def _fit(a: str, b: str):
     """Whether sizes, and the most that two documents of a list can share, allow a link."""
     sizes = F.least(f"n_{a}", f"n_{b}") * 100 >= F.greatest(f"n_{a}", f"n_{b}") * PERCENT
@@ -152,7 +171,7 @@ KEY = ["key_a", "key_b"]
 
 
 def _weighted(values: DataFrame) -> DataFrame:
-    """Each document's values as groups with the same holders, rarest first.
+    """Each document's values that other parts hold, too, as groups with the same holders, rarest first.
 
     doc_id, n (its shingles), key_a and key_b (the group), weight (values of the group), place, left (weight of
     this and all later groups).
@@ -161,8 +180,10 @@ def _weighted(values: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("holders"),
         F.bit_xor(F.xxhash64("doc_id")).alias("key_a"),
         F.bit_xor(F.xxhash64(F.lit(1), "doc_id")).alias("key_b"),
+        F.min("part").alias("p"),
+        F.max("part").alias("q"),
     )
-    groups = store(groups.filter("holders > 1"), "near-groups").frame
+    groups = store(groups.filter("p <> q").drop("p", "q"), "near-groups").frame
     held = values.join(groups, "value").groupBy("doc_id", "n_shingles", "holders", *KEY).agg(F.count(F.lit(1)).alias("weight"))
     by_doc = W.partitionBy("doc_id")
     ordered = by_doc.orderBy("holders", *KEY)
@@ -172,11 +193,15 @@ def _weighted(values: DataFrame) -> DataFrame:
     return store(held, "near-weighted").frame
 
 
-def _with_parts(lists: DataFrame, links: DataFrame) -> DataFrame:
-    """Lists whose documents are in several components, with the component of each."""
+def _with_part(frame: DataFrame, parts: DataFrame) -> DataFrame:
+    """With the component of each document as ``part``."""
     part = F.coalesce("component_id", "doc_id").alias("part")
-    placed = lists.join(components(links), "doc_id", "left").select(*lists.columns, part)
-    placed = store(placed, "near-placed").frame
+    return frame.join(parts, "doc_id", "left").select(*[c for c in frame.columns if c != "part"], part)
+
+
+def _mixed_lists(lists: DataFrame, parts: DataFrame) -> DataFrame:
+    """Lists whose documents are in several components."""
+    placed = store(_with_part(lists, parts), "near-placed").frame
     mixed = placed.groupBy(*KEY).agg(F.min("part").alias("p"), F.max("part").alias("q")).filter("p <> q")
     return store(placed.join(store(mixed.select(*KEY), "near-mixed").frame, KEY, "left_semi"), "near-open").frame
 
@@ -238,21 +263,33 @@ def _crossing(lists: DataFrame) -> DataFrame:
 
 
 def _heads(lists: DataFrame) -> DataFrame:
-    """Each document with the first one of its list, where a link is possible; key, a, b, docs (of the list)."""
-    first = F.min(F.struct("doc_id", "n", "most")).alias("h")
-    heads = lists.groupBy(*KEY).agg(first, F.count(F.lit(1)).alias("docs"))
-    heads = heads.select(*KEY, "docs", F.col("h.doc_id").alias("a"), F.col("h.n").alias("n_a"), F.col("h.most").alias("most_a"))
+    """Each document with the first one of its list, if that is in another component and a link is possible."""
+    heads = lists.groupBy(*KEY).agg(F.min(F.struct("doc_id", "n", "most", "part")).alias("h"))
+    heads = heads.select(
+        *KEY,
+        F.col("h.doc_id").alias("a"),
+        F.col("h.n").alias("n_a"),
+        F.col("h.most").alias("most_a"),
+        F.col("h.part").alias("p"),
+    )
     own = lists.withColumnsRenamed({"doc_id": "b", "n": "n_b", "most": "most_b"})
-    return own.join(heads, KEY).filter("a <> b").filter(_fit("a", "b"))
+    return own.join(heads, KEY).filter("p <> part").filter(_fit("a", "b")).select("a", "b").distinct()
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept."""
-    docs = docs.select("doc_id", "text").filter("doc_id is not null")
+    return _near_duplicates(docs).drop("text_hash")
+
+
+def _near_duplicates(docs: DataFrame) -> DataFrame:
+    docs = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).filter("doc_id is not null")
     sketched = map_rows(
-        docs, _sketches, "doc_id long, n_shingles long, digest_a long, digest_b long, sketch array<long>"
+        docs,
+        _sketches,
+        "doc_id long, text_hash long, n_shingles long, digest_a long, digest_b long, sketch array<long>",
     )
-    one = sketched.groupBy("doc_id").agg(F.min(F.struct("n_shingles", "digest_a", "digest_b", "sketch")).alias("s"))
+    columns = F.struct("text_hash", "n_shingles", "digest_a", "digest_b", "sketch")
+    one = sketched.groupBy("doc_id").agg(F.min(columns).alias("s"))
     shapes = store(one.select("doc_id", "s.*"), "near-shapes").frame
 
     key = ["n_shingles", "digest_a", "digest_b"]
@@ -265,27 +302,26 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         "near-firsts",
     ).frame
 
-    kept = firsts.select("doc_id", "n_shingles", F.explode("sketch").alias("value"))
+    kept = firsts.select("doc_id", "n_shingles", F.explode("sketch").alias("value"), F.col("doc_id").alias("part"))
     sharing = _sharing(kept, *FIRST)
     wanted = firsts.join(sharing, "doc_id", "left_semi").select("doc_id", "digest_a", "digest_b")
-    texts = docs.join(wanted, "doc_id").dropDuplicates(["doc_id", "text"])
+    texts = docs.select("doc_id", "text").join(wanted, "doc_id").dropDuplicates(["doc_id", "text"])
     sets = store(map_rows(texts, _sets, "doc_id long, n_shingles long, shingles binary"), "near-sets").frame
-    sharing = _sharing(_values(sets, SECOND[0]), *SECOND)
-    weighted = _weighted(_values(sets.join(sharing, "doc_id", "left_semi")))
+
+    # Documents meet first ones whose sketches are like theirs. After that, only links between components matter:
+    # documents take part that share enough values with other components, by larger and larger sketches.
+    kept = kept.join(sharing, "doc_id", "left_semi")
+    links = _links(store(_first_meetings(kept), "near-first-met").frame, sets)
+    parts = components(links)
+    open_ = sets.join(_sharing(_with_part(kept, parts), *FIRST), "doc_id", "left_semi")
+    open_ = open_.join(_sharing(_with_part(_values(open_, SECOND[0]), parts), *SECOND), "doc_id", "left_semi")
+    weighted = _weighted(_with_part(_values(open_), parts))
     lists = weighted.filter(F.col("left") >= _needed("n")).select(
         *KEY, "doc_id", "n", "place", F.col("weight").alias("got"), F.col("left").alias("most")
     )
-
-    # Every document meets the head of its longest list, then those of all lists that are in several components.
-    longest = _heads(lists).groupBy("b").agg(F.max_by("a", F.struct("docs", "a")).alias("a"))
-    links = _links(store(longest.select("a", "b"), "near-longest").frame, sets)
-    mixed = _with_parts(lists, links)
-    met = _heads(mixed.withColumnRenamed("part", "q")).join(
-        mixed.select(*KEY, F.col("doc_id").alias("a"), F.col("part").alias("p")), [*KEY, "a"]
-    )
-    met = store(met.filter("p <> q").select("a", "b").distinct(), "near-met").frame
+    met = store(_heads(_mixed_lists(lists, parts)), "near-met").frame
     links = links.unionByName(_links(met, sets))
-    mixed = _with_parts(lists, links)
+    mixed = _mixed_lists(lists, components(links))
     short, certain = _dealt(mixed, weighted)
     crossing = _crossing(short)
     if certain is not None:
@@ -295,11 +331,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     parts = components(links)
 
     first = shapes.join(classes.frame, key, "left").select(
-        "doc_id", "n_shingles", F.coalesce("first_id", "doc_id").alias("first_id")
+        "doc_id", "text_hash", "n_shingles", F.coalesce("first_id", "doc_id").alias("first_id")
     )
     component = F.coalesce("component_id", "first_id")
     return first.join(parts.withColumnRenamed("doc_id", "first_id"), "first_id", "left").select(
         "doc_id",
+        "text_hash",
         "n_shingles",
         component.alias("component_id"),
         (component == F.col("doc_id")).alias("kept"),
@@ -307,6 +344,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def keep_one_each(docs: DataFrame) -> DataFrame:
-    """One document of each component, with all its columns; a repeated row stays once."""
-    kept = near_duplicates(docs).filter("kept").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    """One document of each component, with all its columns; of its rows with the text that counts, one stays."""
+    kept = _near_duplicates(docs).filter("kept").select("doc_id", "text_hash")
+    same = (docs["doc_id"] == kept["doc_id"]) & (F.xxhash64(docs["text"]) == kept["text_hash"])
+    return one_row_each(docs.join(kept, same, "left_semi"))

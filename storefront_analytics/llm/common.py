@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: ASCII white space, as the contracts define it.
 SPACE = r"[\x20\x09-\x0D]+"
@@ -23,6 +24,14 @@ def texts_of(column: pa.Array) -> Iterator[bytes]:
         yield b"" if not value.is_valid else value.as_py()
 
 
+def one_row_each(docs: DataFrame) -> DataFrame:
+    """Of the rows with one ``doc_id`` the one with the smallest hash over all columns; rows without an id go."""
+    columns = [F.col(c) for c in docs.columns]
+    hashed = [F.col(c) for c, kind in docs.dtypes if not kind.startswith("map")]
+    rows = docs.filter(F.col("doc_id").isNotNull()).groupBy("doc_id")
+    return rows.agg(F.min_by(F.struct(*columns), F.xxhash64(*hashed)).alias("row")).select("row.*")
+
+
 def map_rows(
     frame: DataFrame,
     rows: Callable[[Iterator[dict]], Iterable[tuple]],

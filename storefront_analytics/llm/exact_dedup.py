@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.scratch import store
-from .common import SPACE, map_rows
+from .common import SPACE, map_rows, one_row_each
 
 CHUNK_BYTES = 1 << 16
 #: Members of a group that meet one copy of its first text.
@@ -169,12 +169,8 @@ def exact_groups(docs: DataFrame) -> DataFrame:
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """The documents that stay, with all their columns; a repeated row stays once."""
+    """The documents that stay, with all their columns; of its rows with the text that counts, one stays."""
     kept = exact_groups(docs).filter("kept").select("doc_id", "text_sha256")
-    normal = F.regexp_replace(F.coalesce("text", F.lit("")), SPACE, " ")
-    return (
-        docs.join(kept.withColumnRenamed("text_sha256", "_sha"), "doc_id")
-        .filter(F.sha2(normal, 256) == F.col("_sha"))
-        .dropDuplicates(["doc_id"])
-        .select(*docs.columns)
-    )
+    normal = F.regexp_replace(F.coalesce(docs["text"], F.lit("")), SPACE, " ")
+    same = (docs["doc_id"] == kept["doc_id"]) & (F.sha2(normal, 256) == kept["text_sha256"])
+    return one_row_each(docs.join(kept, same, "left_semi"))

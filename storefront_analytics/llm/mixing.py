@@ -169,7 +169,21 @@ def mixed(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
 
 
 def take_mix(docs: DataFrame, mix: Mix) -> DataFrame:
-    """The documents of the mix with all their columns, each as often as it was taken."""
-    taken = mixed(docs, mix).filter("copies > 0").select("doc_id", "copies")
-    one = docs.dropDuplicates(["doc_id"]).join(taken, "doc_id")
-    return one.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*docs.columns)
+    """The documents of the mix with all their columns, each as often as it was taken.
+
+    Of rows with one ``doc_id`` the one that was counted is taken: that with the smallest source, lang and number of
+    tokens.
+    """
+    taken = mixed(docs, mix).filter("copies > 0").select("doc_id", "source", "lang", "tokens", "copies")
+    # The frame's own columns stay apart from ours, whatever they are called.
+    whole = docs.select(F.col("doc_id").alias("id"), tokens().alias("n"), F.struct(*[F.col(c) for c in docs.columns]).alias("row"))
+    same = (
+        (whole["id"] == taken["doc_id"])
+        & whole["row"]["source"].eqNullSafe(taken["source"])
+        & whole["row"]["lang"].eqNullSafe(taken["lang"])
+        & (whole["n"] == taken["tokens"])
+    )
+    found = whole.join(taken, same).groupBy("id", "copies")
+    hashed = F.xxhash64(*[F.col("row")[c] for c, kind in docs.dtypes if not kind.startswith("map")])
+    one = found.agg(F.min_by("row", hashed).alias("row"))
+    return one.select(F.explode(F.array_repeat("row", F.col("copies"))).alias("row")).select("row.*")

@@ -7,7 +7,7 @@ import pytest
 # Names that the operators use inside, too.
 SCHEMA = (
     "text string, score double, doc_id long, value string, kept boolean, lang string, source string, "
-    "n_chars long, first_id long, copy int, block_id long, n_tokens string"
+    "n_chars long, first_id long, copy int, block_id long, n_tokens string, copies int, row string, id long"
 )
 
 
@@ -17,7 +17,7 @@ def documents(spark):
 
     def build(pairs):
         rows = [
-            (text, 0.5, doc, "v", True, ["en", None, "de"][i % 3], [f"src{i % 4}", None][i % 5 == 4], 1, 7, 1, 1, "n")
+            (text, 0.5, doc, "v", True, ["en", None, "de"][i % 3], [f"src{i % 4}", None][i % 5 == 4], 1, 7, 1, 1, "n", 2, "r", 5)
             for i, (doc, text) in enumerate(pairs)
         ]
         return spark.createDataFrame(rows, SCHEMA).repartition(3)

@@ -3,6 +3,14 @@
 Every stage takes (spark, docs, sf_dir) and returns the documents it keeps with
 all their columns; the last returns their tokens. Mixing takes each document at
 most once here (one epoch), so a kept document stays one row.
+
+Defined cases: null texts count as empty. The quality stage judges every row,
+rows without ``doc_id`` too; exact dedup drops those. Of rows with one ``doc_id``
+one text counts from exact dedup on, and one of the rows that have it stays (the
+smallest by a hash over all columns), so results don't depend on the order of
+rows. Documents may have further columns under any name; they pass through. An
+empty table stays empty. What a stage has stored for itself, and what the stage
+before it returned, is deleted when the stage has been written.
 """
 
 from __future__ import annotations
@@ -16,7 +24,7 @@ from storefront_analytics.llm.exact_dedup import keep_first
 from storefront_analytics.llm.mixing import Mix, take_mix
 from storefront_analytics.llm.quality import keep_good
 from storefront_analytics.llm.queries import TOKENIZER
-from storefront_analytics.sources.scratch import store
+from storefront_analytics.sources.scratch import clear, store, stored_so_far
 
 MIX = Mix(epochs=1, share=0.9)
 
@@ -60,6 +68,8 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
+    before = stored_so_far(spark)
     for name, stage in STAGES:
         docs = store(stage(spark, docs, sf_dir), f"pipeline-{name}").frame
+        clear(spark, before, last=False)
     return docs

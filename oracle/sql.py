@@ -299,6 +299,12 @@ FROM history h LEFT JOIN (SELECT * FROM ({_JUDGED}) WHERE reason IS NULL) j
 """,
 )
 ORACLE_SQL["review_write_back"] = ORACLE_SQL["apply_reviews"]
+# An older history, which had no review columns.
+query(
+    "history_migration",
+    "SELECT * REPLACE (CAST(NULL AS VARCHAR) AS reviewed_by, CAST(NULL AS TIMESTAMP) AS reviewed_at, "
+    "CAST(NULL AS VARCHAR) AS review_notes) FROM history",
+)
 
 # -- supporting data ----------------------------------------------------------------------------
 

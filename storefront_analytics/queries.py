@@ -235,6 +235,9 @@ def _all_queries() -> dict[str, Query]:
         "review_queue_by_status": _over(lambda s: reviews.review_queue(s.history, "PENDING_REVIEW")),
         "apply_reviews": _over(lambda s: reviews.apply_reviews(s.history, s.judged_decisions, RUN_AT)),
         "review_write_back": _review_write_back,
+        "history_migration": _over(
+            lambda s: summaries.with_review_columns(s.history.drop("reviewed_by", "reviewed_at", "review_notes"))
+        ),
         "review_conflicts": _over(lambda s: reviews.review_conflicts(s.judged_decisions)),
         "approved_summaries": _over(lambda s: s.approved_executive_summaries),
         "explore_kpis": _over(_chosen_kpis),

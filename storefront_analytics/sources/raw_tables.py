@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -94,17 +94,18 @@ def extract_snapshot(
 ) -> DataFrame:
     """Write every table up to the cut-off and a manifest beside them.
 
-    The files are read back for the manifest's counts: a Parquet count only
-    touches footers, so no second pass over the source is needed.
+    Rows are counted as they are written, so nothing is scanned a second time.
     """
     spark = next(iter(tables.values())).sparkSession
+    counts = {}
     for name, frame in tables.items():
-        before_cutoff(conform(frame, name), name, cutoff).write.mode("overwrite").option(
-            "compression", "snappy"
-        ).parquet(f"{folder}/{name}")
+        seen = Observation(f"extract {name}")
+        rows = before_cutoff(conform(frame, name), name, cutoff).observe(seen, F.count(F.lit(1)).alias("rows"))
+        rows.write.mode("overwrite").option("compression", "snappy").parquet(f"{folder}/{name}")
+        counts[name] = seen.get["rows"]
     written = {name: read_raw(spark, folder, name) for name in tables}
     sizes = {name: folder_bytes(spark, f"{folder}/{name}") for name in tables}
-    manifest = manifest_rows(written, source, cutoff, extracted_at, folder, sizes)
+    manifest = manifest_rows(written, source, cutoff, extracted_at, folder, sizes, counts)
     manifest.coalesce(1).write.mode("overwrite").json(f"{folder}/{MANIFEST_FILE}")
     return spark.read.schema(manifest.schema).json(f"{folder}/{MANIFEST_FILE}")
 
@@ -123,11 +124,16 @@ def manifest_rows(
     extracted_at: datetime | None = None,
     folder: str | None = None,
     sizes: Mapping[str, int] | None = None,
+    counts: Mapping[str, int] | None = None,
 ) -> DataFrame:
-    """One row per table: row count, columns, file, bytes, source, cut-off, time."""
+    """One row per table: row count, columns, file, bytes, source, cut-off, time. Tables without a count are counted."""
     out = None
     for name, frame in tables.items():
-        row = frame.agg(F.count(F.lit(1)).alias("rows")).select(
+        if counts and name in counts:
+            counted = frame.sparkSession.range(1).select(F.lit(counts[name]).cast("bigint").alias("rows"))
+        else:
+            counted = frame.agg(F.count(F.lit(1)).alias("rows"))
+        row = counted.select(
             F.lit(name).alias("table"),
             "rows",
             F.array(*[F.lit(c) for c in frame.columns]).alias("columns"),

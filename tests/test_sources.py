@@ -64,6 +64,9 @@ def test_snapshot_load_and_reconciliation(spark, raw_table, tmp_path):
     assert by_table["orders"]["columns"] == raw_tables.raw_schema("orders").names
     assert by_table["orders"]["file_size_bytes"] > 0
 
+    for name, row in by_table.items():  # counted while writing, as the files have it
+        assert row["rows"] == spark.read.parquet(f"{folder}/{name}").count()
+
     loaded = raw_tables.load_snapshot(spark, folder, target)
     assert loaded["orders"].count() == 1
     again = raw_tables.load_snapshot(spark, folder, target)  # replaces, does not add
@@ -135,3 +138,12 @@ def test_scratch_without_a_folder():
     assert local.startswith("file:///") and scratch.shared_folder(_session("local[2]")) == local
     named = _session("yarn", **{"spark.checkpoint.dir": "hdfs://shared/"})
     assert scratch.shared_folder(named) == "hdfs://shared"
+
+
+def test_counts_of_an_extraction_need_no_second_scan(spark, raw_table, tmp_path, monkeypatch):
+    scanned = []
+    monkeypatch.setattr(raw_tables.F, "count", lambda c, real=raw_tables.F.count: scanned.append(c) or real(c))
+    tables = {"orders": raw_table("orders", [{"order_id": i, "created_at": at("2024-01-01")} for i in range(40)]).repartition(7)}
+    manifest = raw_tables.extract_snapshot(tables, f"file://{tmp_path}/s", "unit", date(2026, 1, 1))
+    assert [r["rows"] for r in manifest.collect()] == [40]
+    assert len(scanned) == 1  # the observed one

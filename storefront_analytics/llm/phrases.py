@@ -77,21 +77,19 @@ class Transducer:
         """From sorted n-grams: a column of symbol numbers per place (0: ended before) and how often each occurs."""
         n = len(counts)
         total = np.concatenate(([0], np.cumsum(counts, dtype=np.int64)))
-        changed, heads = np.zeros(n, dtype=bool), []
-        if n:
-            changed[0] = True
-        for column in columns:
-            changed[1:] |= column[1:] != column[:-1]
-            heads.append(np.flatnonzero(changed & (column > 0)))
-        # Weights of a prefix: all n-grams from its first to the next other prefix of its length.
-        spans = []
         changed = np.zeros(n, dtype=bool)
-        if n:
-            changed[0] = True
-        for column, head in zip(columns, heads, strict=True):
+        changed[:1] = True
+        # Prefixes of each length: where they begin and end, and the number of the one that a place is in.
+        heads, spans, inside = [], [], []
+        for column in columns:
             changed[1:] |= column[1:] != column[:-1]
             breaks = np.append(np.flatnonzero(changed), n)
-            spans.append(breaks[np.searchsorted(breaks, head, side="right")])
+            own = np.flatnonzero(column[breaks[:-1]])
+            heads.append(breaks[own])
+            spans.append(breaks[own + 1])
+            mark = np.zeros(n, dtype=np.int32)
+            mark[heads[-1]] = 1
+            inside.append(np.cumsum(mark, dtype=np.int32) - 1)
         parts = {k: [] for k in ("size", "label", "weight", "target")}
         states, below = 1, None  # state 0 has no arcs
         for depth in range(len(columns) - 1, -1, -1):
@@ -102,10 +100,10 @@ class Transducer:
             if below is not None:
                 owners, numbers = below
                 # The state below an arc belongs to the prefix that begins where the arc does.
-                target[np.searchsorted(head, owners, side="right") - 1] = numbers
+                target[inside[depth][owners]] = numbers
             # Arcs of one state share the prefix before them.
             if depth:
-                groups = np.searchsorted(heads[depth - 1], head, side="right")
+                groups = inside[depth - 1][head]
                 new = np.flatnonzero(np.concatenate(([True], groups[1:] != groups[:-1]))) if len(head) else np.empty(0, int)
             else:
                 new = np.zeros(min(1, len(head)), dtype=int)
@@ -368,8 +366,24 @@ def _own_symbols(symbols: list[bytes], columns: list[np.ndarray]) -> tuple[list[
     return [symbols[i] for i in np.flatnonzero(used)], [rank[c] for c in columns]
 
 
-def united(parts: list[Transducer]) -> Transducer:
-    """One transducer with the summed weights."""
+def _trimmed(columns: list[np.ndarray], counts: np.ndarray, least: int) -> list[np.ndarray]:
+    """Sorted n-grams cut off where their weight falls below ``least``; those on the first and the last line stay."""
+    n = len(counts)
+    total = np.concatenate(([0], np.cumsum(counts, dtype=np.int64)))
+    changed, alive, out = np.zeros(n, dtype=bool), np.ones(n, dtype=bool), []
+    changed[:1] = True
+    for depth, column in enumerate(columns):
+        changed[1:] |= column[1:] != column[:-1]
+        breaks = np.append(np.flatnonzero(changed), n)
+        keep = (np.diff(total[breaks]) >= least) | (depth == 0)
+        keep[:1] = keep[-1:] = True
+        alive &= np.repeat(keep, np.diff(breaks))
+        out.append(column * alive)
+    return out
+
+
+def united(parts: list[Transducer], least: int = 0) -> Transducer:
+    """One transducer with the summed weights; n-grams that can't reach ``least`` get no states."""
     symbols = sorted(set().union(*[p.symbols for p in parts]))
     ranks = {s: i for i, s in enumerate(symbols)}
     columns, counts = [[] for _ in range(DEPTH)], []
@@ -381,7 +395,8 @@ def united(parts: list[Transducer]) -> Transducer:
         counts.append(count)
     columns, counts = [np.concatenate(c) for c in columns], np.concatenate(counts)
     order = _order(columns, len(symbols).bit_length())
-    return Transducer.of_sorted(symbols, [c[order] for c in columns], counts[order])
+    columns, counts = [c[order] for c in columns], counts[order]
+    return Transducer.of_sorted(symbols, _trimmed(columns, counts, least) if least else columns, counts)
 
 
 # --- The operator.
@@ -429,7 +444,7 @@ def ngram_counts(docs: DataFrame, config: PhraseConfig) -> DataFrame:
     pieces = map_rows(docs, fragments, "range int, transducer binary")
 
     def unite(table: pa.Table) -> pa.Table:
-        whole = united([Transducer.unpacked(t.as_py()) for t in table["transducer"]])
+        whole = united([Transducer.unpacked(t.as_py()) for t in table["transducer"]], least)
         out: dict[str, list] = {"lang": [], "phrase": [], "size": [], "f": []}
         for names, weight in whole.prefixes(least):
             out["lang"].append(bytes.fromhex(names[0][1:].decode()).decode("utf-8", "replace"))

@@ -126,6 +126,9 @@ def test_transducers_round_trip_unite_and_compose():
     found = {tuple(g): n for g, n in whole.prefixes(20)}
     assert {g: n for g, n in found.items() if n >= 20} == {g: n for g, n in prefixes.items() if n >= 20 }
     assert all(prefixes[g] == n for g, n in found.items())
+    trimmed = {tuple(g): n for g, n in P.united(parts, 20).prefixes(20)}
+    assert {g: n for g, n in trimmed.items() if n >= 20} == {g: n for g, n in found.items() if n >= 20}
+    assert trimmed.items() <= found.items()
     asked = {tuple(g): n for g, n in whole.compose(parts[0])}
     own = set()
     columns, _ = parts[0].expanded()

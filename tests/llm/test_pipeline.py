@@ -51,6 +51,29 @@ def test_decisions(stages, spark):
     assert 0.7 * len(stages["near_dedup"]) < len(stages["mixing"]) < len(stages["near_dedup"])
 
 
+def test_hard_rows_pass_through_the_stages(spark, documents, hard, prose):
+    pairs = [*hard, *[(200 + i, prose(200, i)) for i in range(30)], (200, "another text of one id"), (201, prose(200, 1))]
+    docs = documents(pairs)
+    kept = docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        after = stage(spark, kept, FOLDER)
+        assert after.columns == docs.columns and after.dtypes == docs.dtypes
+        rows = sorted(map(str, after.collect()))
+        assert rows == sorted(map(str, stage(spark, kept, FOLDER).collect()))  # the same rows again
+        kept = spark.createDataFrame(after.collect(), docs.schema)
+    ids = [r.doc_id for r in kept.collect()]
+    assert len(ids) == len(set(ids)) and None not in ids
+    tokens = corpus_pipeline.STAGES[-1][1](spark, kept, FOLDER)
+    assert sorted(r.doc_id for r in tokens.collect()) == sorted(ids)
+
+
+def test_empty_table(spark, documents):
+    docs = documents([(1, "a")]).filter("doc_id < 0")
+    for _, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, FOLDER)
+    assert docs.collect() == []
+
+
 def test_one_query_each():
     assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
     assert set(entry.queries()) >= {*queries.QUERIES, "pipeline"}

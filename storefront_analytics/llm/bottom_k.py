@@ -19,7 +19,8 @@ Nothing is quadratic in a group of copies: documents with the same set are one
 from the start; of each list every document first meets the first one, so a
 large group becomes one component. After that only values that several
 components hold count, and only documents of different components meet. Lists that are long even then are dealt out by the next value that two
-documents share, whenever that writes fewer rows than pairs.
+documents share, whenever that writes fewer rows than pairs and leaves half of the pairs
+at most, so all rounds together write no more than the first lists have pairs.
 
 Defined cases: null or empty texts and texts without words have no shingles and
 no links; rows without ``doc_id`` take no part; rows repeated with one
@@ -222,8 +223,11 @@ def _dealt(lists: DataFrame, weighted: DataFrame) -> tuple[DataFrame, DataFrame]
             .join(steps, "doc_id")
             .filter((F.col("next") > F.col("place")) & (F.col("got") + F.col("left") >= _needed("n")))
         )
-        fan = more.groupBy(*KEY).agg(F.count(F.lit(1)).alias("fan"))
-        worth = long.frame.join(fan, KEY, "left").filter("coalesce(fan, 0) * 4 < pairs").select(*KEY)
+        # Two documents meet again in a list for each further value they share, so the pairs of the lists below count.
+        below = more.groupBy(*KEY, "next_a", "next_b", "part").agg(F.count(F.lit(1)).cast("double").alias("docs"))
+        below = below.groupBy(*KEY, "next_a", "next_b").agg(F.sum("docs").alias("fan"), pairs.alias("met")).groupBy(*KEY)
+        below = below.agg(F.sum("fan").alias("fan"), F.sum("met").alias("met"))
+        worth = long.frame.join(below, KEY, "left").filter("coalesce(fan * 4 + met * 2, 0) < pairs").select(*KEY)
         worth = store(worth, "near-worth")
         kept = lists if not worth.rows else lists.join(worth.frame, KEY, "left_anti")
         if not worth.rows:

@@ -290,50 +290,37 @@ def mart_customer_cohort_retention(customer_orders: DataFrame) -> DataFrame:
 
 
 def product_orders(staged_items: DataFrame) -> DataFrame:
-    """Units and money of each product in each order, and the least and greatest buyer named there.
+    """Each product with each order that names it, once.
 
-    The only exchange that items go through.
+    Pairs are nearly as many as items, so a task that combines them before they
+    move holds nothing but the two keys.
     """
-    kind, price = F.lower("order_item_status"), F.col("sale_price")
-    sold = kind == "complete"
-    return staged_items.groupBy("product_id", "order_id").agg(
-        count_rows().alias("units"),
-        F.count_if(sold).alias("completed"),
-        F.count_if(kind == "returned").alias("returned"),
-        F.count_if(kind == "cancelled").alias("cancelled"),
-        F.sum(F.when(sold, price)).alias("revenue"),
-        F.count(F.when(sold, price)).alias("priced"),
-        F.min("user_id").alias("user_id"),
-        F.max("user_id").alias("_other_user"),
-    )
+    return staged_items.select("product_id", "order_id").distinct()
 
 
 def product_metrics(per_order: Stored, staged_items: DataFrame, staged_products: DataFrame) -> DataFrame:
     """Units, demand and money per product, over items of existing orders.
 
-    ``per_order`` is the stored result of :func:`product_orders`. Its rows are
-    combined per product and buyer, then per product: orders are counted as
-    rows, customers as groups, so no distinct count multiplies a row. An order
-    has one buyer; only if some name several for a product, these orders' items
-    are read again for the others.
+    ``per_order`` is the result of :func:`product_orders`. Orders and customers
+    are counted as distinct pairs with the product, each apart from the sums: pairs
+    of a product come from all tasks, so what they are counted in is kept narrow.
     """
-    summed = ("units", "completed", "returned", "cancelled", "revenue", "priced")
-    rows = per_order.frame.select("product_id", "user_id", *summed, F.when(F.col("order_id").isNotNull(), 1).otherwise(0).alias("orders"))
-    several = per_order.frame.filter("user_id < _other_user").select("product_id", "order_id")
-    if not several.isEmpty():
-        others = staged_items.join(several, ["product_id", "order_id"], "left_semi").select("product_id", "user_id").distinct()
-        rows = rows.unionByName(others.filter("user_id is not null"), allowMissingColumns=True)
-    per_buyer = rows.groupBy("product_id", "user_id").agg(*[F.sum(c).alias(c) for c in (*summed, "orders")])
-    per_product = per_buyer.groupBy("product_id").agg(
-        F.sum("units").alias("ordered_units"),
-        F.sum("orders").alias("unique_orders"),
-        F.count("user_id").alias("unique_customers"),
-        F.sum("completed").alias("completed_units"),
-        F.sum("returned").alias("returned_units"),
-        F.sum("cancelled").alias("cancelled_units"),
-        F.coalesce(F.sum("revenue"), F.lit(0).cast("decimal(12,2)")).cast("decimal(32,2)").alias("completed_revenue"),
-        F.sum("priced").alias("_priced"),
+    kind, price = F.lower("order_item_status"), F.col("sale_price")
+    sold = kind == "complete"
+    summed = staged_items.groupBy("product_id").agg(
+        count_rows().alias("ordered_units"),
+        F.count_if(sold).alias("completed_units"),
+        F.count_if(kind == "returned").alias("returned_units"),
+        F.count_if(kind == "cancelled").alias("cancelled_units"),
+        F.coalesce(F.sum(F.when(sold, price)), F.lit(0).cast("decimal(12,2)")).cast("decimal(32,2)").alias("completed_revenue"),
+        F.count(F.when(sold, price)).alias("_priced"),
     )
+    orders = per_order.frame.groupBy("product_id").agg(F.count("order_id").alias("orders"), F.lit(0).cast("bigint").alias("buyers"))
+    buyers = staged_items.select("product_id", "user_id").distinct().groupBy("product_id")
+    buyers = buyers.agg(F.lit(0).cast("bigint").alias("orders"), F.count("user_id").alias("buyers"))
+    counted = orders.unionByName(buyers).groupBy("product_id")
+    counted = counted.agg(F.sum("orders").alias("unique_orders"), F.sum("buyers").alias("unique_customers"))
+    per_product = summed.join(counted, "product_id")
     completed = F.col("completed_units")
     return staged_products.join(per_product, "product_id").select(
         "product_id",

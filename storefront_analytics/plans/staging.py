@@ -91,7 +91,8 @@ def stg_order_items(order_items: DataFrame, orphans: DataFrame) -> DataFrame:
     """Items whose order exists.
 
     Dropping the orphans keeps the same rows as joining all orders. They are
-    few as a rule, and Spark then sends them to the items by their stored size.
+    few as a rule, and Spark then sends them to the items by their stored size,
+    so ``orphans`` should be a stored frame.
     """
     return (
         clean_order_items(order_items)

@@ -98,7 +98,7 @@ class Storefront:
 
     @cached_property
     def _orphans(self) -> DataFrame:
-        return staging.orphan_order_ids(self.raw["order_items"], self.stg_orders)
+        return store(staging.orphan_order_ids(self.raw["order_items"], self.stg_orders), "orphans").frame
 
     @cached_property
     def stg_order_items(self) -> DataFrame:
@@ -175,7 +175,7 @@ class Storefront:
 
     @cached_property
     def mart_product_performance(self) -> DataFrame:
-        per_order = store(gtm.product_orders(self.stg_order_items), "product-orders")
+        per_order = Stored(gtm.product_orders(self.stg_order_items))  # read once
         products = gtm.product_metrics(per_order, self.stg_order_items, self.stg_products)
         return gtm.mart_product_performance(store(products, "products"))
 

@@ -170,6 +170,21 @@ def test_items_are_exchanged_once_for_products(spark):
     assert "Expand" not in metrics._jdf.queryExecution().executedPlan().toString()
 
 
+def test_pairs_of_products_and_orders_hold_only_their_keys(spark):
+    # A task combines about as many pairs as it has items: sums beside them fill its memory.
+    store_ = open_storefront(spark, "/root/testdata/sf0.001")
+    assert gtm.product_orders(store_.stg_order_items).columns == ["product_id", "order_id"]
+
+
+def test_orphans_are_found_once(shop):
+    items = [{"id": n, "order_id": n, "product_id": 1, "status": "Complete", "sale_price": 1.0} for n in (1, 2, None)]
+    store_ = shop(orders=[{"order_id": 1}], order_items=items, products=[{"id": 1}])
+    plans = [f._jdf.queryExecution().optimizedPlan().toString() for f in (store_.stg_order_items, store_.stg_order_items_rejected)]
+    assert all("Aggregate" not in plan for plan in plans)  # they read the stored ids
+    assert [r["ordered_units"] for r in rows(store_.mart_product_performance)] == [1]
+    assert {r["order_id"] for r in rows(store_.stg_order_items_rejected)} == {2, None}
+
+
 def test_daily_kpis_keep_both_sides(shop):
     store_ = shop(
         users=[{"id": 1, "traffic_source": "email"}],

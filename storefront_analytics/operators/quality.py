@@ -8,6 +8,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from storefront_analytics.functions.columns import count_rows
 
@@ -112,39 +113,70 @@ def row_check_counts(frame: DataFrame, checks: Sequence[Check]) -> DataFrame:
     return _listed(frame.agg(*[F.count_if(violates(c)).alias(f"v{i}") for i, c in enumerate(checks)]), checks)
 
 
-def _keys(frame: DataFrame, keys: Sequence[tuple[int, Sequence[str]]], with_null: Sequence[int] = ()) -> DataFrame:
-    """A row per rule and row: rule, key (the columns as texts). A missing key is none, but for rules ``with_null``."""
+def _whole_numbers(check: Check, relations: Mapping[str, DataFrame]) -> bool:
+    """Whether the rule looks at one column of whole numbers, on the side of the parents, too."""
+    subjects = [(check.relation, check.columns), *([(check.parent[0], check.parent[1:])] if check.parent else [])]
+    return all(len(c) == 1 and isinstance(relations[name].schema[c[0]].dataType, IntegralType) for name, c in subjects)
+
+
+def _keys(
+    frame: DataFrame, keys: Sequence[tuple[int, Sequence[str]]], numbers: bool, with_null: Sequence[int] = (), known: bool = False
+) -> DataFrame:
+    """A row per rule and row: rule, key, known.
+
+    The key is a long for rules on ``numbers``, else the columns as texts; null where it is missing, but for
+    rules ``with_null``. ``known``: the rows are those of a parent.
+    """
 
     def key(rule: int, columns: Sequence[str]) -> Column:
-        value = F.struct(F.lit(rule).alias("rule"), F.array(*[F.col(c).cast("string") for c in columns]).alias("key"))
-        return value if rule in with_null else F.when(F.col(columns[0]).isNotNull(), value)
+        first = F.col(columns[0])
+        if numbers:
+            return first.cast("bigint")
+        texts = F.array(*[F.col(c).cast("string") for c in columns])
+        return texts if rule in with_null else F.when(first.isNotNull(), texts)
 
-    found = F.array_compact(F.array(*[key(rule, columns) for rule, columns in keys]))
-    return frame.select(F.explode(found).alias("k")).select("k.rule", "k.key")
+    if len(keys) == 1:
+        (rule, columns), = keys
+        found = frame.select(F.lit(rule).alias("rule"), key(rule, columns).alias("key"))
+    else:
+        found = frame.select(F.inline(F.array(*[F.struct(F.lit(r).alias("rule"), key(r, c).alias("key")) for r, c in keys])))
+    return found.withColumn("known", F.lit(known))
 
 
 def key_check_counts(relations: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
-    """All rules on keys of one relation: one scan, and one exchange of its keys, combined before they move.
+    """All rules on keys of one relation: a scan and an exchange of its keys that are whole numbers, and one of the others.
+
+    Whole numbers move as longs, other keys as texts, both combined before they move.
+    """
+    numbers = [c for c in checks if _whole_numbers(c, relations)]
+    others = [c for c in checks if c not in numbers]
+    parts = [_key_counts(relations, own, own is numbers) for own in (numbers, others) if own]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _key_counts(relations: Mapping[str, DataFrame], checks: Sequence[Check], numbers: bool) -> DataFrame:
+    """Violations of rules on keys of one relation that are all whole numbers or all texts.
 
     A rule on a key counts the keys that repeat; a rule on parents counts the
     rows of the keys that no parent has. A key that most rows share is one row
-    per task. Parents are reduced to distinct keys before they are joined.
+    per task. Parents' keys are grouped with the children's, so nothing is joined.
     """
     frame = relations[checks[0].relation]
     together = [i for i, c in enumerate(checks) if c.kind == "unique_combination" and len(c.columns) > 1]
-    counted = (
-        _keys(frame, [(i, c.columns) for i, c in enumerate(checks)], together)
-        .groupBy("rule", "key")
-        .agg(count_rows().alias("rows"))
-    )
     parents = [(i, *c.parent) for i, c in enumerate(checks) if c.kind == "relationships"]
-    violations = F.when(F.col("rows") > 1, 1).otherwise(0).cast("bigint")
+    keys = _keys(frame, [(i, c.columns) for i, c in enumerate(checks)], numbers, together)
+    rows, more = count_rows(), []
+    filled = F.col("key").isNotNull()  # missing keys are one group, which no rule counts
+    repeated = F.when(filled & (F.col("rows") > 1), 1).otherwise(0).cast("bigint")
+    violations = repeated
     if parents:
-        known = reduce(DataFrame.unionByName, [_keys(relations[name], [(i, (column,))]) for i, name, column in parents])
-        known = known.distinct().withColumn("known", F.lit(True))
-        counted = counted.join(known, ["rule", "key"], "left")
-        orphan = F.when(F.col("known").isNull(), F.col("rows")).otherwise(0)
-        violations = F.when(F.col("rule").isin([i for i, *_ in parents]), orphan).otherwise(violations)
+        known = [_keys(relations[name], [(i, (column,))], numbers, known=True) for i, name, column in parents]
+        keys = reduce(DataFrame.unionByName, known, keys)
+        rows = F.count_if(~F.col("known"))
+        more = [F.bool_or("known").alias("with_parent")]
+        orphans = F.when(F.col("with_parent") | ~filled, 0).otherwise(F.col("rows"))
+        violations = F.when(F.col("rule").isin([i for i, *_ in parents]), orphans).otherwise(repeated)
+    counted = keys.groupBy("rule", "key").agg(rows.alias("rows"), *more)
     sums = counted.withColumn("violations", violations).agg(
         *[F.coalesce(F.sum(F.when(F.col("rule") == i, F.col("violations"))), F.lit(0)).alias(f"v{i}") for i in range(len(checks))]
     )
@@ -152,7 +184,7 @@ def key_check_counts(relations: Mapping[str, DataFrame], checks: Sequence[Check]
 
 
 def check_counts(relations: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
-    """One row per check: relation, subject, check, violations. A relation is read once for rows, once for keys."""
+    """One row per check: relation, subject, check, violations. A relation is read once for rows, once or twice for keys."""
     by_row: dict[str, list[Check]] = {}
     by_key: dict[str, list[Check]] = {}
     for c in checks:

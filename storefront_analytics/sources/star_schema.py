@@ -136,8 +136,10 @@ class StarSchema:
             "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, date(l_shipdate), l_returnflag, "
             "l_linestatus, bigint(round(l_extendedprice * 100)))"
         )
-        item_id = f"bigint(cast(conv(left(md5({key}), 16), 16, 10) AS decimal(20)) % 9223372036854775808)"
-        items = self.table("lineitem").selectExpr(
+        # The first digit gives its lower three bits, the next 15 fit into a long: no decimals per row.
+        top = "bigint((ascii(_digest) & 15) + shiftright(ascii(_digest), 6) * 9) & 7"
+        item_id = f"bigint(conv(substr(_digest, 2, 15), 16, 10)) + shiftleft({top}, 60)"
+        items = self.table("lineitem").selectExpr("*", f"md5({key}) AS _digest").selectExpr(
             f"{item_id} AS id",
             "if(l_orderkey % 311 = 310, -l_orderkey, l_orderkey) AS order_id",  # some without an order
             "l_suppkey AS user_id",

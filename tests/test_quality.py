@@ -5,6 +5,7 @@ import pytest
 from storefront_analytics.operators.quality import ROW_KINDS, Range, Rules, check_counts, key_check_counts
 from storefront_analytics.plans.quality_rules import RULES, all_checks
 from storefront_analytics.plans.storefront import Storefront
+from storefront_analytics.queries import open_storefront
 from tests.conftest import rows
 
 T = Rules(
@@ -94,3 +95,28 @@ def test_key_rules_of_a_relation_move_it_once(spark):
     }
     assert rows(key_check_counts({**relations, "t": frame.filter("id < 0")}, [c for c in rules.checks("t") if c.kind == "unique"]))[0]["violations"] == 0
 
+
+def test_whole_numbers_move_as_longs_without_a_join(spark):
+    frame = spark.createDataFrame([(1, 1), (1, 9), (2, 9), (None, None), (None, None)], "id int, parent_id bigint")
+    rules = Rules(keys=["id"], parents={"parent_id": ("parents", "id")})
+    relations = {"t": frame, "parents": spark.createDataFrame([(1,), (1,), (None,)], "id int")}
+    counts = key_check_counts(relations, [c for c in rules.checks("t") if c.kind not in ROW_KINDS])
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "as string" not in plan
+    assert {r["check"]: r["violations"] for r in rows(counts)} == {"unique": 1, "relationships": 2}
+
+
+def test_parents_of_another_type_are_compared_as_texts(spark):
+    relations = {
+        "t": spark.createDataFrame([(1,), (2,), (None,)], "parent_id int"),
+        "parents": spark.createDataFrame([("1",), ("02",), (None,)], "id string"),
+    }
+    checks = Rules(parents={"parent_id": ("parents", "id")}).checks("t")
+    assert [r["violations"] for r in rows(key_check_counts(relations, checks))] == [1]
+
+
+def test_checks_leave_the_relations_whole(spark):
+    store_ = open_storefront(spark, "/root/testdata/sf0.001")
+    assert {r["violations"] for r in rows(store_.quality("unique_combination"))} >= {0}
+    store_.quality("unique")
+    assert "distinct_product_count" in store_.int_customer_orders.columns

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from copy import copy
 from dataclasses import dataclass, field
 from datetime import date, datetime
 from functools import cached_property
@@ -263,8 +264,12 @@ class Storefront:
         """Violations per declared check, of one kind or of all."""
         checks = quality_rules.checks_of(kind) if kind else quality_rules.all_checks()
         names = {c.relation for c in checks} | {c.parent[0] for c in checks if c.parent}
-        self.keep(*[source for source, readers in READ_BY.items() if len(names & readers) > 1])
-        return check_counts({name: getattr(self, name) for name in names}, checks)
+        read = copy(self)  # it keeps relations with the columns that rules and readers look at
+        for source, readers in READ_BY.items():
+            if len(names & readers) > 1:
+                read.__dict__[source] = getattr(read, source).drop(*UNREAD.get(source, ()))
+                read.keep(source)
+        return check_counts({name: getattr(read, name) for name in names}, checks)
 
     def keep(self, *names: str) -> None:
         """Store relations now; what is built on them afterwards reads the stored rows."""
@@ -321,6 +326,19 @@ READ_BY = {
     "mart_customer_360": {"mart_customer_360", "mart_customer_segment_summary", "mart_geographic_performance"},
 }
 
+# Columns that neither a rule nor another relation reads.
+UNREAD = {
+    "int_customer_orders": (
+        "distinct_product_count",
+        "average_item_price",
+        "shipped_at",
+        "delivered_at",
+        "returned_at",
+        "is_returned",
+        "is_cancelled",
+    )
+}
+
 # Relations that later steps read in stored form.
 STORED_AS = {"mart_daily_business_kpis": "_stored_daily_kpis", "kpi_anomaly_results": "_stored_results"}
 

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..sources.scratch import store
+from ..sources.scratch import store, store_in_buckets
 from .common import map_rows, one_row_each
 from .components import components
 
@@ -101,16 +101,20 @@ def _sets(rows):
             yield row["doc_id"], len(values), values.tobytes()
 
 
+def _each_value(kept: DataFrame, column: str) -> DataFrame:
+    """doc_id, n_shingles, value and part for every value in ``column``."""
+    return kept.select("doc_id", "n_shingles", F.explode(column).alias("value"), "part")
+
+
 def _values(sets: DataFrame, keep: int | None = None) -> DataFrame:
-    """The smallest ``keep`` values of each set, or all: doc_id, n_shingles, value."""
+    """The smallest ``keep`` values of each set, or all: doc_id, n_shingles, value, part."""
 
     def run(rows):
         for row in rows:
             values = np.frombuffer(row["shingles"], dtype=np.int64)[:keep]
-            yield row["doc_id"], row["n_shingles"], values.tolist()
+            yield row["doc_id"], row["n_shingles"], values.tolist(), row["part"]
 
-    kept = map_rows(sets, run, "doc_id long, n_shingles long, kept array<long>")
-    return kept.select("doc_id", "n_shingles", F.explode("kept").alias("value"))
+    return _each_value(map_rows(sets, run, "doc_id long, n_shingles long, kept array<long>, part long"), "kept")
 
 
 def _confirmed(rows):
@@ -123,9 +127,16 @@ def _confirmed(rows):
 
 def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Those of the pairs (a, b) that reach the threshold."""
+    return store(map_rows(_with_sets(pairs, sets), _confirmed, "a long, b long"), "near-links").frame
+
+
+def _with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs with both sets; of the sets, which stand in buckets, only those of the pairs move."""
     sets = sets.select("doc_id", "shingles")
-    pairs = pairs.join(sets.toDF("b", "set_b"), "b").join(sets.toDF("a", "set_a"), "a")
-    return store(map_rows(pairs, _confirmed, "a long, b long"), "near-links").frame
+    # One a may have many b: its set is stored apart from the buckets, so that the join can be split.
+    ahead = sets.join(pairs.select(F.col("a").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    ahead = store(ahead, "near-ahead").frame
+    return pairs.join(sets.toDF("b", "set_b"), "b").join(ahead.toDF("a", "set_a"), "a")
 
 
 def _needed(size="n_shingles"):
@@ -306,20 +317,24 @@ def _near_duplicates(docs: DataFrame) -> DataFrame:
         "near-firsts",
     ).frame
 
-    kept = firsts.select("doc_id", "n_shingles", F.explode("sketch").alias("value"), F.col("doc_id").alias("part"))
-    sharing = _sharing(kept, *FIRST)
-    wanted = firsts.join(sharing, "doc_id", "left_semi").select("doc_id", "digest_a", "digest_b")
-    texts = docs.select("doc_id", "text").join(wanted, "doc_id").dropDuplicates(["doc_id", "text"])
-    sets = store(map_rows(texts, _sets, "doc_id long, n_shingles long, shingles binary"), "near-sets").frame
+    alone = F.col("doc_id").alias("part")
+    sharing = _sharing(_each_value(firsts.select("*", alone), "sketch"), *FIRST)
+    likely = store_in_buckets(firsts.join(sharing, "doc_id", "left_semi"), "near-likely", "doc_id").frame
+    # Of each document the text that counts; everything is grouped by doc_id alone, as the buckets are.
+    texts = docs.join(likely.select("doc_id", "digest_a", "digest_b"), "doc_id").groupBy("doc_id")
+    texts = texts.agg(F.min_by("text", "text_hash").alias("text"), *[F.first(c).alias(c) for c in ("digest_a", "digest_b")])
+    sets = map_rows(texts, _sets, "doc_id long, n_shingles long, shingles binary")
+    sets = store_in_buckets(sets, "near-sets", "doc_id").frame
 
     # Documents meet first ones whose sketches are like theirs. After that, only links between components matter:
     # documents take part that share enough values with other components, by larger and larger sketches.
-    kept = kept.join(sharing, "doc_id", "left_semi")
-    links = _links(store(_first_meetings(kept), "near-first-met").frame, sets)
+    met = _first_meetings(_each_value(likely.select("*", alone), "sketch").drop("part"))
+    links = _links(store(met, "near-first-met").frame, sets)
     parts = components(links)
-    open_ = sets.join(_sharing(_with_part(kept, parts), *FIRST), "doc_id", "left_semi")
-    open_ = open_.join(_sharing(_with_part(_values(open_, SECOND[0]), parts), *SECOND), "doc_id", "left_semi")
-    weighted = _weighted(_with_part(_values(open_), parts))
+    open_ = sets.join(_sharing(_each_value(_with_part(likely, parts), "sketch"), *FIRST), "doc_id", "left_semi")
+    open_ = _with_part(open_, parts)
+    open_ = open_.join(_sharing(_values(open_, SECOND[0]), *SECOND), "doc_id", "left_semi")
+    weighted = _weighted(_values(open_))
     lists = weighted.filter(F.col("left") >= _needed("n")).select(
         *KEY, "doc_id", "n", "place", F.col("weight").alias("got"), F.col("left").alias("most")
     )

@@ -17,6 +17,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 SHARED_DIR_KEY = "spark.checkpoint.dir"
+INITIAL_PARTITIONS_KEY = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 _local_dirs: dict[str, str] = {}
 _stored: dict[str, list[str]] = {}
 
@@ -61,6 +62,23 @@ def store(frame: DataFrame, name: str) -> Stored:
     return Stored(spark.read.schema(frame.schema).parquet(path))
 
 
+def store_in_buckets(frame: DataFrame, name: str, column: str) -> Stored:
+    """As ``store``, in buckets of ``column``: joins on it move the other side only.
+
+    As many buckets as a shuffle has partitions, so a frame that is shuffled by ``column`` fills each from one task.
+    Buckets need a table; its name is dropped at once, what was read by it keeps them.
+    """
+    spark = frame.sparkSession
+    path = new_folder(spark, name)
+    _stored.setdefault(spark.sparkContext.applicationId, []).append(path)
+    buckets = spark.conf.get(INITIAL_PARTITIONS_KEY, None) or spark.conf.get("spark.sql.shuffle.partitions")
+    table = f"storefront_{uuid.uuid4().hex}"
+    frame.write.bucketBy(int(buckets), column).saveAsTable(table, format="parquet", path=path)
+    found = spark.table(table)
+    spark.sql(f"DROP TABLE {table}")
+    return Stored(found)
+
+
 def stored_so_far(spark: SparkSession) -> int:
     """How many tables this application has stored and not cleared."""
     return len(_stored.get(spark.sparkContext.applicationId, []))

@@ -9,6 +9,7 @@ from hypothesis import strategies as st
 
 from storefront_analytics.llm import bottom_k as B
 from storefront_analytics.llm.components import components
+from storefront_analytics.sources.scratch import store_in_buckets
 
 
 def _set(text):
@@ -165,6 +166,31 @@ def test_second_listing_of_sets_that_its_sketch_holds(documents, prose):
     assert _got(documents(pairs)) == expected
 
 
+def test_sets_don_t_move_for_pairs(spark, documents, prose, monkeypatch):
+    stored = {}
+
+    def keep(frame, name, column):
+        stored[name] = store_in_buckets(frame, name, column)
+        return stored[name]
+
+    monkeypatch.setattr(B, "store_in_buckets", keep)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rng = random.Random(3)
+        base = prose(120, 1)
+        # Of one doc_id twice the same set by different texts.
+        pairs = [(i, _edited(base, rng, 4)) for i in range(20)] + [(30, base), (30, base.upper())]
+        assert _got(documents(pairs)) == _expected(pairs[:-1])
+        sets = stored["near-sets"].frame
+        assert sets.filter("doc_id = 30").count() == 1
+        met = spark.createDataFrame([(0, 1), (0, 2)], "a long, b long")
+        plan = B._with_sets(met, sets)._jdf.queryExecution().executedPlan().toString()
+        assert "Bucketed: true" in plan
+        assert spark.catalog.listTables() == []
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_empty_tables(documents):
     assert _got(documents([(1, "a")]).filter("doc_id < 0")) == []
     assert _got(documents([(1, None), (2, ""), (3, " ")])) == [(1, 0, 1, True), (2, 0, 2, True), (3, 0, 3, True)]

@@ -13,7 +13,10 @@ the one of the counts. Arithmetic is exact (integers of any size).
 
 Bounds: a shard and a range are of fixed size, so ranges grow in number with
 the documents; the driver sees at most ``samples`` n-grams, of which it takes
-the bounds of the ranges. A frequent word or phrase is one arc per shard, and
+the bounds of the ranges. A shard is cut into ``most_pieces`` at most: when there
+are more ranges, it is dealt to wide ones first, whose pieces are united in
+bundles of a shard's size and dealt again, so pieces grow with the documents and
+not with their square. A frequent word or phrase is one arc per shard, and
 if its continuations fill several ranges, each holds a part of its weight and
 the parts are summed.
 
@@ -29,9 +32,11 @@ import zlib
 from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -44,7 +49,11 @@ LONGEST = 5
 UNKNOWN_LANG = "und"
 #: Bytes of a text that are split into words at a time.
 SLICE_BYTES = 1 << 20
+#: Sorted n-grams that become states at a time.
+BLOCK_PLACES = 1 << 16
 _BORDERS = bytes.maketrans(b".,;:!?\x0b\x0c\x0d\t", b"\n" * 9 + b" ")
+#: As ``_BORDERS``, and ASCII letters small.
+_PLAIN = bytes(range(256)).lower().translate(_BORDERS)
 DEPTH = LONGEST + 1
 
 
@@ -57,16 +66,25 @@ class PhraseConfig:
     shard_words: int = 1_000_000
     range_places: int = 500_000
     samples: int = 100_000
+    #: Pieces that a shard, or a bundle of pieces, is cut into at most.
+    most_pieces: int = 1000
     #: Frequent n-grams of a lookup task.
     lookup_rows: int = 200_000
 
 
 # --- The transducer.
 class Transducer:
-    """Arcs of all states in one array each, states by their first arc; state 0 is the end, the last one the start."""
+    """Arcs of all states in one array each, states by their first arc; state 0 is the end, the last one the start.
 
-    def __init__(self, symbols: list[bytes], first, labels, weights, targets):
-        self.symbols, self.first, self.labels, self.weights, self.targets = symbols, first, labels, weights, targets
+    ``words`` are the symbols, joined by line ends.
+    """
+
+    def __init__(self, words: bytes, first, labels, weights, targets):
+        self.words, self.first, self.labels, self.weights, self.targets = words, first, labels, weights, targets
+
+    @cached_property
+    def symbols(self) -> list[bytes]:
+        return self.words.split(b"\n")
 
     @property
     def start(self) -> int:
@@ -75,73 +93,26 @@ class Transducer:
     @classmethod
     def of_sorted(cls, symbols: list[bytes], columns: list[np.ndarray], counts: np.ndarray) -> Transducer:
         """From sorted n-grams: a column of symbol numbers per place (0: ended before) and how often each occurs."""
-        n = len(counts)
-        total = np.concatenate(([0], np.cumsum(counts, dtype=np.int64)))
-        changed = np.zeros(n, dtype=bool)
-        changed[:1] = True
-        # Prefixes of each length: where they begin and end, and the number of the one that a place is in.
-        heads, spans, inside = [], [], []
-        for column in columns:
-            changed[1:] |= column[1:] != column[:-1]
-            breaks = np.append(np.flatnonzero(changed), n)
-            own = np.flatnonzero(column[breaks[:-1]])
-            heads.append(breaks[own])
-            spans.append(breaks[own + 1])
-            mark = np.zeros(n, dtype=np.int32)
-            mark[heads[-1]] = 1
-            inside.append(np.cumsum(mark, dtype=np.int32) - 1)
-        parts = {k: [] for k in ("size", "label", "weight", "target")}
-        states, below = 1, None  # state 0 has no arcs
-        for depth in range(len(columns) - 1, -1, -1):
-            head, end = heads[depth], spans[depth]
-            label = columns[depth][head].astype(np.int64)
-            weight = total[end] - total[head]
-            target = np.zeros(len(head), dtype=np.int64)
-            if below is not None:
-                owners, numbers = below
-                # The state below an arc belongs to the prefix that begins where the arc does.
-                target[inside[depth][owners]] = numbers
-            # Arcs of one state share the prefix before them.
-            if depth:
-                groups = inside[depth - 1][head]
-                new = np.flatnonzero(np.concatenate(([True], groups[1:] != groups[:-1]))) if len(head) else np.empty(0, int)
-            else:
-                new = np.zeros(min(1, len(head)), dtype=int)
-            size = np.diff(np.append(new, len(head)))
-            same, kept = _registered(new, size, label, weight, target)
-            arcs = np.repeat(new[kept] - np.cumsum(np.append(0, size[kept][:-1])), size[kept]) + np.arange(size[kept].sum()) if len(kept) else np.empty(0, int)
-            parts["size"].append(size[kept])
-            for key, values in (("label", label), ("weight", weight), ("target", target)):
-                parts[key].append(values[arcs])
-            below = (head[new], states + same)
-            states += len(kept)
-        sizes = np.concatenate([[0], *parts["size"]])
-        first = np.concatenate(([0], np.cumsum(sizes)))
-        if states == 1:
-            first = np.array([0, 0, 0])  # an empty start beside the end
-        return cls(symbols, first, *(np.concatenate(parts[k]).astype(np.int64) for k in ("label", "weight", "target")))
+        if not len(counts):
+            none = np.empty(0, dtype=np.int32)
+            return cls(b"\n".join(symbols), np.zeros(3, dtype=np.int64), none, none, none)  # an empty start beside the end
+        sizes, *arcs = next(_states(columns, counts, np.array([0, len(counts)])))
+        return cls(b"\n".join(symbols), _firsts(sizes), *arcs)
+
+    @classmethod
+    def cut(cls, symbols: list[bytes], columns: list[np.ndarray], counts: np.ndarray, edges: np.ndarray) -> Iterator[Transducer]:
+        """As ``of_sorted``, one transducer for what stands between two edges each, many of them built at once."""
+        names, rank = np.array(symbols, dtype=object), np.zeros(len(symbols), dtype=np.int32)
+        for sizes, labels, weights, targets in _states_by_block(columns, counts, edges):
+            used = np.sort(labels)
+            used = used[np.flatnonzero(np.diff(used, prepend=0))]
+            rank[used] = np.arange(1, len(used) + 1, dtype=np.int32)
+            yield cls(b"\n".join([b"", *names[used].tolist()]), _firsts(sizes), rank[labels], weights, targets)
 
     def expanded(self) -> tuple[list[np.ndarray], np.ndarray]:
         """Columns and counts of the n-grams that end somewhere, sorted."""
-        at, entries = np.array([self.start]), []
-        labels: list[np.ndarray] = []
-        weight = None
-        while len(at):
-            size = self.first[at + 1] - self.first[at]
-            arcs = np.repeat(self.first[at] - np.cumsum(np.append(0, size[:-1])), size) + np.arange(size.sum())
-            if weight is not None:
-                spent = np.bincount(np.repeat(np.arange(len(at)), size), weights=self.weights[arcs], minlength=len(at))
-                own = weight - spent.astype(np.int64)
-                ended = np.flatnonzero(own)
-                entries.append(([c[ended] for c in labels], own[ended]))
-            labels = [np.repeat(c, size) for c in labels] + [self.labels[arcs]]
-            weight, at = self.weights[arcs], self.targets[arcs]
-        columns = [
-            np.concatenate([e[0][k] if k < len(e[0]) else np.zeros(len(e[1]), dtype=np.int64) for e in entries] or [np.empty(0, np.int64)])
-            for k in range(DEPTH)
-        ]
-        counts = np.concatenate([e[1] for e in entries] or [np.empty(0, np.int64)])
-        order = np.lexsort(columns[::-1])
+        columns, counts = _ended(self.first, self.labels, self.weights, self.targets, np.array([self.start]))
+        order = _order(columns)
         return [c[order] for c in columns], counts[order]
 
     def prefixes(self, least: int) -> Iterator[tuple[list[bytes], int]]:
@@ -165,11 +136,16 @@ class Transducer:
             at = self.targets[arcs][keep]
 
     def packed(self) -> bytes:
-        words = b"\n".join(self.symbols)
-        arrays = [self.first, self.labels, self.weights, self.targets]
+        """States are numbered as arcs come to them first, so most targets are the next number: these become 0."""
+        most = np.maximum.accumulate(np.concatenate((np.zeros(1, self.targets.dtype), self.targets)))
+        new = most[1:] > most[:-1]
+        targets = np.where(new, 0, self.targets + 1)
+        arrays = [np.diff(self.first), self.labels, self.weights, targets]
         kinds = [a.astype(np.min_scalar_type(int(a.max()) if len(a) else 0)) for a in arrays]
-        head = struct.pack("<q", len(words)) + b"".join(struct.pack("<qc", len(a), a.dtype.char.encode()) for a in kinds)
-        return zstandard.compress(head + words + b"".join(a.tobytes() for a in kinds), 1)
+        head = struct.pack("<q", len(self.words)) + b"".join(struct.pack("<qc", len(a), a.dtype.char.encode()) for a in kinds)
+        # Bytes of one weight stand together.
+        planes = [(a >> a.dtype.type(8 * i)).astype(np.uint8).tobytes() for a in kinds for i in range(a.itemsize)]
+        return zstandard.compress(head + self.words + b"".join(planes), 1)
 
     @classmethod
     def unpacked(cls, data: bytes) -> Transducer:
@@ -179,13 +155,17 @@ class Transducer:
         for _ in range(4):
             shapes.append(struct.unpack_from("<qc", data, at))
             at += 9
-        symbols = data[at : at + length].split(b"\n")
+        words = data[at : at + length]
         at += length
         for size, kind in shapes:
             kind = np.dtype(kind.decode())
-            arrays.append(np.frombuffer(data, kind, size, at).astype(np.int64))
+            planes = np.frombuffer(data, np.uint8, size * kind.itemsize, at).reshape(kind.itemsize, size)
+            arrays.append(np.ascontiguousarray(planes.T).view(kind).reshape(size))
             at += size * kind.itemsize
-        return cls(symbols, *arrays)
+        sizes, labels, weights, targets = arrays
+        new = targets == 0
+        targets = np.where(new, np.cumsum(new, dtype=np.int32), targets.astype(np.int32) - 1)
+        return cls(words, np.concatenate(([0], np.cumsum(sizes, dtype=np.int64))), labels.astype(np.int32), weights, targets)
 
     def compose(self, other: Transducer) -> Iterator[tuple[list[bytes], int]]:
         """The n-grams that end in ``other`` and are prefixes here, with their weight here: both are walked as one."""
@@ -198,43 +178,129 @@ class Transducer:
             own = self.labels[low:high]
             for arc in range(other.first[asked], other.first[asked + 1]):
                 name = names[other.labels[arc]]
-                place = int(np.searchsorted(own, name)) if name > 0 else len(own)
+                place = int(np.searchsorted(own, own.dtype.type(name))) if name > 0 else len(own)
                 if place == len(own) or own[place] != name:
                     continue
                 here = [*words, other.symbols[other.labels[arc]]]
                 following = other.targets[arc]
-                inside = other.weights[other.first[following] : other.first[following + 1]].sum()
+                inside = int(other.weights[other.first[following] : other.first[following + 1]].sum())
                 if other.weights[arc] > inside:
                     yield here, int(self.weights[low + place])
                 todo.append((self.targets[low + place], following, here))
 
 
-def _registered(new, size, label, weight, target) -> tuple[np.ndarray, np.ndarray]:
-    """For each state its place among the distinct ones, and which those are."""
-    if not len(new):
-        return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
+def _firsts(sizes: np.ndarray) -> np.ndarray:
+    """Where the arcs of each state begin; state 0 has none."""
+    return np.concatenate(([0, 0], np.cumsum(sizes, dtype=np.int64)))
+
+
+def _arcs(first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The places from each of ``first`` on, ``size`` of them."""
+    ends = np.cumsum(size)
+    return np.repeat(first - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)
+
+
+def _differs(columns: list[np.ndarray]) -> np.ndarray:
+    """The first column in which a sorted n-gram is another than the one before it; 0 for the first one."""
+    differs = np.full(len(columns[0]), len(columns), dtype=np.int8)
+    for depth in range(len(columns) - 1, -1, -1):
+        differs[1:][columns[depth][1:] != columns[depth][:-1]] = depth
+    differs[:1] = 0
+    return differs
+
+
+def _states(columns: list[np.ndarray], counts: np.ndarray, edges: np.ndarray) -> Iterator[tuple]:
+    """Sizes of the states but state 0, labels, weights and targets of the arcs, for each stretch between two edges."""
+    n, pieces = len(counts), len(edges) - 1
+    total = np.concatenate(([0], np.cumsum(counts, dtype=np.int64)))
+    if total[-1] < 1 << 31:
+        total = total.astype(np.int32)
+    differs = _differs(columns)
+    differs[edges[:-1]] = 0
+    piece_of = np.repeat(np.arange(pieces, dtype=np.int32), np.diff(edges))
+    # Prefixes of each length: where they begin and end, and the number of the one that a place is in.
+    heads, spans, inside = [], [], []
+    for depth, column in enumerate(columns):
+        breaks = np.flatnonzero(differs <= depth)
+        own = np.flatnonzero(column[breaks])
+        heads.append(breaks[own])
+        spans.append(np.append(breaks, n)[own + 1])
+        mark = np.zeros(n, dtype=np.int32)
+        mark[heads[-1]] = 1
+        inside.append(np.cumsum(mark, dtype=np.int32) - 1)
+    layers, below = [], None
+    states = np.ones(pieces, dtype=np.int32)  # state 0 has no arcs
+    for depth in range(len(columns) - 1, -1, -1):
+        head = heads[depth]
+        if not len(head):
+            continue
+        label = columns[depth][head]
+        weight = total[spans[depth]] - total[head]
+        target = np.zeros(len(head), dtype=np.int32)
+        if below is not None:
+            owners, numbers = below
+            # The state below an arc belongs to the prefix that begins where the arc does.
+            target[inside[depth][owners]] = numbers
+        # Arcs of one state share the prefix before them.
+        groups = inside[depth - 1][head] if depth else piece_of[head]
+        new = np.flatnonzero(np.concatenate(([True], groups[1:] != groups[:-1])))
+        size = np.diff(np.append(new, len(head)))
+        piece = piece_of[head[new]]
+        same, kept = _registered(new, size, label, weight, target, piece)
+        size, piece = size[kept], piece[kept]
+        arcs = _arcs(new[kept], size)
+        # States are numbered in each stretch, in the order of their first use.
+        borders = np.searchsorted(piece, np.arange(pieces + 1))
+        numbers = (states - borders[:-1])[piece] + np.arange(len(kept), dtype=np.int32)
+        below = (head[new], numbers[same])
+        states = states + np.diff(borders).astype(np.int32)
+        ends = np.concatenate(([0], np.cumsum(size)))[borders]
+        layers.append((borders.tolist(), ends.tolist(), size.astype(np.int32), label[arcs], weight[arcs], target[arcs]))
+    for i in range(pieces):
+        yield (
+            np.concatenate([size[at[i] : at[i + 1]] for at, _, size, *_ in layers]),
+            *(np.concatenate([layer[k][layer[1][i] : layer[1][i + 1]] for layer in layers]) for k in (3, 4, 5)),
+        )
+
+
+def _states_by_block(columns: list[np.ndarray], counts: np.ndarray, edges: np.ndarray) -> Iterator[tuple]:
+    """As ``_states``, for as many stretches at a time as fit a processor's cache."""
+    at = 0
+    while at < len(edges) - 1:
+        to = max(at + 1, int(np.searchsorted(edges, edges[at] + BLOCK_PLACES, side="right")) - 1)
+        low, high = edges[at], edges[to]
+        yield from _states([c[low:high] for c in columns], counts[low:high], edges[at : to + 1] - low)
+        at = to
+
+
+def _registered(new, size, label, weight, target, piece) -> tuple[np.ndarray, np.ndarray]:
+    """For each state its place among the distinct ones of its stretch, and the first of each of these."""
     with np.errstate(over="ignore"):
-        place = np.arange(len(label)) - np.repeat(new, size)
-        arc = _mixed(label.astype(np.uint64) + _mixed(weight.astype(np.uint64) + _mixed(target.astype(np.uint64) + _mixed(place.astype(np.uint64)))))
-        prints = np.add.reduceat(arc, new) + size.astype(np.uint64)
+        arc = label.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        arc += weight.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
+        arc += target.astype(np.uint64) * np.uint64(0x165667B19E3779F9)
+        if len(new) < len(label):
+            arc += (np.arange(len(label)) - np.repeat(new, size)).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+            prints = np.add.reduceat(_mixed(arc), new)
+        else:
+            prints = _mixed(arc)
+        prints += piece.astype(np.uint64) * np.uint64(0x27D4EB2F165667C5)
     order = np.argsort(prints)
     ordered = prints[order]
-    firsts = np.concatenate(([True], ordered[1:] != ordered[:-1]))
-    same = np.empty(len(prints), dtype=np.int64)
-    same[order] = np.cumsum(firsts) - 1
-    kept = order[firsts]
+    firsts = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
+    like = np.empty(len(prints), dtype=np.int64)
+    like[order] = np.repeat(np.minimum.reduceat(order, firsts), np.diff(np.append(firsts, len(order))))
     # Equal prints must be equal arcs; a state for which they are not stays on its own.
-    like = kept[same]
-    alike = size[like] == size
-    rows = np.repeat(np.where(alike, new[like], new) - np.cumsum(np.append(0, size[:-1])), size) + np.arange(len(label))
-    equal = (label[rows] == label) & (weight[rows] == weight) & (target[rows] == target)
-    alike &= np.logical_and.reduceat(equal, new)
-    odd = np.flatnonzero(~alike)
-    if len(odd):
-        same = same.copy()
-        same[odd] = len(kept) + np.arange(len(odd))
-        kept = np.concatenate((kept, odd))
-    return same, kept
+    later = np.flatnonzero(like != np.arange(len(like)))
+    alike = (size[like[later]] == size[later]) & (piece[like[later]] == piece[later])
+    if len(later):
+        rows, own = _arcs(np.where(alike, new[like[later]], new[later]), size[later]), _arcs(new[later], size[later])
+        equal = (label[rows] == label[own]) & (weight[rows] == weight[own]) & (target[rows] == target[own])
+        alike &= np.logical_and.reduceat(equal, np.cumsum(size[later]) - size[later])
+        odd = later[~alike]
+        like[odd] = odd
+    number = np.cumsum(like == np.arange(len(like))) - 1
+    return number[like], np.flatnonzero(like == np.arange(len(like)))
 
 
 def _mixed(values: np.ndarray) -> np.ndarray:
@@ -242,69 +308,134 @@ def _mixed(values: np.ndarray) -> np.ndarray:
     return values ^ (values >> np.uint64(27))
 
 
-def _order(columns: list[np.ndarray], bits: int) -> np.ndarray:
+def _ended(first, labels, weights, targets, at) -> tuple[list[np.ndarray], np.ndarray]:
+    """Columns and counts of the n-grams that end somewhere on the ways from the states ``at``."""
+    ended: list[tuple[list[np.ndarray], np.ndarray]] = []
+    chosen: list[np.ndarray] = []
+    weight = None
+    while len(at):
+        begin = first[at]
+        size = first[at + 1] - begin
+        arcs = _arcs(begin, size)
+        taken = weights[arcs]
+        if weight is not None:
+            spent = np.concatenate(([0], np.cumsum(taken, dtype=np.int64)))
+            ends = np.cumsum(size)
+            own = weight - (spent[ends] - spent[ends - size])
+            here = np.flatnonzero(own)
+            ended.append(([c[here] for c in chosen], own[here]))
+        chosen = [np.repeat(c, size) for c in chosen] + [labels[arcs]]
+        weight, at = taken.astype(np.int64), targets[arcs]
+    columns = [
+        np.concatenate([c[k] if k < len(c) else np.zeros(len(own), dtype=np.int32) for c, own in ended] or [np.empty(0, np.int32)])
+        for k in range(DEPTH)
+    ]
+    return columns, np.concatenate([own for _, own in ended] or [np.empty(0, np.int64)])
+
+
+def _order(columns: list[np.ndarray]) -> np.ndarray:
     """Sorts by all columns, as many of them in one key as fit."""
-    each = max(1, 63 // max(1, bits))
-    keys = []
-    for low in range(0, len(columns), each):
-        key = np.zeros(len(columns[0]), dtype=np.int64)
-        for column in columns[low : low + each]:
-            key <<= bits
-            key |= column
-        keys.append(key)
-    return np.lexsort(keys[::-1])
+    if not len(columns[0]):
+        return np.empty(0, dtype=np.int64)
+    keys, wide = [], 64
+    for column in columns:
+        bits = int(column.max()).bit_length()
+        if wide + bits > 63:
+            keys.append((np.zeros(len(column), dtype=np.int64), 0))
+            wide = 0
+        key, wide = keys[-1][0], wide + bits
+        key <<= bits
+        key |= column
+        keys[-1] = (key, wide)
+    if len(keys) > 2:
+        return np.lexsort([key for key, _ in keys][::-1])
+    order = np.argsort(keys[0][0])
+    if len(keys) == 2:
+        # Only rows that are equal in the first key are sorted by the second.
+        ordered = keys[0][0][order]
+        same = ordered[1:] == ordered[:-1]
+        tied = np.flatnonzero(np.append(same, False) | np.append(False, same))
+        group = np.cumsum(~np.append(False, same)[tied])
+        rows, (key, bits) = order[tied], keys[1]
+        if len(tied) and int(group[-1]).bit_length() + bits <= 63:
+            order[tied] = rows[np.argsort(group << bits | key[rows])]
+        elif len(tied):
+            order[tied] = rows[np.lexsort((key[rows], group))]
+    return order
 
 
 # --- Shards.
-class _Numbers(dict):
-    """Words in the order of their first use, from 1; what stands between words has numbers of its own."""
-
-    def __init__(self):
-        super().__init__({b"": -1, b"\n": 0})
-
-    def __missing__(self, word):
-        value = self[word] = len(self) - 1
-        return value
-
-
 def _lang_symbol(lang: str | None) -> bytes:
     return b"\0" + (UNKNOWN_LANG if lang is None else lang).encode().hex().encode()
 
 
 class Shard:
-    """Words of many texts as numbers, 0 between pieces, and the lang of each."""
-
-    def __init__(self):
-        self.words, self.langs, self.parts, self.of, self.size = _Numbers(), _Numbers(), [], [], 0
-
-    def add(self, lang: bytes, numbers: np.ndarray):
-        self.parts.append(numbers)
-        self.of.append(np.full(len(numbers), self.langs[lang], dtype=np.int32))
-        self.size += len(numbers)
-
-    def tail(self) -> list[bytes]:
-        """The last words, which have to be read again with those that follow."""
-        names = [b"\n", *list(self.words)[2:]]
-        return [names[t] for t in np.concatenate(self.parts)[1 - LONGEST :]]
+    """Words of many texts, whether a border stands before each, and its lang."""
+
+    def __init__(self, parts=(), border: bool = True):
+        self.parts, self.border = list(parts), border
+        self.size = sum(len(words) for words, _, _ in self.parts)
+
+    def add(self, texts: list[tuple[bytes, bytes]]):
+        """Lang and text of each, with plain borders; words end with their text."""
+        data = np.frombuffer(b"".join(text for _, text in texts), dtype=np.uint8)
+        border = data == 10
+        inside = (data != 32) & ~border
+        begins = inside.copy()
+        begins[1:] &= ~inside[:-1]
+        begins = np.flatnonzero(begins)
+        before = np.searchsorted(begins, np.flatnonzero(border))
+        apart = np.zeros(len(begins) + 1, dtype=bool)
+        apart[before] = True
+        apart[0] |= self.border
+        self.border = bool(apart[-1])
+        if not len(begins):
+            return
+        letters = data[inside]
+        offsets = np.append(np.cumsum(inside, dtype=np.int32)[begins] - 1, len(letters)).astype(np.int32)
+        words = pa.Array.from_buffers(pa.binary(), len(begins), [None, pa.py_buffer(offsets), pa.py_buffer(letters)])
+        ends = np.searchsorted(begins, np.cumsum([len(text) for _, text in texts]))
+        langs = pa.array([lang for lang, _ in texts], pa.binary()).dictionary_encode()
+        of = langs.indices.to_numpy()[np.repeat(np.arange(len(texts)), np.diff(ends, prepend=0))]
+        self.parts.append((words, apart[:-1], pa.DictionaryArray.from_arrays(pa.array(of), langs.dictionary)))
+        self.size += len(begins)
+
+    def following(self) -> Shard:
+        """The next shard, which begins with the last words, as they have to be read again with those that follow."""
+        tail, missing = [], LONGEST - 1
+        for words, apart, of in reversed(self.parts):
+            if missing:
+                tail.insert(0, (words[-missing:], apart[-missing:], of[-missing:]))
+                missing -= len(tail[0][0])
+        return Shard(tail, self.border)
 
     def places(self, along: int = 0) -> tuple[list[bytes], list[np.ndarray]]:
         """All places but the last ``along``, with the words that follow, sorted: symbols and their numbers."""
-        words, of = np.concatenate(self.parts), np.concatenate(self.of)
-        names = [*list(self.words)[2:], *list(self.langs)[2:]]
-        symbols = sorted(set(names))
-        ranks = {s: i + 1 for i, s in enumerate(symbols)}
-        rank = np.array([0, *[ranks[s] for s in names]], dtype=np.int32)
-        del names, ranks
-        places = np.flatnonzero(words[: len(words) - along])
-        columns = [rank[len(self.words) - 2 + of[places]]]
-        words = np.concatenate((rank[words], np.zeros(LONGEST, dtype=np.int32)))
-        alive = np.ones(len(places), dtype=bool)
-        for k in range(LONGEST):
-            column = words[places + k] * alive
-            alive &= column > 0
-            columns.append(column)
-        order = _order(columns, len(symbols).bit_length())
-        return [b"", *symbols], [c[order] for c in columns]
+        langs = [of.dictionary for _, _, of in self.parts]
+        begins = np.cumsum([0, *[len(names) for names in langs]])
+        of = np.concatenate([of.indices.to_numpy() + begin for (_, _, of), begin in zip(self.parts, begins, strict=False)])
+        names = pa.concat_arrays([words for words, _, _ in self.parts] + langs).dictionary_encode()
+        symbols, rank = _ranked(names.dictionary)
+        words = rank[names.indices.to_numpy()]
+        words, langs = words[: self.size], words[self.size :]
+        piece = np.cumsum(np.concatenate([apart for _, apart, _ in self.parts]), dtype=np.int32)
+        n = self.size - along
+        words = np.concatenate((words, np.zeros(LONGEST, dtype=np.int32)))
+        piece = np.concatenate((piece, np.full(LONGEST, -1, dtype=np.int32)))
+        columns = [langs[of[:n]], *[words[k : k + n] * (piece[k : k + n] == piece[:n]) for k in range(LONGEST)]]
+        order = _order(columns)
+        return symbols, [c[order] for c in columns]
+
+
+def _ranked(names: pa.Array) -> tuple[list[bytes], np.ndarray]:
+    """The sorted symbols, after an empty one, and the number of each name among them."""
+    order = pc.sort_indices(names)
+    rank = np.empty(len(names), dtype=np.int32)
+    rank[order.to_numpy()] = np.arange(1, len(names) + 1, dtype=np.int32)
+    names = names.take(order)
+    offsets, letters = np.frombuffer(names.buffers()[1], np.int32, len(names) + 1).tolist(), names.buffers()[2]
+    letters = letters.to_pybytes() if letters else b""
+    return [b"", *[letters[a:b] for a, b in zip(offsets, offsets[1:], strict=False)]], rank
 
 
 def _slices(text: bytes) -> Iterator[bytes]:
@@ -322,21 +453,31 @@ def _slices(text: bytes) -> Iterator[bytes]:
         at = end
 
 
+def _texts(rows, bytes_each: int) -> Iterator[list[tuple[bytes, bytes]]]:
+    """Lang and text of rows or of their slices, some at a time; a border ends each text."""
+    held, size = [], 0
+    for row in rows:
+        lang = _lang_symbol(row["lang"])
+        for part in _slices(row["text"].translate(_PLAIN)):
+            held.append((lang, part))
+            size += len(part)
+            if size >= bytes_each:
+                yield held
+                held, size = [], 0
+        held.append((lang, b"\n"))
+    if held:
+        yield held
+
+
 def shards(rows, shard_words: int) -> Iterator[tuple[Shard, int]]:
     """Shards of a task's rows, each with the number of its last words that the next one counts."""
     shard = Shard()
-    for row in rows:
-        lang = _lang_symbol(row["lang"])
-        for part in _slices(row["text"].lower().translate(_BORDERS)):
-            tokens = part.replace(b"\n", b" \n ").split(b" ")
-            numbers = np.fromiter(map(shard.words.__getitem__, tokens), dtype=np.int32, count=len(tokens))
-            shard.add(lang, numbers[numbers >= 0])
-            if shard.size >= shard_words:
-                tail = shard.tail()
-                yield shard, len(tail)
-                shard = Shard()
-                shard.add(lang, np.array([shard.words[w] for w in tail], dtype=np.int32))
-        shard.add(lang, np.zeros(1, dtype=np.int32))
+    for texts in _texts(rows, min(SLICE_BYTES, 6 * shard_words)):
+        shard.add(texts)
+        if shard.size >= shard_words:
+            following = shard.following()
+            yield shard, following.size
+            shard = following
     if shard.size:
         yield shard, 0
 
@@ -347,9 +488,10 @@ def cuts(symbols: list[bytes], columns: list[np.ndarray], bounds: list[list[byte
     for bound in bounds:
         low, high = 0, len(columns[0])
         for column, symbol in zip(columns, bound, strict=False):
-            rank = bisect_left(symbols, symbol)
-            part = column[low:high]
-            if rank == len(symbols) or symbols[rank] != symbol:
+            place = bisect_left(symbols, symbol)
+            # A number of another type would have the whole column converted.
+            rank, part = column.dtype.type(place), column[low:high]
+            if place == len(symbols) or symbols[place] != symbol:
                 low += int(np.searchsorted(part, rank))
                 break
             low, high = low + int(np.searchsorted(part, rank)), low + int(np.searchsorted(part, rank, side="right"))
@@ -357,24 +499,13 @@ def cuts(symbols: list[bytes], columns: list[np.ndarray], bounds: list[list[byte
     return found
 
 
-def _own_symbols(symbols: list[bytes], columns: list[np.ndarray]) -> tuple[list[bytes], list[np.ndarray]]:
-    used = np.zeros(len(symbols), dtype=bool)
-    for column in columns:
-        used[column] = True
-    used[0] = True
-    rank = np.cumsum(used, dtype=np.int32) - 1
-    return [symbols[i] for i in np.flatnonzero(used)], [rank[c] for c in columns]
-
-
 def _trimmed(columns: list[np.ndarray], counts: np.ndarray, least: int) -> list[np.ndarray]:
     """Sorted n-grams cut off where their weight falls below ``least``; those on the first and the last line stay."""
     n = len(counts)
     total = np.concatenate(([0], np.cumsum(counts, dtype=np.int64)))
-    changed, alive, out = np.zeros(n, dtype=bool), np.ones(n, dtype=bool), []
-    changed[:1] = True
+    differs, alive, out = _differs(columns), np.ones(n, dtype=bool), []
     for depth, column in enumerate(columns):
-        changed[1:] |= column[1:] != column[:-1]
-        breaks = np.append(np.flatnonzero(changed), n)
+        breaks = np.append(np.flatnonzero(differs <= depth), n)
         keep = (np.diff(total[breaks]) >= least) | (depth == 0)
         keep[:1] = keep[-1:] = True
         alive &= np.repeat(keep, np.diff(breaks))
@@ -382,23 +513,43 @@ def _trimmed(columns: list[np.ndarray], counts: np.ndarray, least: int) -> list[
     return out
 
 
+def _together(parts: list[Transducer]) -> tuple[list[bytes], list[np.ndarray], np.ndarray]:
+    """Symbols, columns and counts of the n-grams of all parts, sorted; all parts are walked at once."""
+    letters = np.frombuffer(b"".join(p.words + b"\n" for p in parts), dtype=np.uint8)
+    ends = np.flatnonzero(letters == 10)
+    # An offset per symbol, without the line ends between them.
+    offsets = np.concatenate(([0], ends - np.arange(len(ends)))).astype(np.int32)
+    letters = letters[letters != 10]
+    names = pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(letters)]).dictionary_encode()
+    symbols, rank = _ranked(names.dictionary)
+    symbols, rank = symbols[1:], rank[names.indices.to_numpy()] - 1  # the empty symbol is one of theirs
+    lines = np.cumsum([0, *[p.words.count(b"\n") + 1 for p in parts]], dtype=np.int32)
+    states = np.cumsum([0, *[len(p.first) - 1 for p in parts]])
+    arcs = [len(p.labels) for p in parts]
+    labels = np.concatenate([p.labels for p in parts])
+    labels += np.repeat(lines[:-1], arcs)
+    targets = np.concatenate([p.targets for p in parts]).astype(np.int64) + np.repeat(states[:-1], arcs)
+    first = np.concatenate(([0], np.cumsum(np.concatenate([np.diff(p.first) for p in parts]))))
+    columns, counts = _ended(first, rank[labels], np.concatenate([p.weights for p in parts]), targets, states[1:] - 1)
+    order = _order(columns)
+    return symbols, [c[order] for c in columns], counts[order]
+
+
 def united(parts: list[Transducer], least: int = 0) -> Transducer:
     """One transducer with the summed weights; n-grams that can't reach ``least`` get no states."""
-    symbols = sorted(set().union(*[p.symbols for p in parts]))
-    ranks = {s: i for i, s in enumerate(symbols)}
-    columns, counts = [[] for _ in range(DEPTH)], []
-    for part in parts:
-        own, count = part.expanded()
-        rank = np.array([ranks[s] for s in part.symbols], dtype=np.int32)
-        for k in range(DEPTH):
-            columns[k].append(rank[own[k]])
-        counts.append(count)
-    columns, counts = [np.concatenate(c) for c in columns], np.concatenate(counts)
-    order = _order(columns, len(symbols).bit_length())
-    columns, counts = [c[order] for c in columns], counts[order]
+    symbols, columns, counts = _together(parts)
     return Transducer.of_sorted(symbols, _trimmed(columns, counts, least) if least else columns, counts)
 
 
+def dealt(symbols: list[bytes], columns: list[np.ndarray], counts: np.ndarray, bounds: list[list[bytes]]) -> Iterator[tuple[int, bytes]]:
+    """Packed transducers of sorted n-grams by the number of their range."""
+    edges = np.array([0, *cuts(symbols, columns, bounds), len(counts)])
+    filled = np.flatnonzero(np.diff(edges))
+    whole = Transducer.cut(symbols, columns, counts, np.append(edges[filled], len(counts)))
+    for number, piece in zip(filled.tolist(), whole, strict=True):
+        yield number, piece.packed()
+
+
 # --- The operator.
 def _bounds(docs: DataFrame, config: PhraseConfig) -> list[list[bytes]]:
     """Bounds of the prefix ranges, from a bounded sample of n-grams at drawn places of the texts."""
@@ -426,22 +577,62 @@ def _bounds(docs: DataFrame, config: PhraseConfig) -> list[list[bytes]]:
     return [b for i, b in enumerate(chosen) if i == 0 or b != chosen[i - 1]]
 
 
+def _widths(ranges: int, most_pieces: int) -> list[int]:
+    """How many ranges are one at first, and after each step of dealing: none makes more than ``most_pieces`` of one."""
+    steps = 1
+    while most_pieces**steps < ranges:
+        steps += 1
+    fan = next(f for f in range(1, ranges + 1) if f**steps >= ranges)
+    return [fan**k for k in range(steps, -1, -1)]
+
+
+def _again(deal):
+    """Unites the pieces of a bundle and deals them to narrower ranges."""
+
+    def run(table: pa.Table) -> pa.Table:
+        whole = _together([Transducer.unpacked(t.as_py()) for t in table["transducer"]])
+        rows = zip(*deal(table["range"][0].as_py(), *whole), strict=True)
+        return pa.table([pa.array(v, t) for v, t in zip(rows, (pa.int32(), pa.int32(), pa.binary()), strict=True)], ["range", "bundle", "transducer"])
+
+    return run
+
+
 def ngram_counts(docs: DataFrame, config: PhraseConfig) -> DataFrame:
     """lang, phrase, size, f of all n-grams with f of at least ``least``; phrase '' of size 0 has the words of a lang."""
     docs = docs.select("lang", "text")
-    bounds = docs.sparkSession.sparkContext.broadcast(_bounds(docs, config))
-    shard_words, least = config.shard_words, config.least
+    found = _bounds(docs, config)
+    bounds = docs.sparkSession.sparkContext.broadcast(found)
+    shard_words, least, ranges = config.shard_words, config.least, len(found) + 1
+    widths = _widths(ranges, config.most_pieces)
+
+    def dealer(step: int, bundles: int):
+        """Deals n-grams of a range of one step to the narrower ones of the next, and those to bundles."""
+        wide, narrow = widths[step], widths[step + 1]
+
+        def deal(number, symbols, columns, counts):
+            low = number * wide
+            inner = [bounds.value[i - 1] for i in range(low + narrow, min(low + wide, ranges), narrow)]
+            for place, data in dealt(symbols, columns, counts, inner):
+                yield low // narrow + place, zlib.crc32(data) % bundles, data
+
+        return deal
+
+    def bundles(step: int) -> int:
+        """Of a range after the step: those of several ranges hold a shard's words each, one range is one bundle."""
+        return max(1, -(-widths[step + 1] * config.range_places // shard_words)) if widths[step + 1] > 1 else 1
+
+    spread = dealer(0, bundles(0))
 
     def fragments(rows):
         for shard, along in shards(rows, shard_words):
             symbols, columns = shard.places(along)
-            edges = [0, *cuts(symbols, columns, bounds.value), len(columns[0])]
-            for number, (low, high) in enumerate(zip(edges, edges[1:], strict=False)):
-                if high > low:
-                    names, part = _own_symbols(symbols, [c[low:high] for c in columns])
-                    yield number, Transducer.of_sorted(names, part, np.ones(high - low, dtype=np.int64)).packed()
+            if len(columns[0]):
+                yield from spread(0, symbols, columns, np.ones(len(columns[0]), dtype=np.int64))
 
-    pieces = map_rows(docs, fragments, "range int, transducer binary")
+    schema = "range int, bundle int, transducer binary"
+    pieces = map_rows(docs, fragments, schema)
+    for step in range(1, len(widths) - 1):
+        pieces = pieces.groupBy("range", "bundle").applyInArrow(_again(dealer(step, bundles(step))), schema)
 
     def unite(table: pa.Table) -> pa.Table:
         whole = united([Transducer.unpacked(t.as_py()) for t in table["transducer"]], least)
@@ -453,7 +644,7 @@ def ngram_counts(docs: DataFrame, config: PhraseConfig) -> DataFrame:
             out["f"].append(weight)
         return pa.table({k: pa.array(v, t) for (k, v), t in zip(out.items(), (pa.string(), pa.string(), pa.int32(), pa.int64()), strict=True)})
 
-    found = pieces.groupBy("range").applyInArrow(unite, "lang string, phrase string, size int, f long")
+    found = pieces.drop("bundle").groupBy("range").applyInArrow(unite, "lang string, phrase string, size int, f long")
     # A prefix that several ranges hold comes in parts.
     return found.groupBy("lang", "phrase", "size").agg(F.sum("f").alias("f")).filter((F.col("f") >= least) | (F.col("size") == 0))
 
@@ -464,7 +655,7 @@ def _table_transducer(table: pa.Table) -> Transducer:
     symbols = [b"", *sorted({s for r in rows for s in r})]
     ranks = {s: i for i, s in enumerate(symbols)}
     columns = [np.array([ranks[r[k]] if k < len(r) else 0 for r in rows], dtype=np.int64) for k in range(DEPTH)]
-    order = _order(columns, len(symbols).bit_length())
+    order = _order(columns)
     return Transducer.of_sorted(symbols, [c[order] for c in columns], table["f"].to_numpy()[order])
 
 

@@ -91,6 +91,33 @@ def test_hot_phrase_over_several_ranges(got):
     assert got(pairs, config) == _expected(pairs, config)
 
 
+def test_few_pieces_of_a_shard_whatever_the_number_of_ranges(got):
+    # Every shard in a piece for every range would be work that grows with the square of the documents.
+    pairs = _texts(3, 150)
+    for most_pieces, steps in ((4, 3), (9, 2), (1000, 1)):
+        config = P.PhraseConfig(least=4, top=50, shard_words=200, range_places=100, most_pieces=most_pieces)
+        assert got(pairs, config) == _expected(pairs, config)
+        # 60 ranges, dealt by the most of pieces.
+        widths = P._widths(60, most_pieces)
+        assert len(widths) == steps + 1 and widths[0] >= 60 and widths[-1] == 1
+        assert all(a <= b * most_pieces for a, b in zip(widths, widths[1:]))
+    assert P._widths(1, 1000) == [1, 1]
+    # At 16 times the ranges, a shard has as many pieces.
+    bounds = [[b"\x00656e", f"w{i:05d}".encode()] for i in range(1, 1600)]
+    rows = [{"lang": "en", "text": " ".join(f"w{i % 1600:05d}" for i in range(7, 8000, 3)).encode()}]
+    [(shard, along)] = P.shards(rows, 10_000)
+    symbols, columns = shard.places(along)
+    made = {}
+    for ranges in (100, 1600):
+        widths = P._widths(ranges, 100)
+        first = bounds[widths[1] - 1 : ranges - 1 : widths[1]]
+        made[ranges] = dict(P.dealt(symbols, columns, np.ones(len(columns[0]), dtype=np.int64), first))
+    assert len(made[1600]) <= len(made[100]) <= 100
+    rebuilt = [P.Transducer.unpacked(d) for d in made[1600].values()]
+    grams = [tuple(t.symbols[i] for i in row) for t in rebuilt for row in zip(*[c.tolist() for c in t.expanded()[0]])]
+    assert sorted(grams) == grams == sorted({tuple(symbols[i] for i in row) for row in zip(*[c.tolist() for c in columns])})
+
+
 def test_hard_cases(got, monkeypatch):
     config = P.PhraseConfig(least=3, shard_words=100)
     pairs = [(None, None), ("en", ""), ("en", " \t.\n"), ("en", "a b c a b c a b c a b"), (None, "a b! a b? a b"), ("und", "a b")]

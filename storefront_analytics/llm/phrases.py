@@ -580,7 +580,7 @@ def _bounds(docs: DataFrame, config: PhraseConfig) -> list[list[bytes]]:
 def _widths(ranges: int, most_pieces: int) -> list[int]:
     """How many ranges are one at first, and after each step of dealing: none makes more than ``most_pieces`` of one."""
     steps = 1
-    while most_pieces**steps < ranges:
+    while max(2, most_pieces) ** steps < ranges:
         steps += 1
     fan = next(f for f in range(1, ranges + 1) if f**steps >= ranges)
     return [fan**k for k in range(steps, -1, -1)]
